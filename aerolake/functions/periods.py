@@ -37,16 +37,13 @@ def chunk_name(location_id: Column, sensor_id: Column, location_name: Column,
                period_from: Column, period_to: Column) -> Column:
     """Landing chunk name ``{location}_{sensor}_{name}_{from}_{to}``.
 
-    Spaces in the location name become hyphens so the name stays one token.
+    Spaces in the location name become hyphens so the name stays one token;
+    a missing part is left empty so every token keeps its position.
     """
-    return F.concat_ws(
-        "_",
-        location_id.cast("string"),
-        sensor_id.cast("string"),
-        F.translate(location_name, " ", "-"),
-        F.date_format(period_from, "yyyy-MM-dd"),
-        F.date_format(period_to, "yyyy-MM-dd"),
-    )
+    parts = [location_id.cast("string"), sensor_id.cast("string"),
+             F.translate(location_name, " ", "-"),
+             F.date_format(period_from, "yyyy-MM-dd"), F.date_format(period_to, "yyyy-MM-dd")]
+    return F.concat_ws("_", *[F.coalesce(p, F.lit("")) for p in parts])
 
 
 def page_file_name(chunk: Column, page: Column) -> Column:

@@ -234,3 +234,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "by_wind_bucket": q_by_wind_bucket,
     "best_hour": q_best_hour,
 }
+
+from .streams import STREAM_QUERIES  # noqa: E402
+
+QUERIES.update(STREAM_QUERIES)

@@ -167,7 +167,8 @@ class Lake:
         hourly = F.struct(
             hours.alias("time"),
             empty("double").alias("apparent_temperature"),
-            empty("double").alias("precipitation"),
+            F.slice(F.col("embedding"), F.lit(1), F.floor(F.size("embedding") / 2).cast("int")).cast("array<double>")
+            .alias("precipitation"),
             empty("bigint").alias("relative_humidity_2m"),
             F.col("embedding").cast("array<double>").alias("temperature_2m"),
             empty("bigint").alias("wind_direction_100m"),
@@ -175,7 +176,7 @@ class Lake:
             empty("double").alias("wind_gusts_10m"),
             empty("double").alias("wind_speed_100m"),
             empty("double").alias("wind_speed_10m"),
-            empty("double").alias("surface_pressure"))
+            F.reverse(F.col("embedding")).cast("array<double>").alias("surface_pressure"))
         return e.select(
             F.col("label").cast("double").alias("latitude"),
             F.col("vec_id").cast("double").alias("longitude"),

@@ -144,6 +144,20 @@ fct_weather AS (
   QUALIFY row_number() OVER (PARTITION BY id ORDER BY event_id) = 1
 )"""
 
+WEATHER_ROWS = """
+weather_rows AS (
+  SELECT sha256(concat_ws('|', CAST(CAST(label AS DOUBLE) AS VARCHAR), CAST(CAST(vec_id AS DOUBLE) AS VARCHAR))) AS location_id,
+         CAST(TIMESTAMP '2024-01-01 00:00:00' + to_hours(CAST(pos - 1 AS BIGINT)) AS TIMESTAMP) AS datetime,
+         CAST(NULL AS FLOAT) AS apparent_temperature,
+         CAST(CASE WHEN pos <= len(embedding) // 2 THEN embedding[pos] END AS FLOAT) AS precipitation,
+         CAST(NULL AS INTEGER) AS relative_humidity_2m, CAST(embedding[pos] AS FLOAT) AS temperature_2m,
+         CAST(NULL AS INTEGER) AS wind_direction_100m, CAST(NULL AS INTEGER) AS wind_direction_10m,
+         CAST(NULL AS FLOAT) AS wind_gusts_10m, CAST(NULL AS FLOAT) AS wind_speed_100m,
+         CAST(NULL AS FLOAT) AS wind_speed_10m,
+         CAST(embedding[len(embedding) + 1 - pos] AS FLOAT) AS surface_pressure
+  FROM (SELECT label, vec_id, embedding, unnest(generate_series(1, len(embedding))) AS pos FROM embeddings)
+)"""
+
 HOURLY = """
 hourly AS (
   SELECT f.date_int, f.time_int, f.location_id, l.name AS location_name, l.country, l.city,
@@ -339,16 +353,7 @@ FROM dim_time t LEFT JOIN (SELECT time_int, count(*) AS n FROM fct_pollution GRO
 SELECT o_custkey, o_orderkey, o_orderdate, o_totalprice, o_orderstatus FROM orders
 QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) = 1""",
     "dim_weather_locations": _with(WEATHER_LOCATIONS) + "SELECT * FROM dim_weather_locations",
-    "weather_rows": """
-SELECT sha256(concat_ws('|', CAST(CAST(label AS DOUBLE) AS VARCHAR), CAST(CAST(vec_id AS DOUBLE) AS VARCHAR))) AS location_id,
-       CAST(TIMESTAMP '2024-01-01 00:00:00' + to_hours(CAST(pos - 1 AS BIGINT)) AS TIMESTAMP) AS datetime,
-       CAST(NULL AS FLOAT) AS apparent_temperature, CAST(NULL AS FLOAT) AS precipitation,
-       CAST(NULL AS INTEGER) AS relative_humidity_2m, CAST(v AS FLOAT) AS temperature_2m,
-       CAST(NULL AS INTEGER) AS wind_direction_100m, CAST(NULL AS INTEGER) AS wind_direction_10m,
-       CAST(NULL AS FLOAT) AS wind_gusts_10m, CAST(NULL AS FLOAT) AS wind_speed_100m,
-       CAST(NULL AS FLOAT) AS wind_speed_10m, CAST(NULL AS FLOAT) AS surface_pressure
-FROM (SELECT label, vec_id, unnest(embedding) AS v, unnest(generate_series(1, len(embedding))) AS pos
-      FROM embeddings)""",
+    "weather_rows": _with(WEATHER_ROWS) + "SELECT * FROM weather_rows",
     "fct_pollution": _with(FCT_POLLUTION) + "SELECT * FROM fct_pollution",
     "fct_weather": _with(FCT_WEATHER) + "SELECT * FROM fct_weather",
     "hourly_detail": _with(POLLUTION, HOURLY) + "SELECT * FROM hourly",
@@ -432,3 +437,49 @@ FROM (SELECT c.day_of_week, c.calendar_day, h.parameter, h.time_int,
       FROM hourly_by_city h JOIN dim_calendar c ON h.date_int = c.date_int
       GROUP BY c.day_of_week, c.calendar_day, h.parameter, h.time_int)
 QUALIFY row_number() OVER (PARTITION BY day_of_week, parameter ORDER BY avg_pollution, time_int) = 1"""
+
+# --- streaming queries ---------------------------------------------------------------
+PAGED = FEED + """,
+paged AS (
+  SELECT c.*, concat_ws('_', coalesce(CAST(c.location_id AS VARCHAR), ''), coalesce(CAST(c.sensor_id AS VARCHAR), ''),
+                        coalesce(replace(n.n_name, ' ', '-'), ''),
+                        strftime(date_trunc('month', c.datetime_from), '%Y-%m-%d'),
+                        strftime(last_day(c.datetime_from), '%Y-%m-%d'))
+              || '_page' || CAST(c.event_id // 1000 + 1 AS VARCHAR) || '.json' AS file_name,
+         CASE WHEN c.event_id < (SELECT (min(event_id) + max(event_id)) // 2 FROM events) THEN 1 ELSE 2 END AS round
+  FROM clean c LEFT JOIN nation n ON c.location_id = n.n_nationkey
+)"""
+
+
+def _paged_fact(order: str) -> str:
+    return _with(PAGED) + f"""
+SELECT id, date_int, time_int, value, location_id, sensor_id FROM (
+  SELECT sha256(concat_ws('|', CAST(sensor_id AS VARCHAR), CAST(location_id AS VARCHAR),
+                          strftime(datetime_from, '%Y-%m-%d %H:%M:%S'))) AS id,
+         CAST(year(datetime_from) * 10000 + month(datetime_from) * 100 + day(datetime_from) AS INTEGER) AS date_int,
+         CAST(strftime(datetime_from, '%H%M') AS INTEGER) AS time_int,
+         value, location_id, CAST(sensor_id AS INTEGER) AS sensor_id, file_name, round
+  FROM paged)
+QUALIFY row_number() OVER (PARTITION BY id ORDER BY {order}) = 1"""
+
+
+SQL["land_json"] = _with(PAGED.replace("FROM clean c", "FROM feed c")) + """
+SELECT file_name, count(*) AS n_results, round(sum(value), 3) AS sum_value FROM paged GROUP BY file_name"""
+SQL["ingest_measurements"] = _with(FEED) + """
+SELECT datetime_from, datetime_to, value, "interval", location_id, CAST(sensor_id AS INTEGER) AS sensor_id
+FROM clean"""
+SQL["upsert_facts"] = _paged_fact("round, file_name, value, time_int")
+SQL["ingest_rerun"] = _paged_fact("file_name, value, time_int")
+SQL["ingest_locations"] = SQL["dim_locations"]
+SQL["ingest_sensors"] = _with(PARAMETERS, SENSORS) + """
+SELECT CAST(sensor_id AS INTEGER) AS sensor_id, name, location_id, parameter_id FROM dim_sensors"""
+SQL["ingest_parameters"] = SQL["dim_parameters"]
+SQL["ingest_weather"] = _with(WEATHER_ROWS) + """
+SELECT sha256(concat_ws('|', location_id, strftime(datetime, '%Y-%m-%d %H:%M:%S'))) AS id, location_id,
+       CAST(year(datetime) * 10000 + month(datetime) * 100 + day(datetime) AS INTEGER) AS date_int,
+       CAST(strftime(datetime, '%H%M') AS INTEGER) AS time_int,
+       apparent_temperature, precipitation, relative_humidity_2m, temperature_2m, wind_direction_100m,
+       wind_direction_10m, wind_gusts_10m, wind_speed_100m, wind_speed_10m, surface_pressure
+FROM weather_rows
+WHERE location_id IS NOT NULL AND datetime IS NOT NULL AND temperature_2m IS NOT NULL
+  AND surface_pressure IS NOT NULL"""
