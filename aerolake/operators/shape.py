@@ -117,11 +117,15 @@ def weather_docs(bronze: DataFrame) -> DataFrame:
 def zip_rows(df: DataFrame, keep: list[str], arrays: dict[str, object], name: str = "m") -> DataFrame:
     """Parallel arrays to rows: element i of every array forms row i.
 
-    Shorter arrays are padded with NULL; a row whose arrays are all NULL or
-    empty yields no output rows.
+    Shorter arrays are padded with NULL.  A missing (NULL) array counts as
+    empty, so a document lacking one variable keeps its hours with NULL in
+    that column (the row rules then decide); a document with no arrays at
+    all yields no rows.
     """
-    zipped = F.arrays_zip(*[F.col(c).alias(n) if isinstance(c, str) else c.alias(n)
-                            for n, c in arrays.items()])
+    cols = {n: (F.col(c) if isinstance(c, str) else c) for n, c in arrays.items()}
+    types = df.select(*[c.alias(n) for n, c in cols.items()]).schema
+    zipped = F.arrays_zip(*[F.coalesce(c, F.array().cast(types[n].dataType)).alias(n)
+                            for n, c in cols.items()])
     return df.select(*keep, F.explode(zipped).alias(name))
 
 

@@ -445,7 +445,7 @@ paged AS (
                         coalesce(replace(n.n_name, ' ', '-'), ''),
                         strftime(date_trunc('month', c.datetime_from), '%Y-%m-%d'),
                         strftime(last_day(c.datetime_from), '%Y-%m-%d'))
-              || '_page' || CAST(c.event_id // 1000 + 1 AS VARCHAR) || '.json' AS file_name,
+              || '_page' || CAST(c.event_id // 100000 + 1 AS VARCHAR) || '.json' AS file_name,
          CASE WHEN c.event_id < (SELECT (min(event_id) + max(event_id)) // 2 FROM events) THEN 1 ELSE 2 END AS round
   FROM clean c LEFT JOIN nation n ON c.location_id = n.n_nationkey
 )"""

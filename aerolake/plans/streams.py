@@ -15,8 +15,10 @@ from ..sources.landing import SPARK_PART_GLOB, land_json
 from ..streaming import ingest, upsert
 from .model import Lake
 
-# Rows per landing page (one document per page), as the downloader pages.
-PAGE_ROWS = 1000
+# Width of the event-id range of one landing page: a page holds the rows of
+# one chunk whose ids fall in one such range, so a document never exceeds
+# PAGE_SPAN rows however large a chunk grows.
+PAGE_SPAN = 100_000
 # Sensors per landed location document.
 SENSORS_PER_DOC = 1000
 
@@ -39,7 +41,7 @@ class Run:
 
 # --- landing documents from the driver tables -----------------------------------
 def measurement_pages(lake: Lake, rounds: int = 1) -> DataFrame:
-    """Measurement documents ``{"results": [...]}`` of at most PAGE_ROWS rows,
+    """Measurement documents ``{"results": [...]}`` of at most PAGE_SPAN rows,
     named ``{location}_{sensor}_{name}_{month start}_{month end}_page{n}.json``.
 
     With ``rounds`` > 1 each document also carries the landing round
@@ -52,7 +54,7 @@ def measurement_pages(lake: Lake, rounds: int = 1) -> DataFrame:
     month_start = F.trunc("datetime_from", "month")
     chunk = chunk_name(F.col("location_id"), F.col("sensor_id"), F.col("location_name"),
                        month_start, F.last_day("datetime_from"))
-    page = F.floor(F.col("event_id") / PAGE_ROWS) + 1
+    page = F.floor(F.col("event_id") / PAGE_SPAN) + 1
     ts_local = lambda c: F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss")
     record = F.struct(
         F.col("value").alias("value"),

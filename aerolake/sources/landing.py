@@ -37,8 +37,7 @@ def land_json(docs: DataFrame, path: str, name_col: str | None = None) -> None:
 
 
 def json_stream(spark: SparkSession, path: str, schema: StructType, glob: str,
-                max_files: int | None = None, multiline: bool = False,
-                named_by_partition: bool = True) -> DataFrame:
+                max_files: int | None = None, multiline: bool = False) -> DataFrame:
     """Incremental stream of new JSON files under ``path``.
 
     Seen files are tracked in the query checkpoint, so a rerun reads only
@@ -54,7 +53,7 @@ def json_stream(spark: SparkSession, path: str, schema: StructType, glob: str,
         r = r.option("maxFilesPerTrigger", int(max_files))
     df = r.load(path)
     physical = F.col("_metadata.file_name")
-    name = F.coalesce(F.col(NAME_PARTITION), physical) if named_by_partition else physical
+    name = F.coalesce(F.col(NAME_PARTITION), physical) if NAME_PARTITION in df.columns else physical
     return df.withColumn("_landing_name", name)
 
 
