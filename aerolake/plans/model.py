@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from ..functions.keys import weather_location_key
 from ..functions.rules import MEASUREMENT_RULES, WEATHER_RULES, drop_failing
 from ..operators import dims, facts, gold
+from ..operators.dedup import first_per_key
 from ..sources.tables import Tables
 
 # Fixed load time of rows read from driver tables (they arrive at once).
@@ -108,8 +109,12 @@ class Lake:
 
     @cached_property
     def fct_pollution(self) -> DataFrame:
-        rows = facts.pollution_fact_rows(self.clean_measurements(), extra=["event_id"])
-        return facts.dedup_batch(rows, ["event_id"]).drop("event_id")
+        # Dedup on the compact natural key (the hashed id is a function of
+        # it), then hash only the surviving rows.
+        clean = self.clean_measurements().withColumn(
+            "datetime_from", F.date_trunc("second", "datetime_from").cast("timestamp_ntz"))
+        first = first_per_key(clean, ["sensor_id", "location_id", "datetime_from"], ["event_id"])
+        return facts.pollution_fact_rows(first)
 
     # --- weather ----------------------------------------------------------------
     def weather_documents(self) -> DataFrame:
@@ -152,9 +157,10 @@ class Lake:
 
     @cached_property
     def fct_weather(self) -> DataFrame:
-        rows = facts.weather_fact_rows(drop_failing(self.weather_feed(), WEATHER_RULES),
-                                       extra=["event_id"])
-        return facts.dedup_batch(rows, ["event_id"]).drop("event_id")
+        clean = drop_failing(self.weather_feed(), WEATHER_RULES).withColumn(
+            "datetime", F.date_trunc("second", "datetime").cast("timestamp_ntz"))
+        first = first_per_key(clean, ["location_id", "datetime"], ["event_id"])
+        return facts.weather_fact_rows(first)
 
     def weather_array_documents(self) -> DataFrame:
         """One weather document per embedding: hour i holds element i."""

@@ -130,7 +130,8 @@ def q_land_json(spark, sf_dir):
     run = Run(spark, "land")
     docs = measurement_pages(Lake(spark, sf_dir))
     land_json(docs, run.landing("measurements"), "file_name")
-    back = spark.read.schema("results array<struct<value:float>>").json(run.landing("measurements"))
+    back = (spark.read.schema("landing_file string, results array<struct<value:float>>")
+            .json(run.landing("measurements")))
     return (back.select("landing_file", F.explode("results").alias("r"))
             .groupBy(F.col("landing_file").alias("file_name"))
             .agg(F.count(F.lit(1)).alias("n_results"), F.round(F.sum("r.value"), 3).alias("sum_value")))

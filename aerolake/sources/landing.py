@@ -1,10 +1,10 @@
 """Landing zone: gzipped JSON documents in, incremental file streams out.
 
-Documents written by Spark keep their logical landing file name as a
-partition directory (``landing_file=<name>``): Spark chooses the physical
-part-file names, and the ids encoded in the landing name (location, sensor,
-city) must survive.  Readers take the logical name from that partition
-column when present, else from the physical file name (``_metadata``), so
+Spark chooses the physical part-file names of what it writes, but the
+ids encoded in a landing file name (location, sensor, city) must survive.
+Documents written by Spark therefore carry their logical landing file name
+in a top-level ``landing_file`` field; readers take the name from that
+field when present, else from the physical file name (``_metadata``), so
 files dropped by an external downloader work unchanged.
 """
 
@@ -12,9 +12,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
-NAME_PARTITION = "landing_file"
+NAME_FIELD = "landing_file"
 
 # Landing file-name patterns of the three feeds.
 LOCATIONS_GLOB = "[a-zA-Z]*-locations*.json.gz"
@@ -24,16 +24,15 @@ SPARK_PART_GLOB = "part-*.json.gz"
 
 
 def land_json(docs: DataFrame, path: str, name_col: str | None = None) -> None:
-    """Append documents as gzip JSON (one document per line).
+    """Append documents as gzip JSON, one document per line.
 
-    ``name_col`` holds the logical landing file name of each document; it
-    becomes the ``landing_file=`` directory.
+    ``name_col`` holds the logical landing file name of each document; it is
+    written as the document's ``landing_file`` field.  Files are as many as
+    write tasks, not as many as documents.
     """
-    w = docs.write.mode("append").option("compression", "gzip")
-    if name_col:
-        docs = docs.withColumnRenamed(name_col, NAME_PARTITION)
-        w = docs.write.mode("append").option("compression", "gzip").partitionBy(NAME_PARTITION)
-    w.json(path)
+    if name_col and name_col != NAME_FIELD:
+        docs = docs.withColumnRenamed(name_col, NAME_FIELD)
+    docs.write.mode("append").option("compression", "gzip").json(path)
 
 
 def json_stream(spark: SparkSession, path: str, schema: StructType, glob: str,
@@ -46,6 +45,8 @@ def json_stream(spark: SparkSession, path: str, schema: StructType, glob: str,
     ``multiline`` reads one whole document per file (downloader files);
     Spark-landed files hold one document per line.
     """
+    if NAME_FIELD not in schema.fieldNames():
+        schema = StructType(schema.fields + [StructField(NAME_FIELD, StringType())])
     r = (spark.readStream.format("json").schema(schema)
          .option("multiLine", str(multiline).lower())
          .option("pathGlobFilter", glob))
@@ -53,8 +54,7 @@ def json_stream(spark: SparkSession, path: str, schema: StructType, glob: str,
         r = r.option("maxFilesPerTrigger", int(max_files))
     df = r.load(path)
     physical = F.col("_metadata.file_name")
-    name = F.coalesce(F.col(NAME_PARTITION), physical) if NAME_PARTITION in df.columns else physical
-    return df.withColumn("_landing_name", name)
+    return df.withColumn("_landing_name", F.coalesce(F.col(NAME_FIELD), physical)).drop(NAME_FIELD)
 
 
 def source_name_col():
