@@ -483,3 +483,6 @@ SELECT sha256(concat_ws('|', location_id, strftime(datetime, '%Y-%m-%d %H:%M:%S'
 FROM weather_rows
 WHERE location_id IS NOT NULL AND datetime IS NOT NULL AND temperature_2m IS NOT NULL
   AND surface_pressure IS NOT NULL"""
+
+SQL["sql_sensors_by_city"] = SQL["sensors_by_city"]
+SQL["gold_tables"] = SQL["agg_monthly"]
