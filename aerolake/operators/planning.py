@@ -76,8 +76,15 @@ def period_start_of(day: Column, date_from: Column) -> Column:
     return F.when(F.date_sub(qs, 1) > date_from, qs).otherwise(date_from)
 
 
+def yesterday() -> str:
+    """Default end of a request range: the last complete UTC day."""
+    import datetime as _dt
+
+    return (_dt.datetime.now(_dt.timezone.utc).date() - _dt.timedelta(days=1)).isoformat()
+
+
 def backfill_worklist(locations: DataFrame, sensors: DataFrame, parameters: DataFrame,
-                      fct_pollution: DataFrame, date_from: str, date_to: str,
+                      fct_pollution: DataFrame, date_from: str, date_to: str | None = None,
                       parameter_names: list[str] = DEFAULT_PARAMETERS,
                       city: str | None = None) -> DataFrame:
     """Chunks (location, sensor, period) still to fetch in [date_from, date_to].
@@ -88,6 +95,7 @@ def backfill_worklist(locations: DataFrame, sensors: DataFrame, parameters: Data
     distinct (location, sensor, period start) -- partial aggregation --
     and removed with an anti-join.
     """
+    date_to = date_to or yesterday()
     f = F.lit(date_from).cast("date")
     t = F.lit(date_to).cast("date")
     pairs = location_sensors(locations, sensors, parameters, parameter_names, city)

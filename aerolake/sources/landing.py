@@ -59,3 +59,15 @@ def json_stream(spark: SparkSession, path: str, schema: StructType, glob: str,
 
 def source_name_col():
     return F.col("_landing_name")
+
+
+def sample_schema(spark: SparkSession, path: str, glob: str, multiline: bool = True,
+                  sampling_ratio: float = 1.0) -> StructType:
+    """Infer the schema of landed files once (batch read of a sample).
+
+    Used to write or review the fixed schemas of ``schemas.py``; streams
+    always run with a fixed schema, so a new field in a file is ignored
+    rather than changing the table.
+    """
+    return (spark.read.option("multiLine", str(multiline).lower()).option("pathGlobFilter", glob)
+            .option("samplingRatio", sampling_ratio).json(path).schema)

@@ -96,3 +96,30 @@ def test_weather_files_zip_and_failed_download(spark, tmpdir_path):
     assert rows[0].location_id == hashlib.sha256(b"44.8|20.46").hexdigest()
     wl = dims.weather_locations_dim(shape.weather_docs(raw)).collect()
     assert [(r.city, round(r.latitude, 2)) for r in wl] == [("Belgrade", 44.8)]
+
+
+def test_clean_stream_reports_rule_counts(spark, tmpdir_path):
+    land = tmpdir_path + "/m2"
+    put(land, "5_6_A_2024-01-01_2024-03-31_page1.json.gz",
+        {"results": [meas(1.0), meas(900.0), meas(None), meas(2.0, "00:15:00")]})
+    bronze = ingest.bronze_measurements(spark, land, MEASUREMENTS_GLOB, multiline=True)
+    raw = run_stream(bronze, tmpdir_path, "m2_raw")
+    clean = ingest.clean_measurements_stream(ingest.read_bronze_stream(spark, raw, bronze))
+    progress = ingest.run_available(clean.drop("source_file_name", "bronze_load_ts"),
+                                    f"{tmpdir_path}/_ck/m2_clean", f"{tmpdir_path}/m2_clean")
+    metrics = [p["observedMetrics"]["measurements_rules"] for p in progress
+               if p.get("observedMetrics", {}).get("measurements_rules")]
+    assert metrics, progress
+    m = metrics[0]
+    assert (m["total_rows"], m["value is sensible"], m["value is not null"],
+            m["period interval is 1 hour"]) == (4, 2, 1, 1)
+    assert spark.read.parquet(f"{tmpdir_path}/m2_clean").count() == 1
+
+
+def test_sample_schema(spark, tmpdir_path):
+    from aerolake.sources.landing import sample_schema
+
+    land = tmpdir_path + "/m3"
+    put(land, "5_6_A_2024-01-01_2024-03-31_page1.json.gz", {"results": [meas(1.0)]})
+    s = sample_schema(spark, land, MEASUREMENTS_GLOB)
+    assert "results" in s.fieldNames()
