@@ -99,3 +99,25 @@ def weather_locations_dim(raw: DataFrame) -> DataFrame:
 def new_rows(source: DataFrame, target: DataFrame, keys: list[str]) -> DataFrame:
     """Insert-only merge: rows of ``source`` whose key is not in ``target``."""
     return source.join(target.select(*keys), on=keys, how="left_anti")
+
+
+def merge_insert_only(spark: SparkSession, source: DataFrame, path: str, keys: list[str]) -> int:
+    """``MERGE ... WHEN NOT MATCHED THEN INSERT`` on a parquet table: append
+    the rows of ``source`` whose key is not yet in the table at ``path``
+    (creating it on first use).  Existing rows are never updated, so
+    re-running with the same source appends nothing.  Returns rows added."""
+    try:
+        target = spark.read.parquet(path)
+    except Exception as exc:
+        if "PATH_NOT_FOUND" not in str(exc) and "UNABLE_TO_INFER_SCHEMA" not in str(exc):
+            raise
+        target = None
+    fresh = source if target is None else new_rows(source, target, keys)
+    fresh = fresh.persist()
+    try:
+        n = fresh.count()
+        if n or target is None:
+            fresh.write.mode("append").parquet(path)
+        return n
+    finally:
+        fresh.unpersist()

@@ -52,15 +52,24 @@ def _sensor_lists(pairs: DataFrame, extra: list[Column] = ()) -> DataFrame:
 
 def high_water_worklist(locations: DataFrame, sensors: DataFrame, parameters: DataFrame,
                         fct_pollution: DataFrame,
-                        parameter_names: list[str] = DEFAULT_PARAMETERS) -> DataFrame:
+                        parameter_names: list[str] = DEFAULT_PARAMETERS,
+                        per_location: bool = False) -> DataFrame:
     """Per location: its sensor list and the latest ingested date.
 
-    The latest date is one global maximum over the facts (NULL on an empty
-    fact), attached as a scalar subquery -- evaluated once, no join.
+    By default the latest date is one global maximum over the facts (NULL
+    on an empty fact), attached as a scalar subquery -- evaluated once, no
+    join.  ``per_location`` uses each location's own latest date instead
+    (facts reduced to one row per location first; NULL if it has none).
     """
-    last_date = fct_pollution.select(date_from_int(F.max("date_int"))).scalar()
     pairs = location_sensors(locations, sensors, parameters, parameter_names)
-    return _sensor_lists(pairs, [last_date.alias("last_date")])
+    if not per_location:
+        last_date = fct_pollution.select(date_from_int(F.max("date_int"))).scalar()
+        return _sensor_lists(pairs, [last_date.alias("last_date")])
+    latest = (fct_pollution.groupBy(F.col("location_id").alias("id"))
+              .agg(date_from_int(F.max("date_int")).alias("last_date")))
+    lists = _sensor_lists(pairs)
+    return (lists.join(latest, "id", "left")
+            .select("id", "name", "last_date", "sensor_id_arr"))
 
 
 def sensors_by_city(locations: DataFrame, sensors: DataFrame, parameters: DataFrame, city: str,

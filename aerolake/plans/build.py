@@ -76,7 +76,8 @@ def build_silver(lake: Lake, out: LakeTables) -> None:
     write_table(lake.dim_locations, s("dim_pollution_locations"))
     write_table(lake.dim_parameters, s("dim_pollution_parameters"))
     write_table(lake.dim_sensors, s("dim_pollution_sensors"), sort_by=["sensor_id"])
-    write_table(lake.dim_weather_locations, s("dim_weather_locations"))
+    dims.merge_insert_only(spark, lake.dim_weather_locations, s("dim_weather_locations"),
+                           ["location_id"])
     write_table(lake.dim_calendar, s("dim_calendar"), sort_by=["date_int"])
     write_table(dims.time_of_day(spark), s("dim_time"), sort_by=["time_int"])
     for name, fct in (("fct_pollution", lake.fct_pollution), ("fct_weather", lake.fct_weather)):

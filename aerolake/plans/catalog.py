@@ -142,6 +142,13 @@ def q_high_water_worklist(spark, sf_dir):
         lk.dim_locations, lk.dim_sensors, lk.dim_parameters, lk.fct_pollution, PLAN_PARAMETERS))
 
 
+def q_high_water_per_location(spark, sf_dir):
+    lk = _lake(spark, sf_dir)
+    return _arr_text(planning.high_water_worklist(
+        lk.dim_locations, lk.dim_sensors, lk.dim_parameters, lk.fct_pollution, PLAN_PARAMETERS,
+        per_location=True))
+
+
 def q_sensors_by_city(spark, sf_dir):
     lk = _lake(spark, sf_dir)
     return _arr_text(planning.sensors_by_city(
@@ -226,6 +233,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "weather_hourly": q_weather_hourly,
     "high_water_by_location": q_high_water_by_location,
     "high_water_worklist": q_high_water_worklist,
+    "high_water_per_location": q_high_water_per_location,
     "sensors_by_city": q_sensors_by_city,
     "backfill_worklist": q_backfill_worklist,
     "key_audit": q_key_audit,

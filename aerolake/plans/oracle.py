@@ -486,3 +486,10 @@ WHERE location_id IS NOT NULL AND datetime IS NOT NULL AND temperature_2m IS NOT
 
 SQL["sql_sensors_by_city"] = SQL["sensors_by_city"]
 SQL["gold_tables"] = SQL["agg_monthly"]
+
+SQL["high_water_per_location"] = _with(POLLUTION, LOC_SENSORS) + """
+SELECT l.id, l.name, h.last_date, l.sensor_id_arr FROM (
+  SELECT id, name, array_to_string(list_sort(list(sensor_id)), ',') AS sensor_id_arr
+  FROM loc_sensors GROUP BY id, name, floor(sensor_id / 1000)) l
+LEFT JOIN (SELECT location_id, strptime(CAST(max(date_int) AS VARCHAR), '%Y%m%d')::DATE AS last_date
+           FROM fct_pollution GROUP BY location_id) h ON l.id = h.location_id"""

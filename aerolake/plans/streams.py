@@ -50,7 +50,7 @@ def measurement_pages(lake: Lake, rounds: int = 1) -> DataFrame:
     feed = lake.measurement_feed()
     names = lake.t.nation.select(F.col("n_nationkey").cast("int").alias("location_id"),
                                  F.col("n_name").alias("location_name"))
-    f = feed.join(F.broadcast(names), "location_id", "left")
+    f = feed.join(names, "location_id", "left")
     month_start = F.trunc("datetime_from", "month")
     chunk = chunk_name(F.col("location_id"), F.col("sensor_id"), F.col("location_name"),
                        month_start, F.last_day("datetime_from"))

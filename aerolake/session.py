@@ -18,6 +18,11 @@ BASE_CONF = {
     "spark.sql.adaptive.localShuffleReader.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.optimizer.nestedSchemaPruning.enabled": "true",
+    # Target ~128 MB per post-shuffle partition; skewed partitions above
+    # 5x the median and 256 MB are split by AQE.
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "256m",
     "spark.ui.enabled": "false",
 }
 

@@ -70,3 +70,13 @@ def test_locations_dim_dedups_keys(spark):
         "is_monitor boolean, latitude float, longitude float, bronze_load_ts timestamp")
     got = [(r.location_id, r.name) for r in dims.locations_dim(rows).collect()]
     assert got == [(1, "new")]
+
+
+def test_merge_insert_only(spark, tmpdir_path):
+    path = tmpdir_path + "/dim"
+    src = spark.createDataFrame([("a", 1), ("b", 2)], "location_id string, v int")
+    assert dims.merge_insert_only(spark, src, path, ["location_id"]) == 2
+    again = spark.createDataFrame([("a", 9), ("c", 3)], "location_id string, v int")
+    assert dims.merge_insert_only(spark, again, path, ["location_id"]) == 1
+    got = sorted(tuple(r) for r in spark.read.parquet(path).collect())
+    assert got == [("a", 1), ("b", 2), ("c", 3)]
