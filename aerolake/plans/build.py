@@ -81,8 +81,10 @@ def build_silver(lake: Lake, out: LakeTables) -> None:
     write_table(lake.dim_calendar, s("dim_calendar"), sort_by=["date_int"])
     write_table(dims.time_of_day(spark), s("dim_time"), sort_by=["time_int"])
     for name, fct in (("fct_pollution", lake.fct_pollution), ("fct_weather", lake.fct_weather)):
+        # Range keys beyond the day let one hot day spread over many writers.
         write_table(fct.withColumn("date_month", month_int(F.col("date_int"))), s(name),
-                    sort_by=["date_month", "date_int"], partition_by=["date_month"])
+                    sort_by=["date_month", "date_int", "location_id", "id"],
+                    partition_by=["date_month"])
     for name in ("dim_calendar", "dim_time"):
         register(spark, out.db, name, s(name), analyze=True)
 

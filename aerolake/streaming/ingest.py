@@ -12,6 +12,12 @@ from ..operators import shape
 from ..sources import schemas
 from ..sources.landing import json_stream, source_name_col
 
+# Files per micro-batch.  The source pipeline read one file per batch; a
+# bounded but larger batch keeps a backlog (``availableNow`` over months of
+# landed files) from becoming one giant batch while amortising per-batch
+# cost.  Gzip files are not splittable: parallelism is one task per file.
+DEFAULT_MAX_FILES = 1000
+
 
 def run_available(df: DataFrame, checkpoint: str, path: str | None = None,
                   partition_by: list[str] | None = None, fmt: str = "parquet",
@@ -41,29 +47,33 @@ def _stamp(df: DataFrame) -> DataFrame:
         "bronze_load_ts", F.current_timestamp())
 
 
-def bronze_locations(spark: SparkSession, landing: str, glob: str, max_files=None,
+def bronze_locations(spark: SparkSession, landing: str, glob: str, max_files=DEFAULT_MAX_FILES,
                      multiline=False) -> DataFrame:
     raw = json_stream(spark, landing, schemas.LOCATIONS_FILE, glob, max_files, multiline)
     return _stamp(raw).select(F.explode("results").alias("results"), "source_file_name",
                               "bronze_load_ts")
 
 
-def bronze_measurements(spark: SparkSession, landing: str, glob: str, max_files=None,
+def bronze_measurements(spark: SparkSession, landing: str, glob: str, max_files=DEFAULT_MAX_FILES,
                         multiline=False) -> DataFrame:
     raw = json_stream(spark, landing, schemas.MEASUREMENTS_FILE, glob, max_files, multiline)
     return _stamp(raw).select(F.explode("results").alias("results"), "source_file_name",
                               "bronze_load_ts")
 
 
-def bronze_weather(spark: SparkSession, landing: str, glob: str, max_files=None,
+def bronze_weather(spark: SparkSession, landing: str, glob: str, max_files=DEFAULT_MAX_FILES,
                    multiline=False) -> DataFrame:
     raw = json_stream(spark, landing, schemas.WEATHER_FILE, glob, max_files, multiline)
     return _stamp(raw).drop("_landing_name")
 
 
-def read_bronze_stream(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
+def read_bronze_stream(spark: SparkSession, path: str, like: DataFrame,
+                       max_files: int | None = DEFAULT_MAX_FILES) -> DataFrame:
     """Stream a bronze parquet table (schema taken from its definition)."""
-    return spark.readStream.schema(like.schema).parquet(path)
+    r = spark.readStream.schema(like.schema)
+    if max_files:
+        r = r.option("maxFilesPerTrigger", int(max_files))
+    return r.parquet(path)
 
 
 def clean_measurements_stream(bronze: DataFrame) -> DataFrame:
