@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from ..functions.calendar import calendar_columns, time_columns
 from ..functions.keys import weather_location_key
 from ..functions.rules import LOCATION_RULES, PARAMETER_RULES, SENSOR_RULES, drop_failing
+from ..sources.tables import try_read
 from .dedup import latest_per_key
 
 
@@ -106,12 +107,7 @@ def merge_insert_only(spark: SparkSession, source: DataFrame, path: str, keys: l
     the rows of ``source`` whose key is not yet in the table at ``path``
     (creating it on first use).  Existing rows are never updated, so
     re-running with the same source appends nothing.  Returns rows added."""
-    try:
-        target = spark.read.parquet(path)
-    except Exception as exc:
-        if "PATH_NOT_FOUND" not in str(exc) and "UNABLE_TO_INFER_SCHEMA" not in str(exc):
-            raise
-        target = None
+    target = try_read(spark, path)
     fresh = source if target is None else new_rows(source, target, keys)
     fresh = fresh.persist()
     try:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.keys import date_int, month_int, pollution_key, time_int, weather_key
 from ..sources.schemas import WEATHER_VARIABLES
+from ..sources.tables import try_read
 from .dedup import first_per_key
 
 PARTITION_COLUMN = "date_month"
@@ -79,16 +80,9 @@ def insert_new(spark: SparkSession, batch: DataFrame, target_path: str, columns:
 
 
 def _existing_keys(spark: SparkSession, path: str, key: str, lo: int, hi: int):
-    try:
-        t = spark.read.parquet(path)
-    except Exception as exc:
-        if "PATH_NOT_FOUND" in str(exc) or "UNABLE_TO_INFER_SCHEMA" in str(exc):
-            return None
-        raise
+    t = try_read(spark, path)
+    if t is None:
+        return None
     return (t.filter(F.col(PARTITION_COLUMN).between(lo // 100, hi // 100))
             .filter(F.col("date_int").between(lo, hi))
             .select(key))
-
-
-def read_fact(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)

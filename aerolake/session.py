@@ -48,10 +48,13 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 
 
 def apply_runtime_conf(spark: SparkSession) -> None:
-    """Runtime SQL settings that may be changed on an existing session."""
-    for k in ("spark.sql.session.timeZone", "spark.sql.adaptive.enabled",
-              "spark.sql.adaptive.skewJoin.enabled"):
-        spark.conf.set(k, BASE_CONF[k])
+    """Apply the runtime SQL settings to a session built elsewhere.
+
+    Static settings (``spark.ui.enabled``) are left to the launcher.
+    """
+    for k, v in BASE_CONF.items():
+        if k.startswith("spark.sql.") and spark.conf.get(k, None) != v:
+            spark.conf.set(k, v)
 
 
 def checkpoint_root(spark: SparkSession) -> str:

@@ -30,12 +30,19 @@ class Tables:
         raise AttributeError(name)
 
 
+def try_read(spark: SparkSession, path: str):
+    """The parquet table at ``path``, or None when it does not exist yet."""
+    try:
+        return spark.read.parquet(path)
+    except Exception as exc:
+        msg = str(exc)
+        if "PATH_NOT_FOUND" in msg or "UNABLE_TO_INFER_SCHEMA" in msg or "does not exist" in msg:
+            return None
+        raise
+
+
 def read_or_empty(spark: SparkSession, path: str, schema) -> DataFrame:
     """Read a parquet table, or an empty frame of ``schema`` if absent
     (the create-if-not-exists step of a keyed target)."""
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except Exception as exc:  # path does not exist yet
-        if "PATH_NOT_FOUND" in str(exc) or "does not exist" in str(exc):
-            return spark.createDataFrame([], schema)
-        raise
+    df = try_read(spark, path)
+    return spark.createDataFrame([], schema) if df is None else df
