@@ -46,7 +46,8 @@ def with_partition(df: DataFrame) -> DataFrame:
 
 
 def insert_new(spark: SparkSession, batch: DataFrame, target_path: str, columns: list[str],
-               order: list[str], key: str = "id") -> int:
+               order: list[str], key: str = "id", changes_path: str | None = None,
+               run_id: str | None = None) -> int:
     """Insert-only upsert of one batch into a parquet fact table.
 
     1. dedup the batch by key (first write wins, deterministic order);
@@ -57,7 +58,9 @@ def insert_new(spark: SparkSession, batch: DataFrame, target_path: str, columns:
     3. append the rest, partitioned by month.
 
     Re-running a batch (e.g. after a crash between append and commit)
-    inserts nothing twice.  Returns the number of rows appended.
+    inserts nothing twice.  With ``changes_path`` the months that received
+    rows are appended there as ``(run_id, date_month)`` -- the change log
+    that drives an incremental gold refresh.  Returns the rows appended.
     """
     deduped = dedup_batch(batch, order, key).select(*columns).persist()
     try:
@@ -72,6 +75,14 @@ def insert_new(spark: SparkSession, batch: DataFrame, target_path: str, columns:
         fresh = with_partition(fresh).persist()
         n = fresh.count()
         if n:
+            # Log the touched months before the append: writing the target
+            # re-caches every cached plan that reads it, after which ``fresh``
+            # (anti-joined against the target) would be empty.  A crash in
+            # between only makes a refresh recompute a month it need not.
+            if changes_path:
+                (fresh.select(PARTITION_COLUMN).distinct()
+                 .select(F.lit(run_id).alias("run_id"), PARTITION_COLUMN)
+                 .write.mode("append").parquet(changes_path))
             fresh.write.mode("append").partitionBy(PARTITION_COLUMN).parquet(target_path)
         fresh.unpersist()
         return n
@@ -86,3 +97,12 @@ def _existing_keys(spark: SparkSession, path: str, key: str, lo: int, hi: int):
     return (t.filter(F.col(PARTITION_COLUMN).between(lo // 100, hi // 100))
             .filter(F.col("date_int").between(lo, hi))
             .select(key))
+
+
+def touched_months(spark: SparkSession, changes_path: str, run_id: str) -> list[int]:
+    """Months changed by one run (a handful of values: one per month)."""
+    log = try_read(spark, changes_path)
+    if log is None:
+        return []
+    rows = log.filter(F.col("run_id") == run_id).select(PARTITION_COLUMN).distinct().collect()
+    return sorted(int(r[0]) for r in rows)

@@ -243,9 +243,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "best_hour": q_best_hour,
 }
 
-from .build import q_gold_tables, q_sql_sensors_by_city  # noqa: E402
+from .build import q_gold_incremental, q_gold_tables, q_sql_sensors_by_city  # noqa: E402
 from .streams import STREAM_QUERIES  # noqa: E402
 
 QUERIES["sql_sensors_by_city"] = q_sql_sensors_by_city
 QUERIES["gold_tables"] = q_gold_tables
+QUERIES["gold_incremental"] = q_gold_incremental
 QUERIES.update(STREAM_QUERIES)

@@ -41,9 +41,16 @@ def hour_of(ts):
 class Lake:
     """Silver and gold tables of the lake, derived from one driver directory."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    def __init__(self, spark: SparkSession, sf_dir: str, events_where=None):
+        """``events_where`` restricts the measurement / weather feeds (e.g. one
+        landing round); dimensions and the calendar always use all data."""
         self.spark = spark
         self.t = Tables(spark, sf_dir)
+        self.events_where = events_where
+
+    def events(self) -> DataFrame:
+        e = self.t.events.select("event_id", "ts", "user_id", "value")
+        return e if self.events_where is None else e.filter(self.events_where)
 
     # --- pollution dimensions -------------------------------------------------
     def location_rows(self) -> DataFrame:
@@ -93,7 +100,7 @@ class Lake:
     # --- pollution measurements -------------------------------------------------
     def measurement_feed(self) -> DataFrame:
         """Clean-measurement rows (before rules) with arrival order."""
-        e = self.t.events.select("event_id", "ts", "user_id", "value")
+        e = self.events()
         c = self.t.customer.select(F.col("c_custkey").alias("user_id"),
                                    F.col("c_nationkey").cast("int").alias("location_id"))
         start = hour_of(F.col("ts"))
@@ -134,7 +141,7 @@ class Lake:
         return dims.weather_locations_dim(self.weather_documents())
 
     def weather_feed(self) -> DataFrame:
-        e = self.t.events.select("event_id", "ts", "user_id", "value")
+        e = self.events()
         c = self.t.customer.select(F.col("c_custkey").alias("user_id"), "c_nationkey")
         n = self.t.nation.select(F.col("n_nationkey").alias("c_nationkey"), "n_regionkey")
         v = F.col("value")

@@ -493,3 +493,4 @@ SELECT l.id, l.name, h.last_date, l.sensor_id_arr FROM (
   FROM loc_sensors GROUP BY id, name, floor(sensor_id / 1000)) l
 LEFT JOIN (SELECT location_id, strptime(CAST(max(date_int) AS VARCHAR), '%Y%m%d')::DATE AS last_date
            FROM fct_pollution GROUP BY location_id) h ON l.id = h.location_id"""
+SQL["gold_incremental"] = SQL["agg_daily"]
