@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def _cols(items):
@@ -21,15 +22,27 @@ def latest_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataF
     return df.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
 
 
+FIXED_WIDTH = (T.BooleanType, T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType,
+               T.DoubleType, T.DateType, T.TimestampType, T.TimestampNTZType)
+
+
 def first_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """The row with the smallest ``order`` tuple per key (first write wins).
 
-    Written as an aggregate of ``min(struct(order..., payload...))``: each
-    task reduces its rows to one per key before the shuffle (partial
-    aggregation), so a key holding a third of all rows costs one row per
-    task on the wire.  Order columns must identify a row within a key.
+    Written as an aggregate, so each task reduces its rows to one per key
+    before the shuffle (partial aggregation) and a key holding a third of
+    all rows costs one row per task on the wire.  With one order column and
+    fixed-width payload columns it is ``min_by(col, order)`` per column,
+    which runs as a hash aggregate; otherwise ``min(struct(order...,
+    payload...))`` (sort-based).  Order columns must be non-NULL and
+    identify a row within a key.
     """
     payload = [c for c in df.columns if c not in keys and c not in order]
+    types = {f.name: f.dataType for f in df.schema.fields}
+    if len(order) == 1 and all(isinstance(types[c], FIXED_WIDTH) for c in payload + order):
+        o = F.col(order[0])
+        aggs = [F.min(o).alias(order[0])] + [F.min_by(F.col(c), o).alias(c) for c in payload]
+        return df.groupBy(*keys).agg(*aggs).select(*df.columns)
     best = F.min(F.struct(*_cols(order), *_cols(payload))).alias("_w")
     return (df.groupBy(*keys).agg(best)
             .select(*keys, *[F.col(f"_w.{c}").alias(c) for c in order + payload])

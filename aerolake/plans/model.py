@@ -118,8 +118,9 @@ class Lake:
     def fct_pollution(self) -> DataFrame:
         # Dedup on the compact natural key (the hashed id is a function of
         # it), then hash only the surviving rows.
-        clean = self.clean_measurements().withColumn(
-            "datetime_from", F.date_trunc("second", "datetime_from").cast("timestamp_ntz"))
+        clean = self.clean_measurements().select(
+            F.date_trunc("second", "datetime_from").cast("timestamp_ntz").alias("datetime_from"),
+            "sensor_id", "location_id", "value", "event_id")
         first = first_per_key(clean, ["sensor_id", "location_id", "datetime_from"], ["event_id"])
         return facts.pollution_fact_rows(first)
 
