@@ -79,6 +79,8 @@ class Lake:
 
     def sensor_rows(self) -> DataFrame:
         c = self.t.customer
+        # Parameters are the distinct segments: a handful of rows whatever the
+        # data size, so this broadcast is bounded by construction.
         p = self.dim_parameters.select(F.col("display_name").alias("c_mktsegment"), "parameter_id")
         return (c.join(F.broadcast(p), "c_mktsegment", "left")
                 .select(F.col("c_custkey").alias("sensor_id"), F.col("c_name").alias("name"),

@@ -81,6 +81,7 @@ def location_documents(lake: Lake) -> DataFrame:
                                    F.struct(F.col("parameter_id").cast("long").alias("id"), "name",
                                             F.col("display_name").alias("displayName"),
                                             "units").alias("parameter"))
+    # p: the distinct parameters, a handful of rows -- a size-bounded broadcast.
     c = (lake.t.customer.join(F.broadcast(p), "c_mktsegment", "left")
          .select(F.col("c_nationkey").alias("n_nationkey"), "c_custkey", "c_name", "parameter"))
     loc = n.join(r, n.n_regionkey == r.r_regionkey).join(c, "n_nationkey", "left")
