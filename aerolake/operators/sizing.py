@@ -1,0 +1,50 @@
+"""Small sides whose size is checked, not assumed.
+
+A side is broadcast, or handled in one task, only after counting it: the
+count stops at ``max_rows + 1`` rows, so the check costs no more than the
+bound.  Past the bound the planner's shuffle join (with AQE skew splits)
+or a distributed numbering is used instead.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+# Rows a dimension may have to be broadcast or numbered in one task.  Rows
+# of the sides checked here are a few narrow columns, so this also bounds
+# bytes (well under the default 10 MB broadcast threshold).
+SMALL_ROWS = 10_000
+
+
+def at_most(df: DataFrame, max_rows: int) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows."""
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner",
+               max_rows: int = SMALL_ROWS) -> DataFrame:
+    """``big.join(small)``, broadcasting ``small`` only if it is proven small."""
+    if at_most(small, max_rows):
+        small = F.broadcast(small)
+    return big.join(small, on, how)
+
+
+def dense_ids(df: DataFrame, column: str, id_column: str,
+              max_rows: int = SMALL_ROWS) -> DataFrame:
+    """Distinct non-NULL values of ``column`` numbered 1..n in sort order.
+
+    A set proven small is ranked in one task.  A larger set is sorted by
+    range partitions and numbered with ``zipWithIndex``, which counts each
+    sorted partition once and offsets the next by those counts, so no task
+    holds more than its own partition.
+    """
+    values = df.select(column).filter(F.col(column).isNotNull()).distinct()
+    if at_most(values, max_rows):
+        return values.select(
+            F.dense_rank().over(Window.orderBy(column)).cast("int").alias(id_column), column)
+    field = values.schema[column]
+    schema = T.StructType([T.StructField(id_column, T.IntegerType(), False), field])
+    numbered = values.orderBy(column).rdd.zipWithIndex().map(lambda p: (p[1] + 1, p[0][0]))
+    return values.sparkSession.createDataFrame(numbered, schema)

@@ -19,13 +19,14 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.keys import weather_location_key
 from ..functions.rules import MEASUREMENT_RULES, WEATHER_RULES, drop_failing
 from ..operators import dims, facts, gold
 from ..operators.dedup import first_per_key
+from ..operators.sizing import dense_ids, join_small
 from ..sources.tables import Tables
 
 # Fixed load time of rows read from driver tables (they arrive at once).
@@ -66,12 +67,11 @@ class Lake:
                         F.lit(LOAD_TS).cast("timestamp").alias("bronze_load_ts")))
 
     def parameter_rows(self) -> DataFrame:
-        # The distinct segments are a handful of rows whatever the scale
-        # (partial aggregation first); numbering them needs one ordered pass
-        # over that tiny set only.
-        segs = self.t.customer.select("c_mktsegment").filter(F.col("c_mktsegment").isNotNull()).distinct()
-        return segs.select(
-            F.dense_rank().over(Window.orderBy("c_mktsegment")).cast("int").alias("parameter_id"),
+        # Parameters are the distinct segments, numbered in sort order; the
+        # set is counted first and ranked in one task only when proven small.
+        ids = dense_ids(self.t.customer, "c_mktsegment", "parameter_id")
+        return ids.select(
+            "parameter_id",
             F.col("c_mktsegment").alias("display_name"),
             F.lower("c_mktsegment").alias("name"),
             F.lit(None).cast("string").alias("units"),
@@ -79,10 +79,9 @@ class Lake:
 
     def sensor_rows(self) -> DataFrame:
         c = self.t.customer
-        # Parameters are the distinct segments: a handful of rows whatever the
-        # data size, so this broadcast is bounded by construction.
+        # Broadcast only once the parameter set is counted and proven small.
         p = self.dim_parameters.select(F.col("display_name").alias("c_mktsegment"), "parameter_id")
-        return (c.join(F.broadcast(p), "c_mktsegment", "left")
+        return (join_small(c, p, "c_mktsegment", "left")
                 .select(F.col("c_custkey").alias("sensor_id"), F.col("c_name").alias("name"),
                         F.col("c_nationkey").cast("int").alias("location_id"), "parameter_id",
                         F.lit(LOAD_TS).cast("timestamp").alias("bronze_load_ts")))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.periods import chunk_name, page_file_name
 from ..operators import dims, shape
+from ..operators.sizing import join_small
 from ..session import scratch_path
 from ..sources.landing import SPARK_PART_GLOB, land_json
 from ..streaming import ingest, upsert
@@ -81,8 +82,7 @@ def location_documents(lake: Lake) -> DataFrame:
                                    F.struct(F.col("parameter_id").cast("long").alias("id"), "name",
                                             F.col("display_name").alias("displayName"),
                                             "units").alias("parameter"))
-    # p: the distinct parameters, a handful of rows -- a size-bounded broadcast.
-    c = (lake.t.customer.join(F.broadcast(p), "c_mktsegment", "left")
+    c = (join_small(lake.t.customer, p, "c_mktsegment", "left")
          .select(F.col("c_nationkey").alias("n_nationkey"), "c_custkey", "c_name", "parameter"))
     loc = n.join(r, n.n_regionkey == r.r_regionkey).join(c, "n_nationkey", "left")
     sensor = F.when(F.col("c_custkey").isNotNull(),

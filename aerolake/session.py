@@ -60,14 +60,17 @@ def apply_runtime_conf(spark: SparkSession) -> None:
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this is the shared file system every executor sees.  Only
-    when the session has none (a bare local test session) is a fresh local
-    folder chosen and registered, so that lineage cuts and stream state
-    always have a home.
+    On a cluster this is the shared file system every executor sees, and a
+    session without it is an error: a machine-local folder would lose
+    stream state and written layers with the machine.  Only a local-mode
+    session (tests) without one gets a fresh local folder.
     """
     sc = spark.sparkContext
     root = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
     if not root:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is not set: name a shared folder "
+                               "(e.g. on the cluster file system) for checkpoints and tables")
         import tempfile
 
         root = tempfile.mkdtemp(prefix="aerolake-ckpt-")

@@ -59,3 +59,28 @@ def test_sensor_lists_are_bounded_but_complete(spark):
     sizes = sorted(len(r.sensor_id_arr) for r in rows)
     assert sizes == [500, 1000, 1000]
     assert sorted(s for r in rows for s in r.sensor_id_arr) == list(range(2500))
+
+
+def test_dense_ids_same_in_one_task_and_distributed(spark):
+    from aerolake.operators.sizing import dense_ids
+
+    df = spark.range(3000).select((F.col("id") % 53).cast("string").alias("k"))
+    small = [tuple(r) for r in dense_ids(df, "k", "kid").orderBy("kid").collect()]
+    spread = [tuple(r) for r in dense_ids(df, "k", "kid", max_rows=4).orderBy("kid").collect()]
+    assert small == spread
+    assert [i for i, _ in small] == list(range(1, 54))
+    assert [k for _, k in small] == sorted(k for _, k in small)
+
+
+def test_broadcast_only_after_size_check(spark):
+    from aerolake.operators.sizing import at_most, join_small
+
+    big = spark.range(5000).select((F.col("id") % 100).alias("k"))
+    small = spark.range(100).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
+    assert at_most(small, 100) and not at_most(small, 99)
+    hinted = join_small(big, small, "k", max_rows=100)
+    assert "ResolvedHint" in hinted._jdf.queryExecution().analyzed().toString() or \
+        "broadcast" in hinted._jdf.queryExecution().logical().toString().lower()
+    unhinted = join_small(big, small, "k", max_rows=10)
+    assert "broadcast" not in unhinted._jdf.queryExecution().logical().toString().lower()
+    assert hinted.count() == unhinted.count() == 5000
