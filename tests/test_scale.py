@@ -84,3 +84,16 @@ def test_broadcast_only_after_size_check(spark):
     unhinted = join_small(big, small, "k", max_rows=10)
     assert "broadcast" not in unhinted._jdf.queryExecution().logical().toString().lower()
     assert hinted.count() == unhinted.count() == 5000
+
+
+def test_scale_conf_sizes_partitions():
+    from aerolake.session import scale_conf
+
+    tb = 1024 ** 4
+    c = scale_conf(30 * tb, 8000)
+    assert c["spark.sql.shuffle.partitions"] == "100000"
+    assert c["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] == "100000"
+    small = scale_conf(1024 ** 3, 64)
+    assert int(small["spark.sql.shuffle.partitions"]) == 192     # 3 tasks per core
+    mid = scale_conf(2 * tb, 256)
+    assert int(mid["spark.sql.shuffle.partitions"]) == 8192      # 256 MB per reducer
