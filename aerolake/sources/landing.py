@@ -36,27 +36,38 @@ def land_json(docs: DataFrame, path: str, name_col: str | None = None) -> None:
 
 
 def json_stream(spark: SparkSession, path: str, schema: StructType, glob: str,
-                max_files: int | None = None, multiline: bool = False) -> DataFrame:
+                max_files: int | None = None, multiline: bool = False,
+                max_bytes: int | None = None) -> DataFrame:
     """Incremental stream of new JSON files under ``path``.
 
     Seen files are tracked in the query checkpoint, so a rerun reads only
-    files that arrived since.  ``max_files`` bounds the files per
-    micro-batch (gzip files are not splittable: parallelism is per file).
-    ``multiline`` reads one whole document per file (downloader files);
-    Spark-landed files hold one document per line.
+    files that arrived since.  Each micro-batch is bounded either by
+    ``max_bytes`` of new files (a soft bound: a batch takes at least one
+    file) or by ``max_files``; the two are exclusive.  Gzip files are not
+    splittable, so parallelism is per file.  ``multiline`` reads one whole
+    document per file (downloader files); Spark-landed files hold one
+    document per line.
     """
     if NAME_FIELD not in schema.fieldNames():
         schema = StructType(schema.fields + [StructField(NAME_FIELD, StringType())])
     r = (spark.readStream.format("json").schema(schema)
          .option("multiLine", str(multiline).lower())
          .option("pathGlobFilter", glob))
-    if max_files:
-        r = r.option("maxFilesPerTrigger", int(max_files))
+    r = rate_limit(r, max_files, max_bytes)
     df = r.load(path)
     physical = F.col("_metadata.file_name")
     return df.withColumn("_landing_name", F.coalesce(F.col(NAME_FIELD), physical)).drop(NAME_FIELD)
 
 
+def rate_limit(reader, max_files: int | None, max_bytes: int | None):
+    """Bound a file stream's micro-batches by files or by bytes."""
+    if max_files:
+        return reader.option("maxFilesPerTrigger", int(max_files))
+    if max_bytes:
+        return reader.option("maxBytesPerTrigger", int(max_bytes))
+    return reader
+
+
 def source_name_col():
     return F.col("_landing_name")
 

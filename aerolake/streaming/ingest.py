@@ -10,13 +10,19 @@ from pyspark.sql import functions as F
 from ..functions.rules import MEASUREMENT_RULES, WEATHER_RULES, drop_failing, observe_failing
 from ..operators import shape
 from ..sources import schemas
-from ..sources.landing import json_stream, source_name_col
+from ..sources.landing import json_stream, rate_limit, source_name_col
 
-# Files per micro-batch.  The source pipeline read one file per batch; a
-# bounded but larger batch keeps a backlog (``availableNow`` over months of
-# landed files) from becoming one giant batch while amortising per-batch
-# cost.  Gzip files are not splittable: parallelism is one task per file.
-DEFAULT_MAX_FILES = 1000
+# Bytes of new files per micro-batch.  The source pipeline read one file
+# per batch, and a landed page holds only 1,000 rows, so a file count would
+# make a backlog of months into millions of tiny batches, each paying the
+# fixed cost of planning, the upsert's anti-join and the commit.  A byte
+# budget keeps batches equal in work whatever the file sizes; at about 50x
+# gzip compression 4 GB is some 200 GB of documents, enough to fill a large
+# cluster, yet a backlog still runs as a sequence of bounded batches.
+# ``max_files=1`` gives the source's behaviour.
+DEFAULT_MAX_BYTES = 4 * 1024 ** 3
+# Bronze parquet hops: the same bound on columnar files.
+DEFAULT_MAX_PARQUET_BYTES = 16 * 1024 ** 3
 
 
 def run_available(df: DataFrame, checkpoint: str, path: str | None = None,
@@ -47,33 +53,31 @@ def _stamp(df: DataFrame) -> DataFrame:
         "bronze_load_ts", F.current_timestamp())
 
 
-def bronze_locations(spark: SparkSession, landing: str, glob: str, max_files=DEFAULT_MAX_FILES,
-                     multiline=False) -> DataFrame:
-    raw = json_stream(spark, landing, schemas.LOCATIONS_FILE, glob, max_files, multiline)
+def bronze_locations(spark: SparkSession, landing: str, glob: str, max_files=None,
+                     multiline=False, max_bytes=DEFAULT_MAX_BYTES) -> DataFrame:
+    raw = json_stream(spark, landing, schemas.LOCATIONS_FILE, glob, max_files, multiline, max_bytes)
     return _stamp(raw).select(F.explode("results").alias("results"), "source_file_name",
                               "bronze_load_ts")
 
 
-def bronze_measurements(spark: SparkSession, landing: str, glob: str, max_files=DEFAULT_MAX_FILES,
-                        multiline=False) -> DataFrame:
-    raw = json_stream(spark, landing, schemas.MEASUREMENTS_FILE, glob, max_files, multiline)
+def bronze_measurements(spark: SparkSession, landing: str, glob: str, max_files=None,
+                        multiline=False, max_bytes=DEFAULT_MAX_BYTES) -> DataFrame:
+    raw = json_stream(spark, landing, schemas.MEASUREMENTS_FILE, glob, max_files, multiline, max_bytes)
     return _stamp(raw).select(F.explode("results").alias("results"), "source_file_name",
                               "bronze_load_ts")
 
 
-def bronze_weather(spark: SparkSession, landing: str, glob: str, max_files=DEFAULT_MAX_FILES,
-                   multiline=False) -> DataFrame:
-    raw = json_stream(spark, landing, schemas.WEATHER_FILE, glob, max_files, multiline)
+def bronze_weather(spark: SparkSession, landing: str, glob: str, max_files=None,
+                   multiline=False, max_bytes=DEFAULT_MAX_BYTES) -> DataFrame:
+    raw = json_stream(spark, landing, schemas.WEATHER_FILE, glob, max_files, multiline, max_bytes)
     return _stamp(raw).drop("_landing_name")
 
 
 def read_bronze_stream(spark: SparkSession, path: str, like: DataFrame,
-                       max_files: int | None = DEFAULT_MAX_FILES) -> DataFrame:
+                       max_files: int | None = None,
+                       max_bytes: int | None = DEFAULT_MAX_PARQUET_BYTES) -> DataFrame:
     """Stream a bronze parquet table (schema taken from its definition)."""
-    r = spark.readStream.schema(like.schema)
-    if max_files:
-        r = r.option("maxFilesPerTrigger", int(max_files))
-    return r.parquet(path)
+    return rate_limit(spark.readStream.schema(like.schema), max_files, max_bytes).parquet(path)
 
 
 def clean_measurements_stream(bronze: DataFrame) -> DataFrame:

@@ -123,3 +123,19 @@ def test_sample_schema(spark, tmpdir_path):
     put(land, "5_6_A_2024-01-01_2024-03-31_page1.json.gz", {"results": [meas(1.0)]})
     s = sample_schema(spark, land, MEASUREMENTS_GLOB)
     assert "results" in s.fieldNames()
+
+
+def test_byte_bound_splits_a_backlog_into_batches(spark, tmpdir_path):
+    land = tmpdir_path + "/mb"
+    for i in range(6):
+        put(land, f"{i + 1}_7_X_2024-01-01_2024-03-31_page1.json.gz",
+            {"results": [meas(float(i + 1))] * 50})
+    size = max(os.path.getsize(os.path.join(land, f)) for f in os.listdir(land))
+    bronze = ingest.bronze_measurements(spark, land, MEASUREMENTS_GLOB, multiline=True,
+                                        max_bytes=2 * size)
+    out = f"{tmpdir_path}/raw_b"
+    progress = ingest.run_available(bronze, f"{tmpdir_path}/_ck/raw_b", out)
+    batches = [p["numInputRows"] for p in progress if p["numInputRows"]]
+    # input rows are documents (one per file): several bounded batches, no file lost
+    assert len(batches) >= 3 and sum(batches) == 6
+    assert spark.read.parquet(out).count() == 300
