@@ -1,5 +1,8 @@
 import datetime as dt
 
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+
 from pyspark.sql import functions as F
 
 from aerolake.operators import dims, facts
@@ -80,3 +83,37 @@ def test_merge_insert_only(spark, tmpdir_path):
     assert dims.merge_insert_only(spark, again, path, ["location_id"]) == 1
     got = sorted(tuple(r) for r in spark.read.parquet(path).collect())
     assert got == [("a", 1), ("b", 2), ("c", 3)]
+
+
+@settings(max_examples=5, deadline=None,
+          suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(st.integers(1, 3), st.integers(0, 50), st.integers(1, 99)),
+                min_size=1, max_size=30),
+       st.integers(1, 3))
+def test_upsert_batches_keep_first_arrival(spark, rows, n_batches):
+    """Against brute force: whatever the split into batches, each key keeps
+    the value of its first arrival, and replaying every batch adds nothing."""
+    import tempfile
+
+    target = tempfile.mkdtemp(prefix="aerolake-prop-", dir="/tmp") + "/fct"
+    base = dt.datetime(2024, 1, 31, 20)          # hours span a month boundary
+    cols = FCT_POLLUTION.fieldNames()
+    order = ["bronze_load_ts", "source_file_name", "value"]
+    batches = [[] for _ in range(n_batches)]
+    for i, (sensor, hour, value) in enumerate(rows):
+        b = i * n_batches // len(rows)
+        batches[b].append((sensor, 7, base + dt.timedelta(hours=hour), float(value), b, f"f{i:03d}"))
+    for _ in range(2):                           # second pass replays every batch
+        for b in batches:
+            if b:
+                facts.insert_new(spark, _fact_batch(spark, b), target, cols, order)
+    expected = {}
+    for sensor, hour, value in rows:
+        expected.setdefault((sensor, hour), float(value))
+    got = {}
+    for r in spark.read.parquet(target).collect():
+        hour = (dt.datetime.strptime(f"{r.date_int}{r.time_int:04d}", "%Y%m%d%H%M") - base)
+        key = (r.sensor_id, int(hour.total_seconds() // 3600))
+        assert key not in got
+        got[key] = r.value
+    assert got == expected
