@@ -91,6 +91,39 @@ def count_failing(df: DataFrame, rules: dict[str, str], rule_set: str) -> DataFr
                     F.col("p.failed_rows").alias("failed_rows"), "total_rows"))
 
 
+def count_failing_sets(df: DataFrame, sets: list[tuple[str, dict[str, str], str | None]]) -> DataFrame:
+    """``count_failing`` of several rule sets over one scan of ``df``.
+
+    ``sets`` holds ``(rule_set, rules, struct)``; a set's columns are the
+    top-level columns (``struct`` None) or the fields of struct column
+    ``struct``.  Each set's predicates are evaluated in its own projection
+    step, where its columns are in scope by their plain names, so two sets
+    may use one column name for different things.  All counts then come
+    from a single global aggregate.
+    """
+    structs = [st for _, _, st in sets if st]
+    names = [[f"_f{i}_{j}" for j in range(len(rules))] for i, (_, rules, _) in enumerate(sets)]
+    flags: list[str] = []
+    cur = df
+    # top-level sets first, while the top-level columns are still there
+    for i in sorted(range(len(sets)), key=lambda i: sets[i][2] is not None):
+        _, rules, struct = sets[i]
+        scope = cur
+        if struct:
+            structs.remove(struct)
+            scope = cur.select(*flags, *structs, f"{struct}.*")
+        cur = scope.select(*flags, *structs,
+                           *[passes(p).alias(n) for n, p in zip(names[i], rules.values())])
+        flags += names[i]
+    agg = cur.agg(F.count(F.lit(1)).alias("total_rows"),
+                  *[F.count_if(~F.col(n)).alias(n) for n in flags])
+    pairs = [F.struct(F.lit(rule_set).alias("rule_set"), F.lit(rule).alias("rule"),
+                      F.col(n).alias("failed_rows"))
+             for (rule_set, rules, _), ns in zip(sets, names) for rule, n in zip(rules, ns)]
+    return (agg.select("total_rows", F.explode(F.array(*pairs)).alias("p"))
+            .select("p.rule_set", "p.rule", "p.failed_rows", "total_rows"))
+
+
 def observe_failing(df: DataFrame, rules: dict[str, str], name: str) -> DataFrame:
     """Streaming form: attach per-rule failure counts as observed metrics.
 

@@ -43,8 +43,9 @@ def q_rules_counts(spark, sf_dir):
         R.count_failing(lk.location_rows(), R.LOCATION_RULES, "locations"),
         R.count_failing(lk.parameter_rows(), R.PARAMETER_RULES, "parameters"),
         R.count_failing(lk.sensor_rows(), R.SENSOR_RULES, "sensors"),
-        R.count_failing(lk.measurement_feed(), R.MEASUREMENT_RULES, "measurements"),
-        R.count_failing(lk.weather_feed(), R.WEATHER_RULES, "weather"),
+        # both event feeds from one scan of events
+        R.count_failing_sets(lk.both_feeds(), [("measurements", R.MEASUREMENT_RULES, None),
+                                               ("weather", R.WEATHER_RULES, "weather")]),
     ]
     out = parts[0]
     for p in parts[1:]:

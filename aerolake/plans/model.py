@@ -99,18 +99,29 @@ class Lake:
         return dims.sensors_dim(self.sensor_rows())
 
     # --- pollution measurements -------------------------------------------------
-    def measurement_feed(self) -> DataFrame:
-        """Clean-measurement rows (before rules) with arrival order."""
+    def _readings(self, with_region: bool) -> DataFrame:
+        """Events with their sensor's location (and its region, for weather)."""
         e = self.events()
-        c = self.t.customer.select(F.col("c_custkey").alias("user_id"),
-                                   F.col("c_nationkey").cast("int").alias("location_id"))
+        c = self.t.customer.select(F.col("c_custkey").alias("user_id"), "c_nationkey")
+        out = e.join(c, "user_id", "left")
+        if with_region:
+            n = self.t.nation.select(F.col("n_nationkey").alias("c_nationkey"), "n_regionkey")
+            out = out.join(n, "c_nationkey", "left")
+        return out
+
+    @staticmethod
+    def _measurement_columns() -> list:
         start = hour_of(F.col("ts"))
-        return (e.join(c, "user_id", "left")
-                .select(start.alias("datetime_from"),
-                        (start + F.expr("INTERVAL 1 HOUR")).alias("datetime_to"),
-                        F.col("value").cast("float").alias("value"),
-                        F.lit("01:00:00").alias("interval"),
-                        "location_id", F.col("user_id").alias("sensor_id"), "event_id"))
+        return [start.alias("datetime_from"),
+                (start + F.expr("INTERVAL 1 HOUR")).alias("datetime_to"),
+                F.col("value").cast("float").alias("value"),
+                F.lit("01:00:00").alias("interval"),
+                F.col("c_nationkey").cast("int").alias("location_id"),
+                F.col("user_id").alias("sensor_id"), "event_id"]
+
+    def measurement_feed(self) -> DataFrame:
+        """Clean-measurement rows (before rules) with arrival order."""
+        return self._readings(False).select(*self._measurement_columns())
 
     def clean_measurements(self) -> DataFrame:
         return drop_failing(self.measurement_feed(), MEASUREMENT_RULES)
@@ -142,27 +153,33 @@ class Lake:
     def dim_weather_locations(self) -> DataFrame:
         return dims.weather_locations_dim(self.weather_documents())
 
-    def weather_feed(self) -> DataFrame:
-        e = self.events()
-        c = self.t.customer.select(F.col("c_custkey").alias("user_id"), "c_nationkey")
-        n = self.t.nation.select(F.col("n_nationkey").alias("c_nationkey"), "n_regionkey")
+    @staticmethod
+    def _weather_columns() -> list:
         v = F.col("value")
         nul = lambda t: F.lit(None).cast(t)
-        return (e.join(c, "user_id", "left").join(n, "c_nationkey", "left")
-                .select(weather_location_key(F.col("c_nationkey").cast("double"),
-                                             F.col("n_regionkey").cast("double")).alias("location_id"),
-                        hour_of(F.col("ts")).alias("datetime"),
-                        nul("float").alias("apparent_temperature"),
-                        nul("float").alias("precipitation"),
-                        nul("int").alias("relative_humidity_2m"),
-                        v.cast("float").alias("temperature_2m"),
-                        nul("int").alias("wind_direction_100m"),
-                        (F.floor(v).cast("int") % 360).alias("wind_direction_10m"),
-                        nul("float").alias("wind_gusts_10m"),
-                        nul("float").alias("wind_speed_100m"),
-                        (v / 10).cast("float").alias("wind_speed_10m"),
-                        v.cast("float").alias("surface_pressure"),
-                        "event_id"))
+        return [weather_location_key(F.col("c_nationkey").cast("double"),
+                                     F.col("n_regionkey").cast("double")).alias("location_id"),
+                hour_of(F.col("ts")).alias("datetime"),
+                nul("float").alias("apparent_temperature"),
+                nul("float").alias("precipitation"),
+                nul("int").alias("relative_humidity_2m"),
+                v.cast("float").alias("temperature_2m"),
+                nul("int").alias("wind_direction_100m"),
+                (F.floor(v).cast("int") % 360).alias("wind_direction_10m"),
+                nul("float").alias("wind_gusts_10m"),
+                nul("float").alias("wind_speed_100m"),
+                (v / 10).cast("float").alias("wind_speed_10m"),
+                v.cast("float").alias("surface_pressure"),
+                "event_id"]
+
+    def weather_feed(self) -> DataFrame:
+        return self._readings(True).select(*self._weather_columns())
+
+    def both_feeds(self) -> DataFrame:
+        """Measurement columns at the top level and the weather columns of
+        the same event in struct ``weather``: both feeds from one scan."""
+        return self._readings(True).select(*self._measurement_columns(),
+                                           F.struct(*self._weather_columns()).alias("weather"))
 
     @cached_property
     def fct_weather(self) -> DataFrame:

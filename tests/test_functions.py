@@ -120,3 +120,19 @@ def test_calendar_columns_edges(spark):
     s30, o1 = rows[dt.date(2024, 9, 30)], rows[dt.date(2024, 10, 1)]
     assert (s30.fiscal_year_oct_to_sep, s30.fiscal_month_oct_to_sep) == (2024, 12)
     assert (o1.fiscal_year_oct_to_sep, o1.fiscal_month_oct_to_sep, o1.quarter_of_year) == (2025, 1, 4)
+
+
+def test_rule_sets_counted_together_equal_separate_counts(spark):
+    # both sets test a column named "x", meaning different things in each
+    df = spark.createDataFrame([(1, None, 5), (None, "a", 5), (None, None, 900), (2, "b", None)],
+                               "x int, wx string, v int").select(
+        "x", "v", F.struct(F.col("wx").alias("x"), F.col("v").alias("y")).alias("w"))
+    top = {"x is not null": "x IS NOT NULL", "v in range": "v > 0 AND v < 800"}
+    nested = {"x is not null": "x IS NOT NULL", "y present": "y IS NOT NULL"}
+    together = R.count_failing_sets(df, [("w", nested, "w"), ("top", top, None)])
+    separate = R.count_failing(df.select("x", "v"), top, "top").unionByName(
+        R.count_failing(df.select("w.*"), nested, "w"))
+    assert sorted(tuple(r) for r in together.collect()) == sorted(tuple(r) for r in separate.collect())
+    got = {(r.rule_set, r.rule): r.failed_rows for r in together.collect()}
+    assert got[("top", "x is not null")] == 2 and got[("w", "x is not null")] == 2
+    assert got[("top", "v in range")] == 2 and got[("w", "y present")] == 1
