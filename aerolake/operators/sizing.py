@@ -24,16 +24,20 @@ def at_most(df: DataFrame, max_rows: int) -> bool:
 
 
 def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner",
-               max_rows: int = SMALL_ROWS) -> DataFrame:
-    """``big.join(small)``, broadcasting ``small`` only if it is proven small."""
-    if at_most(small, max_rows):
-        small = F.broadcast(small)
-    return big.join(small, on, how)
+               max_rows: int = SMALL_ROWS, known_small: bool | None = None) -> DataFrame:
+    """``big.join(small)``, broadcasting ``small`` only if it is proven small.
+
+    ``known_small`` passes on a proof made earlier (e.g. by ``dense_ids``
+    for the rows ``small`` derives from), so the side is not counted twice.
+    """
+    small_enough = at_most(small, max_rows) if known_small is None else known_small
+    return big.join(F.broadcast(small) if small_enough else small, on, how)
 
 
 def dense_ids(df: DataFrame, column: str, id_column: str,
-              max_rows: int = SMALL_ROWS) -> DataFrame:
-    """Distinct non-NULL values of ``column`` numbered 1..n in sort order.
+              max_rows: int = SMALL_ROWS) -> tuple[DataFrame, bool]:
+    """Distinct non-NULL values of ``column`` numbered 1..n in sort order,
+    and whether the set was proven to hold at most ``max_rows`` values.
 
     A set proven small is ranked in one task.  A larger set is sorted by
     range partitions and numbered with ``zipWithIndex``, which counts each
@@ -43,8 +47,8 @@ def dense_ids(df: DataFrame, column: str, id_column: str,
     values = df.select(column).filter(F.col(column).isNotNull()).distinct()
     if at_most(values, max_rows):
         return values.select(
-            F.dense_rank().over(Window.orderBy(column)).cast("int").alias(id_column), column)
+            F.dense_rank().over(Window.orderBy(column)).cast("int").alias(id_column), column), True
     field = values.schema[column]
     schema = T.StructType([T.StructField(id_column, T.IntegerType(), False), field])
     numbered = values.orderBy(column).rdd.zipWithIndex().map(lambda p: (p[1] + 1, p[0][0]))
-    return values.sparkSession.createDataFrame(numbered, schema)
+    return values.sparkSession.createDataFrame(numbered, schema), False

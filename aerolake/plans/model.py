@@ -66,10 +66,14 @@ class Lake:
                         n.n_regionkey.cast("float").alias("longitude"),
                         F.lit(LOAD_TS).cast("timestamp").alias("bronze_load_ts")))
 
-    def parameter_rows(self) -> DataFrame:
+    @cached_property
+    def segment_ids(self) -> tuple[DataFrame, bool]:
         # Parameters are the distinct segments, numbered in sort order; the
         # set is counted first and ranked in one task only when proven small.
-        ids = dense_ids(self.t.customer, "c_mktsegment", "parameter_id")
+        return dense_ids(self.t.customer, "c_mktsegment", "parameter_id")
+
+    def parameter_rows(self) -> DataFrame:
+        ids, _ = self.segment_ids
         return ids.select(
             "parameter_id",
             F.col("c_mktsegment").alias("display_name"),
@@ -79,9 +83,10 @@ class Lake:
 
     def sensor_rows(self) -> DataFrame:
         c = self.t.customer
-        # Broadcast only once the parameter set is counted and proven small.
+        # Broadcast only if the parameter set was proven small when numbered
+        # (the dimension has at most one row per segment).
         p = self.dim_parameters.select(F.col("display_name").alias("c_mktsegment"), "parameter_id")
-        return (join_small(c, p, "c_mktsegment", "left")
+        return (join_small(c, p, "c_mktsegment", "left", known_small=self.segment_ids[1])
                 .select(F.col("c_custkey").alias("sensor_id"), F.col("c_name").alias("name"),
                         F.col("c_nationkey").cast("int").alias("location_id"), "parameter_id",
                         F.lit(LOAD_TS).cast("timestamp").alias("bronze_load_ts")))

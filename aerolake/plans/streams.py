@@ -82,7 +82,7 @@ def location_documents(lake: Lake) -> DataFrame:
                                    F.struct(F.col("parameter_id").cast("long").alias("id"), "name",
                                             F.col("display_name").alias("displayName"),
                                             "units").alias("parameter"))
-    c = (join_small(lake.t.customer, p, "c_mktsegment", "left")
+    c = (join_small(lake.t.customer, p, "c_mktsegment", "left", known_small=lake.segment_ids[1])
          .select(F.col("c_nationkey").alias("n_nationkey"), "c_custkey", "c_name", "parameter"))
     loc = n.join(r, n.n_regionkey == r.r_regionkey).join(c, "n_nationkey", "left")
     sensor = F.when(F.col("c_custkey").isNotNull(),

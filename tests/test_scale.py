@@ -65,8 +65,11 @@ def test_dense_ids_same_in_one_task_and_distributed(spark):
     from aerolake.operators.sizing import dense_ids
 
     df = spark.range(3000).select((F.col("id") % 53).cast("string").alias("k"))
-    small = [tuple(r) for r in dense_ids(df, "k", "kid").orderBy("kid").collect()]
-    spread = [tuple(r) for r in dense_ids(df, "k", "kid", max_rows=4).orderBy("kid").collect()]
+    one, proven = dense_ids(df, "k", "kid")
+    many, spread_proven = dense_ids(df, "k", "kid", max_rows=4)
+    assert proven and not spread_proven
+    small = [tuple(r) for r in one.orderBy("kid").collect()]
+    spread = [tuple(r) for r in many.orderBy("kid").collect()]
     assert small == spread
     assert [i for i, _ in small] == list(range(1, 54))
     assert [k for _, k in small] == sorted(k for _, k in small)
