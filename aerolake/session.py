@@ -23,6 +23,13 @@ BASE_CONF = {
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "256m",
+    # Streaming state (the parameter dedup keeps every key it has seen) lives
+    # in RocksDB off the JVM heap; its changelogs and snapshots go to the
+    # query checkpoint in the shared folder, so a lost executor's state is
+    # rebuilt from there.
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     "spark.ui.enabled": "false",
 }
 
