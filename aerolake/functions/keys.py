@@ -15,6 +15,18 @@ def _text(c: Column) -> Column:
     return c.cast("string")
 
 
+def key_text(*parts: Column) -> Column:
+    """The text a key hashes: the parts joined with '|'; NULL if any part is
+    NULL.  Equal texts give equal keys, so rows can be grouped on this short
+    form and hashed afterwards."""
+    any_null = reduce(lambda a, b: a | b, (p.isNull() for p in parts))
+    return F.when(~any_null, F.concat_ws("|", *[_text(p) for p in parts]))
+
+
+def hash_text(text: Column) -> Column:
+    return F.sha2(text, 256)
+
+
 def hashed_key(*parts: Column) -> Column:
     """sha-256 hex of the parts joined with '|'; NULL if any part is NULL.
 
@@ -22,8 +34,7 @@ def hashed_key(*parts: Column) -> Column:
     for a missing part lets a "key is not null" rule drop the row instead of
     hashing a partial key.
     """
-    any_null = reduce(lambda a, b: a | b, (p.isNull() for p in parts))
-    return F.when(~any_null, F.sha2(F.concat_ws("|", *[_text(p) for p in parts]), 256))
+    return hash_text(key_text(*parts))
 
 
 def ts_text(ts: Column) -> Column:
@@ -43,6 +54,11 @@ def weather_location_key(latitude: Column, longitude: Column) -> Column:
     return hashed_key(latitude, longitude)
 
 
+def weather_location_text(latitude: Column, longitude: Column) -> Column:
+    """The text ``weather_location_key`` hashes (NULL without coordinates)."""
+    return key_text(latitude, longitude)
+
+
 def date_int(ts: Column) -> Column:
     """yyyymmdd as INT."""
     return (F.year(ts) * 10000 + F.month(ts) * 100 + F.dayofmonth(ts)).cast("int")

@@ -22,7 +22,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.keys import weather_location_key
+from ..functions.keys import hash_text, weather_location_key, weather_location_text
 from ..functions.rules import MEASUREMENT_RULES, WEATHER_RULES, drop_failing
 from ..operators import dims, facts, gold
 from ..operators.dedup import first_per_key
@@ -159,11 +159,14 @@ class Lake:
         return dims.weather_locations_dim(self.weather_documents())
 
     @staticmethod
-    def _weather_columns() -> list:
+    def _weather_columns(hashed: bool = True) -> list:
+        """Weather reading columns; with ``hashed`` False the location id is
+        still the text its key hashes (NULL exactly when the key is NULL)."""
         v = F.col("value")
         nul = lambda t: F.lit(None).cast(t)
-        return [weather_location_key(F.col("c_nationkey").cast("double"),
-                                     F.col("n_regionkey").cast("double")).alias("location_id"),
+        location = weather_location_key if hashed else weather_location_text
+        return [location(F.col("c_nationkey").cast("double"),
+                         F.col("n_regionkey").cast("double")).alias("location_id"),
                 hour_of(F.col("ts")).alias("datetime"),
                 nul("float").alias("apparent_temperature"),
                 nul("float").alias("precipitation"),
@@ -188,10 +191,14 @@ class Lake:
 
     @cached_property
     def fct_weather(self) -> DataFrame:
-        clean = drop_failing(self.weather_feed(), WEATHER_RULES).withColumn(
+        # Rules and dedup run on the location key's text (a short string, and
+        # NULL exactly when the key is), then only surviving rows are hashed:
+        # a compact shuffle key, and no sha-256 of repeated readings.
+        feed = self._readings(True).select(*self._weather_columns(hashed=False))
+        clean = drop_failing(feed, WEATHER_RULES).withColumn(
             "datetime", F.date_trunc("second", "datetime").cast("timestamp_ntz"))
         first = first_per_key(clean, ["location_id", "datetime"], ["event_id"])
-        return facts.weather_fact_rows(first)
+        return facts.weather_fact_rows(first.withColumn("location_id", hash_text(F.col("location_id"))))
 
     def weather_array_documents(self) -> DataFrame:
         """One weather document per embedding: hour i holds element i."""
