@@ -121,3 +121,28 @@ def test_no_registered_query_plans_pair_joins_or_python(spark):
         plan = fn(spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
         for bad in FORBIDDEN:
             assert bad not in plan, (name, bad)
+
+
+def test_cluster_session_needs_a_shared_checkpoint_folder():
+    import pytest
+
+    from aerolake.session import checkpoint_root
+
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Context:
+        master = "yarn"
+
+        def getCheckpointDir(self):
+            return None
+
+        def getConf(self):
+            return Conf()
+
+    class Session:
+        sparkContext = Context()
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        checkpoint_root(Session())
