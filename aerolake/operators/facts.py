@@ -47,7 +47,7 @@ def with_partition(df: DataFrame) -> DataFrame:
 
 def insert_new(spark: SparkSession, batch: DataFrame, target_path: str, columns: list[str],
                order: list[str], key: str = "id", changes_path: str | None = None,
-               run_id: str | None = None) -> int:
+               run_id: str | None = None, dedup: bool = True) -> int:
     """Insert-only upsert of one batch into a parquet fact table.
 
     1. dedup the batch by key (first write wins, deterministic order);
@@ -60,9 +60,11 @@ def insert_new(spark: SparkSession, batch: DataFrame, target_path: str, columns:
     Re-running a batch (e.g. after a crash between append and commit)
     inserts nothing twice.  With ``changes_path`` the months that received
     rows are appended there as ``(run_id, date_month)`` -- the change log
-    that drives an incremental gold refresh.  Returns the rows appended.
+    that drives an incremental gold refresh.  ``dedup=False`` skips step 1
+    for a batch the caller has already reduced to one row per key.  Returns
+    the rows appended.
     """
-    deduped = dedup_batch(batch, order, key).select(*columns).persist()
+    deduped = (dedup_batch(batch, order, key) if dedup else batch).select(*columns).persist()
     try:
         lo_hi = deduped.agg(F.min("date_int").alias("lo"), F.max("date_int").alias("hi")).first()
         if lo_hi is None or lo_hi["lo"] is None:

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from ..operators.dedup import first_per_key
 from ..operators.facts import insert_new, pollution_fact_rows, weather_fact_rows
 from ..sources.schemas import FCT_POLLUTION, FCT_WEATHER
 from .ingest import run_available
@@ -15,26 +17,45 @@ WEATHER_ORDER = ["bronze_load_ts", "source_file_name", "temperature_2m", "surfac
 
 
 def upsert_stream(spark: SparkSession, facts: DataFrame, target: str, checkpoint: str,
-                  columns: list[str], order: list[str]):
+                  columns: list[str], order: list[str], first_rows=None):
     """Run ``facts`` (a keyed stream) into ``target`` with first-write-wins.
 
     Each micro-batch is deduplicated by key and anti-joined against the
     target (restricted to the batch's months) before appending; a replayed
-    batch therefore inserts nothing twice.
+    batch therefore inserts nothing twice.  ``first_rows(batch)``, when
+    given, turns a micro-batch into keyed rows already reduced to one per
+    key, and replaces the dedup on the hashed key.
     """
     inserted = []
 
     def each_batch(batch: DataFrame, batch_id: int):
-        inserted.append(insert_new(batch.sparkSession, batch, target, columns, order))
+        rows = batch if first_rows is None else first_rows(batch)
+        inserted.append(insert_new(batch.sparkSession, rows, target, columns, order,
+                                   dedup=first_rows is None))
 
     run_available(facts, checkpoint, foreach_batch=each_batch)
     return inserted
 
 
+# The pollution id hashes exactly (sensor, location, datetime_from to the
+# second), so a batch is reduced on those compact columns and only the
+# surviving rows are hashed.  time_int is fixed by the key, so the order
+# needs only load time, file and value.
+POLLUTION_NATURAL_KEY = ["sensor_id", "location_id", "datetime_from"]
+POLLUTION_NATURAL_ORDER = ["bronze_load_ts", "source_file_name", "value"]
+
+
+def first_pollution_rows(batch: DataFrame) -> DataFrame:
+    """One fact row per natural key of a clean micro-batch (first arrival)."""
+    b = batch.select(F.date_trunc("second", "datetime_from").alias("datetime_from"),
+                     "sensor_id", "location_id", *POLLUTION_NATURAL_ORDER)
+    first = first_per_key(b, POLLUTION_NATURAL_KEY, POLLUTION_NATURAL_ORDER)
+    return pollution_fact_rows(first, extra=["bronze_load_ts", "source_file_name"])
+
+
 def upsert_pollution(spark: SparkSession, clean: DataFrame, target: str, checkpoint: str):
-    rows = pollution_fact_rows(clean, extra=["bronze_load_ts", "source_file_name"])
-    return upsert_stream(spark, rows, target, checkpoint, FCT_POLLUTION.fieldNames(),
-                         POLLUTION_ORDER)
+    return upsert_stream(spark, clean, target, checkpoint, FCT_POLLUTION.fieldNames(),
+                         POLLUTION_ORDER, first_rows=first_pollution_rows)
 
 
 def upsert_weather(spark: SparkSession, clean: DataFrame, target: str, checkpoint: str):
