@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from aerolake.llm import planes
+from aerolake.llm import minhash, planes
 
 QUERIES = {
     "op1_token_planes": planes.op1,
+    "op5_minhash_join": minhash.op5,
 }
