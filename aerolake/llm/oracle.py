@@ -3,3 +3,20 @@
 from __future__ import annotations
 
 SQL: dict[str, str] = {}
+
+SQL["op9_warc_dictionary"] = """
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
+d AS (SELECT page_id, octet_length(payload) AS payload_bytes, sha1(payload) AS hex,
+             min(page_id) OVER (PARTITION BY sha1(payload)) AS first FROM p),
+bits AS (SELECT *, list_transform(range(0, 40), i ->
+           list_position(['0','1','2','3','4','5','6','7','8','9','a','b','c','d','e','f'],
+                         substr(hex, i + 1, 1)) - 1) AS h FROM d)
+SELECT page_id, payload_bytes,
+       array_to_string(list_transform(range(0, 32), i ->
+         substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST(1 +
+           (((h[(5 * i) // 4 + 1] * 16 + coalesce(h[(5 * i) // 4 + 2], 0))
+             >> CAST(3 - (5 * i) % 4 AS INTEGER)) & 31) AS INTEGER), 1)), '') AS payload_digest,
+       CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id = first THEN NULL ELSE first END AS refers_to
+FROM bits
+"""

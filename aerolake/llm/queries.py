@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from aerolake.llm import minhash, planes
+from aerolake.llm import minhash, planes, warc
 
 QUERIES = {
     "op1_token_planes": planes.op1,
     "op5_minhash_join": minhash.op5,
+    "op9_warc_dictionary": warc.op9,
 }
