@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from aerolake.llm import minhash, planes, warc
+from aerolake.llm import minhash, planes, secret_scan, url_rules, warc
 
 QUERIES = {
     "op1_token_planes": planes.op1,
     "op5_minhash_join": minhash.op5,
+    "op7_secret_entropy": secret_scan.op7,
+    "op8_url_rules": url_rules.op8,
     "op9_warc_dictionary": warc.op9,
 }
