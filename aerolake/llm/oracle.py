@@ -8,11 +8,11 @@ SQL["op9_warc_dictionary"] = """
 WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
 d AS (SELECT page_id, octet_length(payload) AS payload_bytes, sha1(payload) AS hex,
              min(page_id) OVER (PARTITION BY sha1(payload)) AS first FROM p),
-bits AS (SELECT *, list_transform(range(0, 40), i ->
+bits AS (SELECT *, list_transform(range(0, 40), lambda i:
            list_position(['0','1','2','3','4','5','6','7','8','9','a','b','c','d','e','f'],
                          substr(hex, i + 1, 1)) - 1) AS h FROM d)
 SELECT page_id, payload_bytes,
-       array_to_string(list_transform(range(0, 32), i ->
+       array_to_string(list_transform(range(0, 32), lambda i:
          substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST(1 +
            (((h[(5 * i) // 4 + 1] * 16 + coalesce(h[(5 * i) // 4 + 2], 0))
              >> CAST(3 - (5 * i) % 4 AS INTEGER)) & 31) AS INTEGER), 1)), '') AS payload_digest,
@@ -20,3 +20,19 @@ SELECT page_id, payload_bytes,
        CASE WHEN page_id = first THEN NULL ELSE first END AS refers_to
 FROM bits
 """
+
+SQL["op10_grid_order_join"] = """
+WITH RECURSIVE v AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND list_bool_and(list_transform(embedding, lambda x: x IS NOT NULL AND isfinite(x)))
+    AND list_bool_or(list_transform(embedding, lambda x: x <> 0))),
+links AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b
+  ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.93),
+reach AS (SELECT vec_id, vec_id AS to_id FROM embeddings
+  UNION SELECT r.vec_id, l.b FROM reach r JOIN links l ON l.a = r.to_id),
+comp AS (SELECT vec_id, min(to_id) AS component_id FROM reach GROUP BY vec_id),
+n AS (SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a)
+SELECT c.vec_id, coalesce(n.n, 0) AS n_links, c.component_id, c.vec_id = c.component_id AS kept
+FROM comp c LEFT JOIN n ON n.vec_id = c.vec_id
+"""

@@ -35,7 +35,8 @@ def open_new(folder: str, prefix: str, suffix: str):
     where, base = fs.FileSystem.from_uri(folder)
     where.create_dir(base, recursive=True)
     name = f"{prefix}-{uuid.uuid4().hex}{suffix}"
-    return f"{folder}/{name}", where.open_output_stream(f"{base}/{name}")
+    return f"{folder}/{name}", where.open_output_stream(
+        f"{base}/{name}", compression=None)
 
 
 def open_old(uri: str):
