@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from aerolake.llm import grid_join, minhash, planes, secret_scan, syncmers, url_rules, warc
+from aerolake.llm import grid_join, minhash, planes, secret_scan, string_kernel, syncmers, url_rules, warc
 
 QUERIES = {
     "op1_token_planes": planes.op1,
     "op2_closed_syncmers": syncmers.op2,
     "op5_minhash_join": minhash.op5,
+    "op6_string_kernel": string_kernel.op6,
     "op7_secret_entropy": secret_scan.op7,
     "op8_url_rules": url_rules.op8,
     "op9_warc_dictionary": warc.op9,
