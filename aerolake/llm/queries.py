@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from aerolake.llm import grid_join, minhash, planes, secret_scan, string_kernel, syncmers, url_rules, warc
+from aerolake.llm import (grid_join, minhash, mixing, pieces, planes, secret_scan, string_kernel,
+                          syncmers, url_rules, warc)
 
 QUERIES = {
     "op1_token_planes": planes.op1,
     "op2_closed_syncmers": syncmers.op2,
+    "op3_piece_scan": pieces.op3,
+    "op4_soft_mixing": mixing.op4,
     "op5_minhash_join": minhash.op5,
     "op6_string_kernel": string_kernel.op6,
     "op7_secret_entropy": secret_scan.op7,
