@@ -3,8 +3,8 @@
 A classifier learnt from a labelled table gives each document a posterior over
 the domains.  Document rates r then minimise the distance between the expected
 token totals of the domains, the sum of tokens * rate * posterior, and their
-targets, by projected gradient steps from r = 1, with rates kept at ``least``
-(0: nonnegative) or more.  The distance is weighted by the inverse of the
+targets, by projected gradient steps from r = 1 (with momentum), rates kept at
+``least`` (0: nonnegative) or more.  The distance is weighted by the inverse of the
 domains' Gram matrix, for which a step of 1 is safe.
 
 A step needs the residuals alone, one number for each domain.  So no rates are
@@ -73,57 +73,60 @@ def add_posteriors(docs: DataFrame, labels: DataFrame, domains: list[int],
     return model.transform(held).select(*docs.columns, full.alias(output))
 
 
-def _rates(p: np.ndarray, steps: list[np.ndarray], least: float) -> np.ndarray:
-    rate = np.ones(len(p))
-    for step in steps:
-        rate = np.maximum(least, rate - p @ step)
-    return rate
+def _rates(p: np.ndarray, steps: list[np.ndarray], least: float) -> tuple[np.ndarray, np.ndarray]:
+    """The rates after ``steps``, and the point ahead of them from which the
+    next step is taken (Nesterov's momentum)."""
+    rate = ahead = np.ones(len(p))
+    for n, step in enumerate(steps):
+        before, rate = rate, np.maximum(least, ahead - p @ step)
+        ahead = rate + n / (n + 3) * (rate - before)
+    return rate, ahead
 
 
 def _totals(members: DataFrame, steps: list[np.ndarray], least: float, k: int) -> np.ndarray:
-    """Sums over all documents of tokens * rate * posterior, then of
-    tokens * posterior * posterior."""
+    """Sums over all documents of tokens * posterior * rate (two rows: at the
+    rates, and at the point ahead), then of tokens * posterior * posterior."""
     def add(batches):
-        total = np.zeros(k + k * k)
+        total = np.zeros((2 + k, k))
         for batch in batches:
             if not batch.num_rows:
                 continue
             t = batch.column(0).to_numpy(zero_copy_only=False)
             p = batch.column(1).flatten().to_numpy(zero_copy_only=False).reshape(-1, k)
-            total[:k] += (t * _rates(p, steps, least)) @ p
-            total[k:] += ((p.T * t) @ p).ravel()
+            for row, rate in enumerate(_rates(p, steps, least)):
+                total[row] += (t * rate) @ p
+            total[2:] += (p.T * t) @ p
         yield pa.RecordBatch.from_arrays(
-            [pa.array(range(k + k * k), pa.int32()), pa.array(total)], names=["at", "v"])
+            [pa.array(range(total.size), pa.int32()), pa.array(total.ravel())], names=["at", "v"])
 
     rows = members.select("tokens", "p").mapInArrow(add, "at int, v double").groupBy("at").agg(
         F.sum("v").alias("v")).collect()
-    out = np.zeros(k + k * k)
+    out = np.zeros((2 + k) * k)
     for r in rows:
         out[r["at"]] = r["v"]
-    return out
+    return out.reshape(2 + k, k)
 
 
 def fit_steps(members: DataFrame, weights: list[float], least: float = 0.0,
-              total: float | None = None, rounds: int = 60, tolerance: float = 1e-7):
+              total: float | None = None, rounds: int = 200, tolerance: float = 1e-6):
     """(steps, targets, totals reached) of the projected gradient descent over
     ``members`` (tokens, p).  ``total`` is the sum of the targets; by default
     that of all tokens, or, with ``least`` at 1 or more, the smallest for which
     no domain would have to shrink below ``least``."""
     k = len(weights)
     share = np.array(weights, float) / sum(weights)
-    first = _totals(members, [], least, k)
-    now, gram = first[:k], first[k:].reshape(k, k)
+    now, ahead, *gram = _totals(members, [], least, k)
     whole = now.sum() if total is None else total
     if total is None and least >= 1:
         whole = max((least * now[share > 0] / share[share > 0]).max(), least * now.sum())
     targets, steps = share * whole, []
-    metric = np.linalg.pinv(gram, rcond=1e-9, hermitian=True)
+    metric = np.linalg.pinv(np.array(gram), rcond=1e-9, hermitian=True)
     for _ in range(rounds):
-        residual = now - targets
-        if not whole or np.abs(residual).max() <= tolerance * whole:
+        if not whole or np.abs(now - targets).max() <= tolerance * whole:
             break
-        steps.append(metric @ residual)
-        before, now = now, _totals(members, steps, least, k)[:k]
+        steps.append(metric @ (ahead - targets))
+        before = now
+        now, ahead, *_ = _totals(members, steps, least, k)
         if np.abs(now - before).max() <= 1e-3 * tolerance * whole:
             break
     return steps, targets, now
@@ -148,12 +151,15 @@ def document_rates(docs: DataFrame, labels: DataFrame, folder: str,
         f"{folder}/posteriors")
     members = rated.select(F.col("_tokens").alias("tokens"), F.col("_posterior").alias("p"))
     steps, _, _ = fit_steps(members, [weights[d] for d in domains], least, total)
-    rate = F.lit(1.0)
-    for step in steps:
-        product = sum((F.get("_posterior", F.lit(i)) * float(x) for i, x in enumerate(step)),
-                      F.lit(0.0))
-        rate = F.greatest(F.lit(float(least)), rate - product)
-    return rated.withColumn(output, rate)
+
+    @F.pandas_udf("double")
+    def rate(posterior):
+        import pandas as pd
+
+        p = np.array(posterior.tolist(), float).reshape(-1, len(domains))
+        return pd.Series(_rates(p, steps, least)[0])
+
+    return rated.withColumn(output, rate("_posterior"))
 
 
 def mix(docs: DataFrame, labels: DataFrame, folder: str,
