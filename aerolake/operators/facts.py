@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.keys import date_int, month_int, pollution_key, time_int, weather_key
@@ -52,9 +52,9 @@ def insert_new(spark: SparkSession, batch: DataFrame, target_path: str, columns:
 
     1. dedup the batch by key (first write wins, deterministic order);
     2. drop keys already in the target -- the key embeds the timestamp, so a
-       match can only lie in the batch's own date range: the target scan is
-       restricted to those months (partition pruning on ``date_month``) and
-       to ``id``/``date_int`` (column pruning);
+       match can only lie in one of the batch's own months: the target scan
+       is restricted to those (partition pruning on ``date_month``; one stray
+       old row adds one month, not all between) and to the key column;
     3. append the rest, partitioned by month.
 
     Re-running a batch (e.g. after a crash between append and commit)
@@ -64,41 +64,41 @@ def insert_new(spark: SparkSession, batch: DataFrame, target_path: str, columns:
     for a batch the caller has already reduced to one row per key.  Returns
     the rows appended.
     """
-    deduped = (dedup_batch(batch, order, key) if dedup else batch).select(*columns).persist()
+    deduped = with_partition((dedup_batch(batch, order, key) if dedup else batch)
+                             .select(*columns)).persist()
     try:
-        lo_hi = deduped.agg(F.min("date_int").alias("lo"), F.max("date_int").alias("hi")).first()
-        if lo_hi is None or lo_hi["lo"] is None:
+        months = [r[0] for r in deduped.select(PARTITION_COLUMN).distinct().collect()]
+        if not months:
             return 0
-        lo, hi = int(lo_hi["lo"]), int(lo_hi["hi"])
         fresh = deduped
-        existing = _existing_keys(spark, target_path, key, lo, hi)
+        existing = existing_keys(spark, target_path, key, months, deduped.schema)
         if existing is not None:
             fresh = deduped.join(existing, on=key, how="left_anti")
-        fresh = with_partition(fresh).persist()
-        n = fresh.count()
-        if n:
-            # Log the touched months before the append: writing the target
-            # re-caches every cached plan that reads it, after which ``fresh``
-            # (anti-joined against the target) would be empty.  A crash in
-            # between only makes a refresh recompute a month it need not.
-            if changes_path:
-                (fresh.select(PARTITION_COLUMN).distinct()
-                 .select(F.lit(run_id).alias("run_id"), PARTITION_COLUMN)
-                 .write.mode("append").parquet(changes_path))
-            fresh.write.mode("append").partitionBy(PARTITION_COLUMN).parquet(target_path)
-        fresh.unpersist()
-        return n
+        # Log the touched months before the append: a crash in between only
+        # makes a refresh recompute a month it need not.
+        if changes_path:
+            (fresh.select(PARTITION_COLUMN).distinct()
+             .select(F.lit(run_id).alias("run_id"), PARTITION_COLUMN)
+             .write.mode("append").parquet(changes_path))
+        added = Observation()
+        (fresh.observe(added, F.count(F.lit(1)).alias("n"))
+         .write.mode("append").partitionBy(PARTITION_COLUMN).parquet(target_path))
+        return int(added.get["n"])
     finally:
         deduped.unpersist()
 
 
-def _existing_keys(spark: SparkSession, path: str, key: str, lo: int, hi: int):
-    t = try_read(spark, path)
+def existing_keys(spark: SparkSession, path: str, key: str, months: list[int], schema):
+    """Keys of the fact table at ``path`` in these months only (one value per
+    month, so the list is short); None when there is no table yet."""
+    t = try_read(spark, path, schema)
     if t is None:
         return None
-    return (t.filter(F.col(PARTITION_COLUMN).between(lo // 100, hi // 100))
-            .filter(F.col("date_int").between(lo, hi))
-            .select(key))
+    known = [m for m in months if m is not None]
+    wanted = F.col(PARTITION_COLUMN).isin(known)
+    if len(known) < len(months):
+        wanted = wanted | F.col(PARTITION_COLUMN).isNull()
+    return t.filter(wanted).select(key)
 
 
 def touched_months(spark: SparkSession, changes_path: str, run_id: str) -> list[int]:

@@ -20,24 +20,6 @@ def int_part(name_col, sep: str, index: int):
     return file_part(name_col, sep, index).try_cast("int")
 
 
-def explode_results(raw: DataFrame) -> DataFrame:
-    """One row per element of ``results`` plus source file and load time."""
-    return raw.select(
-        F.explode("results").alias("results"),
-        F.col("_metadata.file_name").alias("source_file_name"),
-        F.current_timestamp().alias("bronze_load_ts"),
-    )
-
-
-def with_source(raw: DataFrame) -> DataFrame:
-    """Whole-document rows plus source file and load time."""
-    return raw.select(
-        "*",
-        F.col("_metadata.file_name").alias("source_file_name"),
-        F.current_timestamp().alias("bronze_load_ts"),
-    )
-
-
 # --- pollution locations ------------------------------------------------------
 def locations_flat(bronze: DataFrame) -> DataFrame:
     """Location record to columns; city is the file-name prefix before '-'."""
@@ -98,9 +80,16 @@ def measurements_clean(bronze: DataFrame) -> DataFrame:
         int_part(F.col("source_file_name"), "_", 0).alias("location_id"),
         int_part(F.col("source_file_name"), "_", 1).alias("sensor_id"),
         "source_file_name", "bronze_load_ts",
+        *[c for c in ["position"] if c in bronze.columns],
     )
 
 
+def page_number(name_col):
+    """The number n of a file name ``..._page{n}.json``; 0 without one."""
+    return F.coalesce(F.regexp_extract(name_col, r"_page(\d+)\.", 1).try_cast("bigint"),
+                      F.lit(0).cast("bigint"))
+
+
 # --- weather -------------------------------------------------------------------
 def weather_docs(bronze: DataFrame) -> DataFrame:
     """Document-level columns, city from ``openmeteo_{city}_...`` and the
@@ -114,7 +103,8 @@ def weather_docs(bronze: DataFrame) -> DataFrame:
     )
 
 
-def zip_rows(df: DataFrame, keep: list[str], arrays: dict[str, object], name: str = "m") -> DataFrame:
+def zip_rows(df: DataFrame, keep: list[str], arrays: dict[str, object], name: str = "m",
+             position: str = "position") -> DataFrame:
     """Parallel arrays to rows: element i of every array forms row i.
 
     Shorter arrays are padded with NULL.  A missing (NULL) array counts as
@@ -126,11 +116,12 @@ def zip_rows(df: DataFrame, keep: list[str], arrays: dict[str, object], name: st
     types = df.select(*[c.alias(n) for n, c in cols.items()]).schema
     zipped = F.arrays_zip(*[F.coalesce(c, F.array().cast(types[n].dataType)).alias(n)
                             for n, c in cols.items()])
-    return df.select(*keep, F.explode(zipped).alias(name))
+    return df.select(*keep, F.posexplode(zipped).alias(position, name))
 
 
-def weather_rows(docs: DataFrame) -> DataFrame:
-    """One row per hour of a weather document, typed as the clean table."""
+def weather_rows(docs: DataFrame, position: bool = False) -> DataFrame:
+    """One row per hour of a weather document, typed as the clean table; with
+    ``position`` also the hour's place in the document's arrays."""
     arrays = {"time": "hourly.time"}
     arrays.update({n: f"hourly.{n}" for n, _, _ in WEATHER_VARIABLES})
     z = zip_rows(docs, ["location_id", "bronze_load_ts", "source_file_name"], arrays)
@@ -138,5 +129,5 @@ def weather_rows(docs: DataFrame) -> DataFrame:
         "location_id",
         F.try_to_timestamp(F.col("m.time")).alias("datetime"),
         *[F.col(f"m.{n}").try_cast(cast.simpleString()).alias(n) for n, _, cast in WEATHER_VARIABLES],
-        "bronze_load_ts", "source_file_name",
+        "bronze_load_ts", "source_file_name", *(["position"] if position else []),
     )

@@ -445,31 +445,20 @@ paged AS (
                         coalesce(replace(n.n_name, ' ', '-'), ''),
                         strftime(date_trunc('month', c.datetime_from), '%Y-%m-%d'),
                         strftime(last_day(c.datetime_from), '%Y-%m-%d'))
-              || '_page' || CAST(c.event_id // 100000 + 1 AS VARCHAR) || '.json' AS file_name,
-         CASE WHEN c.event_id < (SELECT (min(event_id) + max(event_id)) // 2 FROM events) THEN 1 ELSE 2 END AS round
+              || '_page' || CAST(c.event_id // 100000 + 1 AS VARCHAR) || '.json' AS file_name
   FROM clean c LEFT JOIN nation n ON c.location_id = n.n_nationkey
 )"""
 
 
-def _paged_fact(order: str) -> str:
-    return _with(PAGED) + f"""
-SELECT id, date_int, time_int, value, location_id, sensor_id FROM (
-  SELECT sha256(concat_ws('|', CAST(sensor_id AS VARCHAR), CAST(location_id AS VARCHAR),
-                          strftime(datetime_from, '%Y-%m-%d %H:%M:%S'))) AS id,
-         CAST(year(datetime_from) * 10000 + month(datetime_from) * 100 + day(datetime_from) AS INTEGER) AS date_int,
-         CAST(strftime(datetime_from, '%H%M') AS INTEGER) AS time_int,
-         value, location_id, CAST(sensor_id AS INTEGER) AS sensor_id, file_name, round
-  FROM paged)
-QUALIFY row_number() OVER (PARTITION BY id ORDER BY {order}) = 1"""
-
-
 SQL["land_json"] = _with(PAGED.replace("FROM clean c", "FROM feed c")) + """
 SELECT file_name, count(*) AS n_results, round(sum(value), 3) AS sum_value FROM paged GROUP BY file_name"""
 SQL["ingest_measurements"] = _with(FEED) + """
 SELECT datetime_from, datetime_to, value, "interval", location_id, CAST(sensor_id AS INTEGER) AS sensor_id
 FROM clean"""
-SQL["upsert_facts"] = _paged_fact("round, file_name, value, time_int")
-SQL["ingest_rerun"] = _paged_fact("file_name, value, time_int")
+# The stream keeps the row that the batch fact keeps: the first event of a key.
+SQL["upsert_facts"] = SQL["ingest_rerun"] = _with(FCT_POLLUTION) + """
+SELECT id, date_int, time_int, value, location_id, CAST(sensor_id AS INTEGER) AS sensor_id
+FROM fct_pollution"""
 SQL["ingest_locations"] = SQL["dim_locations"]
 SQL["ingest_sensors"] = _with(PARAMETERS, SENSORS) + """
 SELECT CAST(sensor_id AS INTEGER) AS sensor_id, name, location_id, parameter_id FROM dim_sensors"""

@@ -70,7 +70,8 @@ def measurement_pages(lake: Lake, rounds: int = 1) -> DataFrame:
         lo_hi = lake.t.events.agg(F.min("event_id"), F.max("event_id")).first()
         mid = (int(lo_hi[0]) + int(lo_hi[1])) // 2
         keys.append(F.when(F.col("event_id") < mid, 1).otherwise(2).alias("round"))
-    return f.groupBy(*keys).agg(F.collect_list(record).alias("results"))
+    in_order = F.sort_array(F.collect_list(F.struct("event_id", record.alias("record"))))
+    return f.groupBy(*keys).agg(F.transform(in_order, lambda x: x["record"]).alias("results"))
 
 
 def location_documents(lake: Lake) -> DataFrame:
@@ -147,7 +148,7 @@ def q_ingest_measurements(spark, sf_dir):
     ingest.run_available(bronze, run.checkpoint("raw"), raw_path)
     clean = ingest.clean_measurements_stream(ingest.read_bronze_stream(spark, raw_path, bronze))
     clean_path = run.table("01_bronze", "openaq_measurements")
-    ingest.run_available(clean.drop("source_file_name", "bronze_load_ts"),
+    ingest.run_available(clean.drop("source_file_name", "bronze_load_ts", "position"),
                          run.checkpoint("clean"), clean_path)
     return spark.read.parquet(clean_path)
 

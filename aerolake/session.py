@@ -84,10 +84,13 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 def apply_runtime_conf(spark: SparkSession) -> None:
     """Apply the runtime SQL settings to a session built elsewhere.
 
-    Static settings (``spark.ui.enabled``) are left to the launcher.
+    Only what nobody has set: a launcher's own sizes stay.  The time zone is
+    always UTC, as keys depend on it.  Static settings (``spark.ui.enabled``)
+    are left to the launcher.
     """
+    given = spark.conf.getAll
     for k, v in BASE_CONF.items():
-        if k.startswith("spark.sql.") and spark.conf.get(k, None) != v:
+        if k.startswith("spark.sql.") and (k not in given or k.endswith(".timeZone")):
             spark.conf.set(k, v)
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 # The driver tables this library maps onto lake roles.
@@ -30,19 +31,17 @@ class Tables:
         raise AttributeError(name)
 
 
-def try_read(spark: SparkSession, path: str):
-    """The parquet table at ``path``, or None when it does not exist yet."""
+def try_read(spark: SparkSession, path: str, schema=None):
+    """The parquet table at ``path``, or None when there is no such path.
+
+    Any other failure is raised: a table that cannot be read must never pass
+    for a new one.  With ``schema`` a folder without files (an append that
+    failed before its commit) is an empty table.
+    """
+    reader = spark.read.schema(schema) if schema is not None else spark.read
     try:
-        return spark.read.parquet(path)
-    except Exception as exc:
-        msg = str(exc)
-        if "PATH_NOT_FOUND" in msg or "UNABLE_TO_INFER_SCHEMA" in msg or "does not exist" in msg:
+        return reader.parquet(path)
+    except AnalysisException as exc:
+        if exc.getCondition() == "PATH_NOT_FOUND":
             return None
         raise
-
-
-def read_or_empty(spark: SparkSession, path: str, schema) -> DataFrame:
-    """Read a parquet table, or an empty frame of ``schema`` if absent
-    (the create-if-not-exists step of a keyed target)."""
-    df = try_read(spark, path)
-    return spark.createDataFrame([], schema) if df is None else df

@@ -4,8 +4,11 @@ stop) and awaited so errors propagate."""
 
 from __future__ import annotations
 
+import threading
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQueryListener
 
 from ..functions.rules import MEASUREMENT_RULES, WEATHER_RULES, drop_failing, observe_failing
 from ..operators import shape
@@ -41,11 +44,44 @@ def run_available(df: DataFrame, checkpoint: str, path: str | None = None,
         w = w.format(fmt).outputMode("append").option("path", path)
         if partition_by:
             w = w.partitionBy(*partition_by)
-    q = w.start()
-    q.awaitTermination()
-    if q.exception() is not None:  # pragma: no cover - awaitTermination raises first
-        raise RuntimeError(str(q.exception()))
-    return q.recentProgress
+    reports = _Reports()
+    df.sparkSession.streams.addListener(reports)
+    try:
+        q = w.start()
+        q.awaitTermination()
+        return reports.of(str(q.runId))
+    finally:
+        df.sparkSession.streams.removeListener(reports)
+
+
+class _Reports(StreamingQueryListener):
+    """Every progress report of the streams run while it listens; a query's
+    own ``recentProgress`` forgets all but the last hundred."""
+
+    def __init__(self):
+        self._progress, self._ended, self._news = {}, set(), threading.Condition()
+
+    def onQueryStarted(self, event):
+        pass
+
+    def onQueryIdle(self, event):
+        pass
+
+    def onQueryProgress(self, event):
+        with self._news:
+            self._progress.setdefault(str(event.progress.runId), []).append(event.progress)
+
+    def onQueryTerminated(self, event):
+        with self._news:
+            self._ended.add(str(event.runId))
+            self._news.notify_all()
+
+    def of(self, run_id: str, seconds: float = 60.0) -> list:
+        """The reports of one run, complete once its end was announced."""
+        with self._news:
+            if not self._news.wait_for(lambda: run_id in self._ended, seconds):
+                raise RuntimeError(f"no end of stream {run_id} was announced in {seconds} s")
+            return self._progress.get(run_id, [])
 
 
 def _stamp(df: DataFrame) -> DataFrame:
@@ -62,9 +98,11 @@ def bronze_locations(spark: SparkSession, landing: str, glob: str, max_files=Non
 
 def bronze_measurements(spark: SparkSession, landing: str, glob: str, max_files=None,
                         multiline=False, max_bytes=DEFAULT_MAX_BYTES) -> DataFrame:
+    """One row per record; ``position`` is its place in the document, which
+    with the page number of the file name gives the order of arrival."""
     raw = json_stream(spark, landing, schemas.MEASUREMENTS_FILE, glob, max_files, multiline, max_bytes)
-    return _stamp(raw).select(F.explode("results").alias("results"), "source_file_name",
-                              "bronze_load_ts")
+    return _stamp(raw).select(F.posexplode("results").alias("position", "results"),
+                              "source_file_name", "bronze_load_ts")
 
 
 def bronze_weather(spark: SparkSession, landing: str, glob: str, max_files=None,
@@ -87,5 +125,5 @@ def clean_measurements_stream(bronze: DataFrame) -> DataFrame:
 
 
 def clean_weather_stream(bronze: DataFrame) -> DataFrame:
-    rows = shape.weather_rows(shape.weather_docs(bronze))
+    rows = shape.weather_rows(shape.weather_docs(bronze), position=True)
     return drop_failing(observe_failing(rows, WEATHER_RULES, "weather_rules"), WEATHER_RULES)

@@ -7,58 +7,67 @@ from pyspark.sql import functions as F
 
 from ..operators.dedup import first_per_key
 from ..operators.facts import insert_new, pollution_fact_rows, weather_fact_rows
-from ..sources.schemas import FCT_POLLUTION, FCT_WEATHER
+from ..operators.shape import page_number
+from ..sources.schemas import FCT_POLLUTION, FCT_WEATHER, WEATHER_VARIABLES
 from .ingest import run_available
 
-# Order deciding which of several rows with one key arrives first: load
-# time, then landing file, then the values (deterministic tie-break).
-POLLUTION_ORDER = ["bronze_load_ts", "source_file_name", "value", "time_int"]
-WEATHER_ORDER = ["bronze_load_ts", "source_file_name", "temperature_2m", "surface_pressure"]
+# Order of arrival of rows with one key: load time, then the document (files
+# of one chunk by page number, not by the text of their names), then the
+# row's place in it.  Two different rows never tie; copies of one file do,
+# and are equal.
+ARRIVAL = ["bronze_load_ts", "_chunk", "_page", "position"]
+
+# Both ids hash exactly these columns (time to the second), so a batch is
+# reduced on them and only the surviving rows are hashed.
+POLLUTION_NATURAL_KEY = ["sensor_id", "location_id", "datetime_from"]
+WEATHER_NATURAL_KEY = ["location_id", "datetime"]
 
 
-def upsert_stream(spark: SparkSession, facts: DataFrame, target: str, checkpoint: str,
-                  columns: list[str], order: list[str], first_rows=None):
-    """Run ``facts`` (a keyed stream) into ``target`` with first-write-wins.
+def upsert_stream(spark: SparkSession, clean: DataFrame, target: str, checkpoint: str,
+                  columns: list[str], first_rows):
+    """Run the ``clean`` stream into ``target`` with first-write-wins.
 
-    Each micro-batch is deduplicated by key and anti-joined against the
-    target (restricted to the batch's months) before appending; a replayed
-    batch therefore inserts nothing twice.  ``first_rows(batch)``, when
-    given, turns a micro-batch into keyed rows already reduced to one per
-    key, and replaces the dedup on the hashed key.
+    ``first_rows(batch)`` turns a micro-batch into keyed rows, one per key:
+    the first arrival.  They are anti-joined against the target (restricted
+    to the batch's months) before appending; a replayed batch therefore
+    inserts nothing twice.
     """
     inserted = []
 
     def each_batch(batch: DataFrame, batch_id: int):
-        rows = batch if first_rows is None else first_rows(batch)
-        inserted.append(insert_new(batch.sparkSession, rows, target, columns, order,
-                                   dedup=first_rows is None))
+        inserted.append(insert_new(batch.sparkSession, first_rows(batch), target, columns,
+                                   order=[], dedup=False))
 
-    run_available(facts, checkpoint, foreach_batch=each_batch)
+    run_available(clean, checkpoint, foreach_batch=each_batch)
     return inserted
 
 
-# The pollution id hashes exactly (sensor, location, datetime_from to the
-# second), so a batch is reduced on those compact columns and only the
-# surviving rows are hashed.  time_int is fixed by the key, so the order
-# needs only load time, file and value.
-POLLUTION_NATURAL_KEY = ["sensor_id", "location_id", "datetime_from"]
-POLLUTION_NATURAL_ORDER = ["bronze_load_ts", "source_file_name", "value"]
+def _first(batch: DataFrame, key: list[str], ts: str, payload: list[str]) -> DataFrame:
+    """The first arrival of each natural key of a clean micro-batch."""
+    name = F.col("source_file_name")
+    rows = batch.select(
+        *[F.date_trunc("second", ts).alias(ts) if c == ts else F.col(c) for c in key + payload],
+        "bronze_load_ts", F.regexp_replace(name, r"_page\d+\.", ".").alias("_chunk"),
+        page_number(name).alias("_page"), "position")
+    return first_per_key(rows, key, ARRIVAL)
 
 
 def first_pollution_rows(batch: DataFrame) -> DataFrame:
     """One fact row per natural key of a clean micro-batch (first arrival)."""
-    b = batch.select(F.date_trunc("second", "datetime_from").alias("datetime_from"),
-                     "sensor_id", "location_id", *POLLUTION_NATURAL_ORDER)
-    first = first_per_key(b, POLLUTION_NATURAL_KEY, POLLUTION_NATURAL_ORDER)
-    return pollution_fact_rows(first, extra=["bronze_load_ts", "source_file_name"])
+    return pollution_fact_rows(_first(batch, POLLUTION_NATURAL_KEY, "datetime_from", ["value"]))
+
+
+def first_weather_rows(batch: DataFrame) -> DataFrame:
+    """The same for weather rows."""
+    return weather_fact_rows(_first(batch, WEATHER_NATURAL_KEY, "datetime",
+                                    [n for n, _, _ in WEATHER_VARIABLES]))
 
 
 def upsert_pollution(spark: SparkSession, clean: DataFrame, target: str, checkpoint: str):
     return upsert_stream(spark, clean, target, checkpoint, FCT_POLLUTION.fieldNames(),
-                         POLLUTION_ORDER, first_rows=first_pollution_rows)
+                         first_pollution_rows)
 
 
 def upsert_weather(spark: SparkSession, clean: DataFrame, target: str, checkpoint: str):
-    rows = weather_fact_rows(clean, extra=["bronze_load_ts", "source_file_name"])
-    return upsert_stream(spark, rows, target, checkpoint, FCT_WEATHER.fieldNames(),
-                         WEATHER_ORDER)
+    return upsert_stream(spark, clean, target, checkpoint, FCT_WEATHER.fieldNames(),
+                         first_weather_rows)
