@@ -53,27 +53,33 @@ def time_of_day(spark: SparkSession) -> DataFrame:
     return hours.select(*time_columns(F.col("t")))
 
 
+def _latest_load(*columns: str) -> list[Column]:
+    """Latest load first; rows of one load by every column, so that the row
+    kept never depends on the order of the input."""
+    return [F.col(c).desc() for c in ("bronze_load_ts", *columns)]
+
+
 def locations_dim(rows: DataFrame) -> DataFrame:
     """Rule-checked locations, one row per location_id (latest load wins)."""
     checked = drop_failing(rows, LOCATION_RULES)
-    latest = latest_per_key(checked, ["location_id"],
-                            [F.col("bronze_load_ts").desc(), F.col("name").desc()])
-    return latest.select("location_id", "name", "locality", "country", "city",
-                         "is_mobile", "is_monitor", "latitude", "longitude")
+    payload = ["name", "locality", "country", "city", "is_mobile", "is_monitor", "latitude",
+               "longitude"]
+    return (latest_per_key(checked, ["location_id"], _latest_load(*payload))
+            .select("location_id", *payload))
 
 
 def parameters_dim(rows: DataFrame) -> DataFrame:
     """Rule-checked parameters, one row per parameter_id (latest load wins)."""
     checked = drop_failing(rows, PARAMETER_RULES)
     latest = latest_per_key(checked, ["parameter_id"],
-                            [F.col("bronze_load_ts").desc(), F.col("name").desc()])
+                            _latest_load("name", "display_name", "units"))
     return latest.select("parameter_id", "display_name", "name", "units")
 
 
 def sensors_dim(rows: DataFrame) -> DataFrame:
     checked = drop_failing(rows, SENSOR_RULES)
     latest = latest_per_key(checked, ["sensor_id"],
-                            [F.col("bronze_load_ts").desc(), F.col("name").desc()])
+                            _latest_load("name", "location_id", "parameter_id"))
     return latest.select("sensor_id", "name", "location_id", "parameter_id")
 
 
@@ -93,7 +99,7 @@ def weather_locations_dim(raw: DataFrame) -> DataFrame:
     """Latest document per weather location."""
     src = weather_locations_source(raw)
     latest = latest_per_key(src, ["location_id"],
-                            [F.col("bronze_load_ts").desc(), F.col("source_file_name").desc()])
+                            _latest_load("source_file_name", "city", "timezone", "elevation"))
     return latest.select("location_id", "latitude", "longitude", "city", "timezone", "elevation")
 
 

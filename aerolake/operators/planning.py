@@ -15,7 +15,8 @@ DEFAULT_PARAMETERS = ["pm10", "pm25", "co", "so2"]
 
 # Sensors of one location are listed in blocks of sensor ids this wide, so one
 # work-list row (one download task) never carries an unbounded array.  Every
-# sensor is listed; a location with more sensors simply gets more rows.
+# sensor is listed; a location with more sensors simply gets more rows, told
+# apart by their ``sensor_block``.
 SENSOR_BLOCK = 1000
 
 
@@ -47,7 +48,7 @@ def _sensor_lists(pairs: DataFrame, extra: list[Column] = ()) -> DataFrame:
     block = F.floor(F.col("sensor_id") / F.lit(SENSOR_BLOCK)).alias("sensor_block")
     return (pairs.groupBy("id", "name", block)
             .agg(F.sort_array(F.collect_list("sensor_id")).alias("sensor_id_arr"))
-            .select("id", "name", *extra, "sensor_id_arr"))
+            .select("id", "name", "sensor_block", *extra, "sensor_id_arr"))
 
 
 def high_water_worklist(locations: DataFrame, sensors: DataFrame, parameters: DataFrame,
@@ -69,14 +70,14 @@ def high_water_worklist(locations: DataFrame, sensors: DataFrame, parameters: Da
               .agg(date_from_int(F.max("date_int")).alias("last_date")))
     lists = _sensor_lists(pairs)
     return (lists.join(latest, "id", "left")
-            .select("id", "name", "last_date", "sensor_id_arr"))
+            .select("id", "name", "sensor_block", "last_date", "sensor_id_arr"))
 
 
 def sensors_by_city(locations: DataFrame, sensors: DataFrame, parameters: DataFrame, city: str,
                     parameter_names: list[str] = DEFAULT_PARAMETERS) -> DataFrame:
     """Backfill list for one city: location id, sensor list, location name."""
     pairs = location_sensors(locations, sensors, parameters, parameter_names, city)
-    return _sensor_lists(pairs).select("id", "sensor_id_arr", "name")
+    return _sensor_lists(pairs).select("id", "sensor_block", "sensor_id_arr", "name")
 
 
 def period_start_of(day: Column, date_from: Column) -> Column:
@@ -100,9 +101,10 @@ def backfill_worklist(locations: DataFrame, sensors: DataFrame, parameters: Data
 
     Work = every selected sensor x every quarter-bounded period, generated
     per sensor row from an array expression (no cross join).  Finished =
-    chunks that already have fact rows: facts in range are reduced to
-    distinct (location, sensor, period start) -- partial aggregation --
-    and removed with an anti-join.
+    chunks that already have fact rows: facts in range (only location, sensor
+    and ``date_int`` are read, and repeated readings do not matter) are
+    reduced to distinct (location, sensor, period start) -- partial
+    aggregation -- and removed with an anti-join.
     """
     date_to = date_to or yesterday()
     f = F.lit(date_from).cast("date")

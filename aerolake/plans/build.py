@@ -175,7 +175,7 @@ def q_gold_tables(spark, sf_dir):
 
 
 SENSORS_BY_CITY_SQL = """
-SELECT l.location_id AS id,
+SELECT l.location_id AS id, floor(s.sensor_id / :block) AS sensor_block,
        array_join(sort_array(collect_list(s.sensor_id)), ',') AS sensor_id_arr,
        l.name AS name
 FROM IDENTIFIER(:locations) AS l

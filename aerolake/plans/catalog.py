@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import rules as R
-from ..functions.keys import date_from_int
+from ..functions.keys import date_from_int, date_int
 from ..operators import audit, dims, insight, planning, shape
 from .model import Lake
 
@@ -158,9 +158,11 @@ def q_sensors_by_city(spark, sf_dir):
 
 def q_backfill_worklist(spark, sf_dir):
     lk = _lake(spark, sf_dir)
+    # Clean measurements hold the same chunks as the fact, without its dedup.
+    measured = lk.clean_measurements().select("location_id", "sensor_id",
+                                              date_int(F.col("datetime_from")).alias("date_int"))
     return planning.backfill_worklist(lk.dim_locations, lk.dim_sensors, lk.dim_parameters,
-                                      lk.fct_pollution, BACKFILL_FROM, BACKFILL_TO,
-                                      PLAN_PARAMETERS)
+                                      measured, BACKFILL_FROM, BACKFILL_TO, PLAN_PARAMETERS)
 
 
 def q_key_audit(spark, sf_dir):

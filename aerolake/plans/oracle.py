@@ -377,12 +377,13 @@ SELECT l.city, l.latitude, l.longitude,
 FROM fct_weather f JOIN dim_weather_locations l ON f.location_id = l.location_id
 GROUP BY l.city, l.latitude, l.longitude""",
     "high_water_worklist": _with(POLLUTION, LOC_SENSORS) + """
-SELECT id, name,
+SELECT id, name, CAST(floor(sensor_id / 1000) AS BIGINT) AS sensor_block,
        (SELECT strptime(CAST(max(date_int) AS VARCHAR), '%Y%m%d')::DATE FROM fct_pollution) AS last_date,
        array_to_string(list_sort(list(sensor_id)), ',') AS sensor_id_arr
 FROM loc_sensors GROUP BY id, name, floor(sensor_id / 1000)""",
     "sensors_by_city": _with(POLLUTION_DIMS, LOC_SENSORS) + """
-SELECT id, array_to_string(list_sort(list(sensor_id)), ',') AS sensor_id_arr, name
+SELECT id, CAST(floor(sensor_id / 1000) AS BIGINT) AS sensor_block,
+       array_to_string(list_sort(list(sensor_id)), ',') AS sensor_id_arr, name
 FROM loc_sensors WHERE city = 'EUROPE' GROUP BY id, name, floor(sensor_id / 1000)""",
     "backfill_worklist": _with(POLLUTION, LOC_SENSORS, BACKFILL) + """
 SELECT w.* FROM work w
@@ -477,8 +478,8 @@ SQL["sql_sensors_by_city"] = SQL["sensors_by_city"]
 SQL["gold_tables"] = SQL["agg_monthly"]
 
 SQL["high_water_per_location"] = _with(POLLUTION, LOC_SENSORS) + """
-SELECT l.id, l.name, h.last_date, l.sensor_id_arr FROM (
-  SELECT id, name, array_to_string(list_sort(list(sensor_id)), ',') AS sensor_id_arr
+SELECT l.id, l.name, l.sensor_block, h.last_date, l.sensor_id_arr FROM (
+  SELECT id, name, CAST(floor(sensor_id / 1000) AS BIGINT) AS sensor_block, array_to_string(list_sort(list(sensor_id)), ',') AS sensor_id_arr
   FROM loc_sensors GROUP BY id, name, floor(sensor_id / 1000)) l
 LEFT JOIN (SELECT location_id, strptime(CAST(max(date_int) AS VARCHAR), '%Y%m%d')::DATE AS last_date
            FROM fct_pollution GROUP BY location_id) h ON l.id = h.location_id"""

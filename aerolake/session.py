@@ -34,25 +34,23 @@ BASE_CONF = {
 }
 
 
-def scale_conf(shuffle_bytes: int, cores: int, partition_bytes: int = 256 * 1024 ** 2,
-               max_partitions: int = 100_000) -> dict[str, str]:
+def scale_conf(shuffle_bytes: int, cores: int,
+               partition_bytes: int = 256 * 1024 ** 2) -> dict[str, str]:
     """Shuffle and scan sizing for a cluster run.
 
     ``shuffle_bytes`` is the largest expected shuffle (the fact dedup: the
     measurement rows after pruning to key, order and value columns);
     ``cores`` the total executor cores.  The initial partition count gives
     about ``partition_bytes`` per reducer, so a task's share fits in its
-    execution memory, and at least 3 tasks per core.  It is capped at
-    ``max_partitions``, because map x reduce shuffle blocks grow with it.
-    AQE then coalesces small partitions down to the advisory size and splits
-    skewed ones.  Scan splits are 256 MB: large sequential parquet reads,
-    and scan tasks outnumber cores even on small tables.
-
-    For example, 30 TB of shuffled rows on 8,000 cores gives 100,000
-    partitions of about 300 MB.
+    execution memory at any size, and at least 3 tasks per core.  AQE then
+    coalesces small partitions down to the advisory size and splits skewed
+    ones.  Scan splits are 256 MB: large sequential parquet reads, and scan
+    tasks outnumber cores even on small tables.  A caller who wants fewer
+    and larger partitions gives ``partition_bytes``.
+
+    For example, 30 TB of shuffled rows gives 122,880 partitions of 256 MB.
     """
     n = max(3 * cores, -(-shuffle_bytes // partition_bytes))
-    n = min(n, max_partitions)
     return {
         "spark.sql.shuffle.partitions": str(n),
         "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(n),

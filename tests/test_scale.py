@@ -94,8 +94,8 @@ def test_scale_conf_sizes_partitions():
 
     tb = 1024 ** 4
     c = scale_conf(30 * tb, 8000)
-    assert c["spark.sql.shuffle.partitions"] == "100000"
-    assert c["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] == "100000"
+    assert c["spark.sql.shuffle.partitions"] == "122880"
+    assert c["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] == "122880"
     small = scale_conf(1024 ** 3, 64)
     assert int(small["spark.sql.shuffle.partitions"]) == 192     # 3 tasks per core
     mid = scale_conf(2 * tb, 256)
