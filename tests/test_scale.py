@@ -110,12 +110,12 @@ def test_no_registered_query_plans_pair_joins_or_python(spark):
     """Planned (not run) physical plan of every batch query: no pair joins,
     no Python in the data path.  AQE may only turn a shuffle join into a
     broadcast hash join at run time, never into one of these."""
-    from __spark_entry__ import queries
+    from aerolake.plans.catalog import QUERIES
 
     from .test_oracle import STREAMING
 
     builds = {"gold_tables", "gold_incremental"}      # their steps are checked above
-    for name, fn in queries().items():
+    for name, fn in QUERIES.items():
         if name in STREAMING or name in builds:
             continue
         plan = fn(spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
