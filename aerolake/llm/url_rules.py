@@ -1,29 +1,30 @@
 """URL filter: association rules mined from labelled pages, and fixed host rules.
 
-FP-growth finds combinations of URL tokens that are frequent among labelled
-pages.  A combination whose pages are blocked with enough confidence, on
-enough pages, is a rule; one that holds a smaller rule is pruned.  Rules are
+Pattern growth finds combinations of URL tokens that are frequent among
+labelled pages.  A combination whose pages are blocked with enough confidence,
+on enough pages, is a rule; one that holds a smaller rule is pruned.  Rules are
 posted under their rarest token; a URL looks up its tokens in that index and
 is blocked if it holds all tokens of a rule found.
 
-A URL has at most ``len(TOKEN_PARTS)`` tokens, each hashed to a long.  A page
-thus supports fewer than 2^10 combinations, and with a support of s no more
-than 2^10 / s can be frequent, however many pages there are.  That bounds the
-rules, so their index is broadcast.
+The whole URL is tokenised, so a page may hold many tokens, and the plain
+FP-growth list of all frequent sets doubles with each of them.  Only sets that
+can be or become a rule are grown: every smaller set in them is frequent, no
+rule, and on more pages.  (A token that all pages of the rest hold adds
+nothing: the rest alone has the same pages.)  No rule is lost by that.  Sets
+grow by one token a turn, over the distinct token sets of the pages; the joins
+are by key, so neither the sets nor the rules need to fit in one task.
 """
 
 from __future__ import annotations
 
-from pyspark.ml.fpm import FPGrowth
+import math
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aerolake.llm.store import materialise, run_folder
 
-TOKEN_PARTS = ("scheme", "top", "domain", "host", "first", "second", "depth", "end", "query",
-               "fragment")
-BLOCKED = "blocked"
-
 # Host, path and action of the rules given.
 HOST_RULES = (
     ("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"),
@@ -58,26 +59,34 @@ def host_rule(host: Column, path: Column, rules=HOST_RULES) -> Column:
 
 
 def url_tokens(url: Column) -> Column:
-    """Hashes of the distinct tokens of a URL; digits in paths count as ``0``."""
+    """Hashes of the distinct tokens of a URL: scheme, all suffixes of the host,
+    every path segment (anywhere, and in its place), the path's depth and file
+    end, every parameter's name and name with value, and the fragment.  Digits
+    in path segments count as ``0``; values stand as they are and so as well."""
     url = F.coalesce(url, F.lit(""))
     where, way = host(url), path(url)
-    plain = F.regexp_replace(way, "[0-9]+", "0")
-    parts = {
-        "scheme": F.regexp_extract(url, "^([^:]*)://", 1),
-        "top": F.regexp_extract(where, "[^.]*$", 0),
-        "domain": F.regexp_extract(where, r"[^.]*\.[^.]*$", 0),
-        "host": where,
-        "first": F.regexp_extract(plain, "^/([^/]*)", 1),
-        "second": F.regexp_extract(plain, "^/[^/]*/([^/]*)", 1),
-        "depth": (F.char_length(way) - F.char_length(F.replace(way, F.lit("/"), F.lit("")))
-                  ).cast("string"),
-        "end": F.regexp_extract(way, r"\.[A-Za-z0-9]{1,8}$", 0),
-        "query": F.regexp_extract(url, r"^[^?#]*\?([^=&#]*)", 1),
-        "fragment": F.regexp_extract(url, "#([^=]*)", 1),
-    }
-    named = F.array(*(F.when(parts[k] != "", F.xxhash64(F.lit(k), parts[k]))
-                      for k in TOKEN_PARTS))
-    return F.array_distinct(F.filter(named, lambda t: t.isNotNull()))
+    names = F.split(where, r"\.")
+    segments = F.split(F.regexp_replace(way, "[0-9]+", "0"), "/")
+    pairs = F.split(F.regexp_extract(url, r"^[^?#]*\?([^#]*)", 1), "[&;]")
+    fragment = F.regexp_extract(url, "#(.*)", 1)
+
+    def named(kind, values):
+        return F.transform(values, lambda v: F.when(v != "", F.xxhash64(F.lit(kind), v)))
+
+    tokens = F.concat(
+        named("scheme", F.array(F.regexp_extract(url, "^([^:]*)://", 1))),
+        named("host", F.transform(names, lambda _, i: F.array_join(
+            F.slice(names, i + 1, F.size(names)), "."))),
+        named("segment", segments),
+        F.transform(segments, lambda v, i: F.when(v != "", F.xxhash64(F.lit("place"), i, v))),
+        named("depth", F.array((F.size(segments) - 1).cast("string"))),
+        named("end", F.array(F.regexp_extract(way, r"\.[A-Za-z0-9]{1,8}$", 0))),
+        named("name", F.transform(pairs, lambda v: F.regexp_extract(v, "^[^=]*", 0))),
+        named("pair", pairs),
+        named("shape", F.transform(pairs, lambda v: F.regexp_replace(v, "[0-9]+", "0"))),
+        named("fragment", F.array(F.regexp_extract(fragment, "^[^=]*", 0))),
+        named("fragment", F.array(fragment)))
+    return F.array_distinct(F.filter(tokens, lambda t: t.isNotNull()))
 
 
 def mine_rules(labelled: DataFrame, folder: str, min_support: float = 0.01, min_pages: int = 10,
@@ -88,48 +97,68 @@ def mine_rules(labelled: DataFrame, folder: str, min_support: float = 0.01, min_
     ``min_pages`` of them, and ``min_confidence`` of the pages that hold its
     tokens are blocked.  Rows without a label are ignored; no rows, no rules.
     """
-    rows = materialise(
-        labelled.filter("blocked is not null").select(F.array_union(
-            F.transform(url_tokens(F.col("url")), lambda t: t.cast("string")),
-            F.when(F.col("blocked"), F.array(F.lit(BLOCKED)))
-            .otherwise(F.array().cast("array<string>"))).alias("items")), f"{folder}/labelled")
-    n = rows.count()
-    if not n:
-        return rows.sparkSession.createDataFrame(
-            [], "tokens array<bigint>, post bigint, confidence double, n bigint")
-    support = min(1.0, max(min_support, min_pages / n))
-    sets = materialise(FPGrowth(minSupport=support, minConfidence=min_confidence).fit(rows)
-                       .freqItemsets, f"{folder}/sets")
-    alone = sets.select(F.sort_array(F.col("items")).alias("items"), F.col("freq").alias("all"))
-    blocked = (sets.filter(F.array_contains("items", BLOCKED) & (F.size("items") > 1))
-               .select(F.sort_array(F.array_remove("items", BLOCKED)).alias("items"), "freq"))
-    sure = materialise(
-        blocked.join(alone, "items").withColumn("confidence", F.col("freq") / F.col("all"))
-        .filter(F.col("confidence") >= min_confidence), f"{folder}/sure")
-    # A rule is pruned if another one's tokens are among its own.
-    single = alone.filter(F.size("items") == 1).select(F.col("items")[0].alias("item"), "all")
-    posted = (sure.select("items", F.explode("items").alias("item")).join(single, "item")
+    pages = materialise(
+        labelled.filter("blocked is not null")
+        .select(F.sort_array(url_tokens(F.col("url"))).alias("held"), "blocked")
+        .groupBy("held").agg(F.count("*").alias("n"), F.count_if("blocked").alias("b"))
+        .withColumn("page", F.monotonically_increasing_id()), f"{folder}/labelled")
+    n = pages.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    least = max(min_pages, math.ceil(min_support * n))
+    sure = (F.col("freq") / F.col("all")) >= min_confidence
+
+    def counted(sets):
+        return sets.groupBy("items").agg(F.sum("n").alias("all"), F.sum("b").alias("freq")).filter(
+            F.col("freq") >= least)
+
+    sets = materialise(counted(pages.select(
+        F.explode("held").alias("item"), "n", "b").select(F.array("item").alias("items"), "n", "b")),
+        f"{folder}/sets-1")
+    single = sets.select(F.col("items")[0].alias("item"), "all")
+    # Pages that hold the same of the tokens that can grow are one row.
+    growing = sets.filter(~sure).select(F.col("items")[0].alias("item"))
+    found, alive, size = [sets.filter(sure)], sets.filter(~sure), 1
+    held = materialise(
+        pages.select("page", "n", "b", F.explode("held").alias("item")).join(growing, "item")
+        .groupBy("page").agg(F.sort_array(F.collect_list("item")).alias("held"),
+                             F.first("n").alias("n"), F.first("b").alias("b"))
+        .groupBy("held").agg(F.sum("n").alias("n"), F.sum("b").alias("b")), f"{folder}/held")
+    places = held.select("held", "n", "b", F.explode("held").alias("item")).select(
+        "held", "n", "b", F.array("item").alias("items"))
+    while not alive.isEmpty():
+        size += 1
+        grown = places.select("n", "b", "held", "items", F.explode(F.filter(
+            "held", lambda t: t > F.element_at("items", -1))).alias("item")).select(
+            "n", "b", "held", F.concat("items", F.array("item")).alias("items"))
+        sets = materialise(counted(grown), f"{folder}/counted-{size}")
+        parts = sets.select("items", "all", "freq", F.explode(F.transform(
+            F.sequence(F.lit(0), F.lit(size - 1)), lambda i: F.filter(
+                F.col("items"), lambda t, at: at != i))).alias("part"))
+        sets = materialise(
+            parts.join(alive.select(F.col("items").alias("part"), F.col("all").alias("wide")), "part")
+            .groupBy("items").agg(F.first("all").alias("all"), F.first("freq").alias("freq"),
+                                  F.count("*").alias("parts"), F.min("wide").alias("wide"))
+            .filter((F.col("parts") == size) & (F.col("wide") > F.col("all")))
+            .select("items", "all", "freq"), f"{folder}/sets-{size}")
+        found.append(sets.filter(sure))
+        alive = sets.filter(~sure)
+        places = materialise(grown.join(alive.select("items"), "items", "left_semi"),
+                             f"{folder}/places-{size}")
+    rules = reduce(DataFrame.unionByName, found)
+    posted = (rules.select("items", F.explode("items").alias("item")).join(single, "item")
               .groupBy("items").agg(F.min_by("item", F.struct("all", "item")).alias("post")))
-    index = posted.select(F.col("post").alias("item"), F.col("items").alias("part"))
-    wider = (sure.select("items", F.explode("items").alias("item")).join(index, "item")
-             .filter((F.size("part") < F.size("items"))
-                     & (F.size(F.array_except("part", "items")) == 0))
-             .select("items").distinct())
     return materialise(
-        sure.join(posted, "items").join(wider, "items", "left_anti")
-        .select(F.transform("items", lambda t: t.cast("long")).alias("tokens"),
-                F.col("post").cast("long").alias("post"), "confidence",
-                F.col("freq").alias("n")), f"{folder}/rules")
+        rules.join(posted, "items").select(
+            F.col("items").alias("tokens"), "post", (F.col("freq") / F.col("all")).alias("confidence"),
+            F.col("freq").alias("n")), f"{folder}/rules")
 
 
 def match_rules(urls: DataFrame, rules: DataFrame) -> DataFrame:
     """The distinct values of ``url`` that hold all tokens of a rule."""
-    held = (urls.select("url").filter("url is not null").distinct()
-            .withColumn("held", url_tokens(F.col("url"))))
-    # Bounded by 2^10 / support rows of ten longs: see the module's text.
-    index = F.broadcast(rules.select("post", "tokens"))
-    return (held.select("url", "held", F.explode("held").alias("post")).join(index, "post")
-            .filter(F.size(F.array_except("tokens", "held")) == 0).select("url").distinct())
+    held = url_tokens(F.col("url"))
+    return (urls.select("url").filter("url is not null").distinct()
+            .select("url", F.explode(held).alias("post"))
+            .join(rules.select("post", "tokens"), "post")
+            .filter(F.size(F.array_except("tokens", held)) == 0).select("url").distinct())
 
 
 def judge_urls(pages: DataFrame, rules: DataFrame, host_rules=HOST_RULES) -> DataFrame:

@@ -49,3 +49,24 @@ def test_no_labels_no_rules(spark, folder):
     pages = spark.createDataFrame([(1, "http://a.org/x"), (1, "http://a.org/x"), (None, None)],
                                   "page_id long, url string")
     assert [r.verdict for r in U.judge_urls(pages, rules).collect()] == ["allow"] * 3
+
+
+def test_rules_from_every_part_of_the_url(spark, folder):
+    """Pages told apart only by a late segment, a second parameter, a value or a host's suffix."""
+    marks = {
+        "late": ("https://h{i}.org/a/b/{i}/bad/x", "https://h{i}.org/a/b/{i}/fine/x"),
+        "second": ("https://h{i}.org/a?page={i}&bad=1", "https://h{i}.org/a?page={i}&ref=1"),
+        "value": ("https://h{i}.org/a?to=bad", "https://h{i}.org/a?to=fine"),
+        "suffix": ("https://h{i}.s{i}.bad.co.uk/", "https://h{i}.s{i}.fine.co.uk/"),
+    }
+    many = "/".join(f"s{c}" for c in "abcdefghijklmnopqrstuvwxyz")
+    for name, (bad, good) in marks.items():
+        urls = [(bad.format(i=chr(97 + i)), True) for i in range(20)]
+        urls += [(good.format(i=chr(97 + i)), False) for i in range(20)]
+        urls += [(f"https://long.org/{many}?{many.replace('/', '&')}", i % 2 == 0) for i in range(24)]
+        labelled = spark.createDataFrame(urls, "url string, blocked boolean")
+        rules = U.mine_rules(labelled, f"{folder}/{name}")
+        verdicts = {r.url: r.verdict for r in U.judge_urls(
+            labelled.withColumn("page_id", F.lit(1)), rules).collect()}
+        for url, blocked in urls[:40]:
+            assert verdicts[url] == ("block" if blocked else "allow"), url
