@@ -17,7 +17,6 @@ are by key, so neither the sets nor the rules need to fit in one task.
 
 from __future__ import annotations
 
-import math
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -89,26 +88,24 @@ def url_tokens(url: Column) -> Column:
     return F.array_distinct(F.filter(tokens, lambda t: t.isNotNull()))
 
 
-def mine_rules(labelled: DataFrame, folder: str, min_support: float = 0.01, min_pages: int = 10,
+def mine_rules(labelled: DataFrame, folder: str, min_pages: int = 10,
                min_confidence: float = 0.8) -> DataFrame:
     """Rules (tokens, post, confidence, n) from ``labelled`` (url, blocked).
 
-    A rule holds for at least ``min_support`` of all labelled pages and for
-    ``min_pages`` of them, and ``min_confidence`` of the pages that hold its
-    tokens are blocked.  Rows without a label are ignored; no rows, no rules.
+    A rule holds for at least ``min_pages`` blocked pages, however many pages
+    there are, and ``min_confidence`` of the pages that hold its tokens are
+    blocked.  Rows without a label are ignored; no rows, no rules.
     """
     pages = materialise(
         labelled.filter("blocked is not null")
         .select(F.sort_array(url_tokens(F.col("url"))).alias("held"), "blocked")
         .groupBy("held").agg(F.count("*").alias("n"), F.count_if("blocked").alias("b"))
         .withColumn("page", F.monotonically_increasing_id()), f"{folder}/labelled")
-    n = pages.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    least = max(min_pages, math.ceil(min_support * n))
     sure = (F.col("freq") / F.col("all")) >= min_confidence
 
     def counted(sets):
         return sets.groupBy("items").agg(F.sum("n").alias("all"), F.sum("b").alias("freq")).filter(
-            F.col("freq") >= least)
+            F.col("freq") >= min_pages)
 
     sets = materialise(counted(pages.select(
         F.explode("held").alias("item"), "n", "b").select(F.array("item").alias("items"), "n", "b")),

@@ -70,3 +70,12 @@ def test_rules_from_every_part_of_the_url(spark, folder):
             labelled.withColumn("page_id", F.lit(1)), rules).collect()}
         for url, blocked in urls[:40]:
             assert verdicts[url] == ("block" if blocked else "allow"), url
+
+
+def test_support_does_not_grow_with_the_pages(spark, folder):
+    """Ten blocked pages of one host are a rule among 5,000 pages too."""
+    urls = [(f"https://bad.org/{i}", True) for i in range(10)]
+    urls += [(f"https://h{i % 700}.net/{i}", i % 3 == 0) for i in range(4_990)]
+    labelled = spark.createDataFrame(urls, "url string, blocked boolean")
+    rules = U.mine_rules(labelled, folder)
+    assert "https://bad.org/3" in {r.url for r in U.match_rules(labelled, rules).collect()}
