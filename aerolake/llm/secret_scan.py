@@ -9,7 +9,8 @@ more long.  A run belongs to the narrowest of three character classes; as the
 window moves by one character, the count of the entering and of the leaving
 one among those kept changes the sum of n*log2(n), held in millionths so that
 no rounding drifts.  The span goes from the first window above the class's
-limit to the end of the last.  Runs that the allow-list knows are left out.
+limit to the end of the last.  Runs are left out if the allow-list knows every
+part of them; a known part beside a secret hides nothing.
 """
 
 from __future__ import annotations
@@ -32,12 +33,32 @@ KINDS = ("assign", "access", "hex", "entropy")
 # Classes from narrow to wide: pattern of the whole run, least bits a character.
 CLASSES = (("[0-9a-fA-F]+", 3.0), ("[A-Z0-9]+", 3.4), ("[A-Za-z0-9+/_=-]+", 3.7))
 WINDOW = 20
-# Runs that are no secrets: without a letter or a digit, of short parts only
-# (paths, words with dashes, UUIDs), with a placeholder's word, or counting up.
-ALLOWED = (
-    "[^0-9]+", "[^A-Za-z]+", "(?:[^/_=-]{0,15}[/_=-])*[^/_=-]{0,15}",
-    ".*(?i:example|sample|placeholder|changeme|dummy|xxxx).*",
-    ".*(?:0123456789|abcdefghij|ABCDEFGHIJ).*")
+# Runs that are no secrets: every part between / _ = + - is a word, a number, a
+# short number with letters, a time, a placeholder or counts up, or the parts are
+# a UUID.  One part of another shape, and the whole run is looked at.
+
+
+def _counting(signs: str, least: int) -> str:
+    """``signs`` from the first on, ``least`` of them or more."""
+    tail = ""
+    for sign in reversed(signs[least:]):
+        tail = f"(?:{sign}{tail})?"
+    return signs[:least] + tail
+
+
+_CONSONANT = "(?i:[bcdfghjklmnpqrstvwxz])"
+_WORD = ("(?:[a-z]{1,19}|[A-Z]{1,19}|[A-Z]{0,5}[a-z]{2,19}(?:[A-Z][a-z]{2,18}){0,5}[A-Z]{0,4})"
+         "[0-9]{0,4}")
+_COUNT = "(?:%s)" % "|".join((
+    "0?1234567890?", _counting("abcdefghijklmnopqrstuvwxyz", 6),
+    _counting("ABCDEFGHIJKLMNOPQRSTUVWXYZ", 6)))
+_PARTS = (
+    "[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}", "[0-9]+", "[0-9]{8}[Tt][0-9]{4,6}[Zz]?",
+    f"(?![A-Za-z]*{_CONSONANT}{{6}}){_WORD}", "[a-z]{1,2}[0-9]{1,3}[a-z]?", "[0-9]{1,3}[a-z]{1,2}",
+    "[A-Za-z0-9]{0,6}(?:(?i:example|sample|placeholder|changeme|dummy)|[xX]{4,64})[A-Za-z0-9]{0,6}",
+    f"[A-Za-z0-9]{{0,3}}{_COUNT}{{1,9}}[A-Za-z0-9]{{0,3}}")
+# Possessive, so that long runs need no deep stack.
+ALLOWED = ("(?:[/_=+-]|(?:%s)(?![A-Za-z0-9]))*+" % "|".join(_PARTS),)
 MICRO = 1_000_000
 BLOCK = 256
 

@@ -71,3 +71,36 @@ def test_query(spark, tmp_path):
 def test_main_path_is_native(spark, odd_docs):
     plan = S.find_secrets(odd_docs).select(F.size("secrets"))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Exchange SinglePartition" not in plan
+
+
+ALPHABETS = {
+    "0123456789abcdef": 40, "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567": 32,
+    "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz": 24,
+    "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789": 22,
+    "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789-_": 22,
+    "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/": 24,
+}
+
+
+def test_random_tokens_are_found(spark):
+    """Recall on random tokens of each alphabet, bare and beside known parts."""
+    rnd = random.Random(5)
+    rows = [(a, before + "".join(rnd.choices(a, k=n)))
+            for a, n in ALPHABETS.items() for before in ("", "example_x=", "abcdefghij_")
+            for _ in range(1000 if not before else 100)
+            if not before or len(a) > 52]
+    docs = spark.createDataFrame(rows, "alphabet string, text string")
+    found = S.find_secrets(docs).groupBy("alphabet").agg(
+        F.avg((F.size("secrets") > 0).cast("int")).alias("recall")).collect()
+    assert len(found) == len(ALPHABETS)
+    for row in found:
+        assert row.recall >= 0.97, row  # the entropy limit alone misses some of letters only
+
+
+def test_known_parts_are_no_secrets(spark):
+    plain = ["docs/en/installation/guide-to-python3", "x86_64-unknown-linux-gnu", "=" * 40,
+             "123e4567-e89b-12d3-a456-426614174000", "2024-01-15-release-notes-v2", "x" * 30,
+             "your-api-key-goes-here", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/",
+             "internationalization-und-strassenverzeichnis", "ab/c-" * 100_000]
+    docs = spark.createDataFrame([(t,) for t in plain], "text string")
+    assert [r.text for r in S.find_secrets(docs).filter(F.size("secrets") > 0).collect()] == []
