@@ -1,11 +1,12 @@
 """Toxicity by a subsequence string kernel machine with Nyström landmarks.
 
 The kernel compares words by their subsequences of three characters, contiguous
-or with gaps, each weighted by ``DECAY`` to the power of its gaps; windows of
-up to five characters are looked at, so ``i.d.i.o.t`` still shares
-subsequences with the plain word.  Words carry marks for their begin and end;
-three or more single characters in a row also count as one word, and very long
-words as overlapping windows, so that whole texts are read.
+or with gaps anywhere in the word, each weighted by ``DECAY`` to the power of
+its gaps; the decay alone limits the gaps.  Words carry marks for their begin
+and end; very long words are read as overlapping windows.  A word with signs in
+it is also read without them, and words of one or two characters also joined
+with each other and with the words beside them, so that ``i..d..i..o..t`` and
+``id i ot`` are read as the plain word too.
 
 A sentence is as toxic as its worst word.  Words of labelled sentences are
 mapped to the similarities with ``landmarks`` landmark words, whitened (the
@@ -27,8 +28,10 @@ from pyspark.sql import functions as F
 from aerolake.llm.shingles import mix
 
 DECAY = 0.6
-STEPS = ((1, 2), (1, 3), (2, 3), (1, 4), (2, 4), (3, 4))
 LONGEST = 32  # of a word; longer ones are cut in windows that overlap by half
+WHOLE = LONGEST + 2  # reach of the kernel that is learnt and scored: word and marks
+SHORT = 2  # words up to this length are also joined with their neighbours
+MEMO = 200_000  # words whose margins a worker keeps
 EDGE = "!\"#$%&'()*+,./:;<=>?@[\\]^_`{|}~-¿¡«»"
 
 
@@ -42,12 +45,7 @@ class Model(NamedTuple):
 
 def words(text: str) -> list[str]:
     """The distinct words of a text in lower case, as the kernel reads them."""
-    found, run = dict(), []
-
-    def close():
-        if len(run) > 2:
-            add("".join(run))
-        run.clear()
+    found, run, before = dict(), [], ""
 
     def add(word):
         if len(word) <= LONGEST:
@@ -56,31 +54,45 @@ def words(text: str) -> list[str]:
             for at in range(0, len(word) - LONGEST // 2, LONGEST // 2):
                 found[word[at:at + LONGEST]] = None
 
+    def close(after):
+        if run:
+            short = "".join(run)
+            for word in (short, before + short, short + after, before + short + after):
+                add(word)
+        run.clear()
+
     for token in text.lower().split():
         token = token.strip(EDGE)
         if not token:
             continue
-        if len(token) == 1:
+        add(token)
+        bare = "".join(filter(str.isalnum, token))
+        if bare and bare != token:
+            add(bare)
+        if len(token) <= SHORT:
             run.append(token)
             continue
-        close()
-        add(token)
-    close()
+        close(bare)
+        before = bare
+    close("")
     return list(found)
 
 
-def subsequences(units: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(word, key, value) of all gap-weighted subsequences, words of length one."""
+def subsequences(units: list[str], reach: int = 5) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(word, key, value) of all gap-weighted subsequences within ``reach``
+    characters, words of length one."""
     text = "".join(f"\x02{u}\x03" for u in units)
     points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
     sizes = np.fromiter((len(u) + 2 for u in units), np.int64, len(units))
     owner = np.repeat(np.arange(len(units)), sizes)
     ends = np.repeat(np.cumsum(sizes), sizes)
     parts = []
-    for a, b in STEPS:
+    for b in range(2, min(reach, max(sizes, default=3))):
         at = np.flatnonzero(np.arange(len(points)) + b < ends)
-        key = (points[at] << np.uint64(42)) | (points[at + a] << np.uint64(21)) | points[at + b]
-        parts.append((owner[at], key, np.full(len(at), DECAY ** (b - 2))))
+        ring = (points[at] << np.uint64(42)) | points[at + b]
+        for a in range(1, b):
+            key = ring | (points[at + a] << np.uint64(21))
+            parts.append((owner[at], key, np.full(len(at), DECAY ** (b - 2))))
     owner, key, value = (np.concatenate(x) for x in zip(*parts))
     # Equal subsequences of a word add up before its length is taken.
     order = np.argsort(mix(key) ^ mix(owner.astype(np.uint64)), kind="stable")
@@ -94,14 +106,14 @@ def subsequences(units: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return owner, key, value / norm[owner]
 
 
-def similarities(units: list[str], landmarks: list[str]) -> np.ndarray:
+def similarities(units: list[str], landmarks: list[str], reach: int = 5) -> np.ndarray:
     """The normalised kernel of each word with each landmark."""
     out = np.zeros((len(units), len(landmarks)))
-    mark, key, value = subsequences(landmarks)
+    mark, key, value = subsequences(landmarks, reach)
     order = np.argsort(key, kind="stable")
     mark, key, value = mark[order], key[order], value[order]
-    for at in range(0, len(units), 4096):
-        own, k, v = subsequences(units[at:at + 4096])
+    for at in range(0, len(units), 512):
+        own, k, v = subsequences(units[at:at + 512], reach)
         low, high = np.searchsorted(key, k, "left"), np.searchsorted(key, k, "right")
         many = high - low
         hit = np.repeat(np.arange(len(k)), many)
@@ -132,24 +144,30 @@ def machine(x: np.ndarray, positive: np.ndarray, negative: np.ndarray,
 def word_margins(units: list[str], model: Model) -> np.ndarray:
     if not len(model.keys) or not units:
         return np.full(len(units), model.bias)
-    own, key, value = subsequences(units)
+    own, key, value = subsequences(units, WHOLE)
     at = np.minimum(np.searchsorted(model.keys, key), len(model.keys) - 1)
     hit = model.keys[at] == key
     return model.bias + np.bincount(own[hit], value[hit] * model.weights[at[hit]], len(units))
 
 
-def text_features(texts: list[str], model: Model) -> np.ndarray:
-    """Worst and second worst word, log of the number of words, 1, per text."""
+def text_features(texts: list[str], model: Model, memo: dict[str, float] | None = None) -> np.ndarray:
+    """Worst and second worst word, log of the number of words, 1, per text.
+    ``memo`` holds margins of words seen before, and takes those of new ones."""
+    memo = {} if memo is None else memo
     out = np.tile(np.array([-2.0, -2.0, 0.0, 1.0]), (len(texts), 1))
     lists = [words(t) for t in texts]
-    index = {w: i for i, w in enumerate(dict.fromkeys(w for ws in lists for w in ws))}
-    margins = np.zeros(len(index))
-    every = list(index)
-    for at in range(0, len(every), 16_384):
-        margins[at:at + 16_384] = word_margins(every[at:at + 16_384], model)
+    if len(memo) > MEMO:
+        memo.clear()
+    every = [w for w in dict.fromkeys(w for ws in lists for w in ws) if w not in memo]
+    every.sort(key=len, reverse=True)
+    at = 0
+    while at < len(every):  # parts of about two million subsequences at most
+        part = every[at:at + max(1, min(16_384, 12_000_000 // (len(every[at]) + 2) ** 3))]
+        memo.update(zip(part, word_margins(part, model).tolist()))
+        at += len(part)
     for i, ws in enumerate(lists):
         if ws:
-            own = margins[[index[w] for w in ws]]
+            own = np.array([memo[w] for w in ws])
             worst = np.sort(np.partition(own, len(own) - 2)[-2:])[::-1] if len(own) > 1 else own
             out[i, :len(worst)] = np.clip(worst, -2, 2)
             out[i, 2] = np.log1p(len(ws))
@@ -168,8 +186,8 @@ def logistic(x: np.ndarray, y: np.ndarray, decay: float = 1.0, rounds: int = 50)
     return w
 
 
-def probability(texts: list[str], model: Model) -> np.ndarray:
-    return 1 / (1 + np.exp(-np.clip(text_features(texts, model) @ model.curve, -30, 30)))
+def probability(texts: list[str], model: Model, memo: dict[str, float] | None = None) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(text_features(texts, model, memo) @ model.curve, -30, 30)))
 
 
 def held_out(id_column: Column) -> Column:
@@ -240,22 +258,23 @@ def fit(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_colu
     telling = np.argsort(-(up * np.maximum(lifts, 0)), kind="stable")[:landmarks * 3 // 4]
     common = np.argsort(-down, kind="stable")[:landmarks - len(telling)]
     chosen_words = sorted({units[i] for i in (*telling, *common)})
-    gram = similarities(chosen_words, chosen_words)
+    gram = similarities(chosen_words, chosen_words, WHOLE)
     value, vector = np.linalg.eigh((gram + gram.T) / 2)
     keep = value > 1e-6
     white = vector[:, keep] / np.sqrt(value[keep])
-    x = similarities(units, chosen_words) @ white
+    x = similarities(units, chosen_words, WHOLE) @ white
     w = machine(x, up, 4 * down)
-    own, key, amount = subsequences(chosen_words)
+    own, key, amount = subsequences(chosen_words, WHOLE)
     alpha = white @ w[:-1]
     keys, place = np.unique(key, return_inverse=True)
     model = Model(keys, np.bincount(place, amount * alpha[own], len(keys)), float(w[-1]), none.curve)
 
     def featured(batches):
+        memo = {}
         for batch in batches:
             texts, toxic = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             for at in range(0, len(texts), 256):
-                rows = text_features(texts[at:at + 256], model)
+                rows = text_features(texts[at:at + 256], model, memo)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(rows[:, 0]), pa.array(rows[:, 1]), pa.array(rows[:, 2]),
                      pa.array(toxic[at:at + 256], pa.int32())], names=["a", "b", "n", "toxic"])
@@ -272,6 +291,8 @@ def score(docs: DataFrame, model: Model, text_column: str = "text",
           output: str = "score") -> DataFrame:
     """``docs`` with ``output``, 0 to 1; NULL texts count as empty.  Every row
     is scored by its whole text alone; a column named ``output`` is replaced."""
+    memo = {}  # each worker fills its own
+
     @F.pandas_udf("double")
     def rate(texts):
         import pandas as pd
@@ -283,7 +304,7 @@ def score(docs: DataFrame, model: Model, text_column: str = "text",
             while stop < len(values) and (stop == at or size < 1 << 20):
                 size += len(values[stop])
                 stop += 1
-            out.append(probability(values[at:stop], model))
+            out.append(probability(values[at:stop], model, memo))
             at = stop
         return pd.Series(np.concatenate(out) if out else np.zeros(0))
 

@@ -94,3 +94,45 @@ def test_mix_keeps_every_row(spark, folder, odd_docs, empty_docs):
     assert docs.exceptAll(out).count() == 0
     assert M.mix(odd_docs, labels, f"{folder}/odd").count() >= odd_docs.count()
     assert M.mix(empty_docs, labels, f"{folder}/none").count() == 0
+
+
+def whole_kernel(a, b):
+    """The usual recursion for three characters, gaps of any size, unit length."""
+    a, b = f"\x02{a}\x03", f"\x02{b}\x03"
+
+    def raw(x, y):
+        d = K.DECAY
+        inner = np.ones((len(x) + 1, len(y) + 1))
+        for _ in range(2):
+            grown = np.zeros_like(inner)
+            for i in range(1, len(x) + 1):
+                for j in range(1, len(y) + 1):
+                    grown[i, j] = (d * grown[i - 1, j] + d * grown[i, j - 1]
+                                   - d * d * grown[i - 1, j - 1]
+                                   + d * d * inner[i - 1, j - 1] * (x[i - 1] == y[j - 1]))
+            inner = grown
+        return d * d * sum(inner[i, j] for i in range(len(x)) for j in range(len(y)) if x[i] == y[j])
+
+    return raw(a, b) / np.sqrt(raw(a, a) * raw(b, b))
+
+
+def test_whole_kernel_matches_the_recursion():
+    words = ["idiot", "i..d..i..o..t", "i--d--i--o--t", "ixxxdxxxixxxoxxxt", "é", "q" * 32, "banana"]
+    got = K.similarities(words, words, K.WHOLE)
+    assert np.allclose(got, [[whole_kernel(a, b) for b in words] for a in words])
+    assert got[0, 1] > K.similarities(words, words)[0, 1]
+
+
+def test_gapped_and_broken_words_are_read():
+    for text in ("i.d.i.o.t", "i..d..i..o..t", "i---d---i---o---t", "id i ot", "an idi o t !", "i d iot"):
+        assert "idiot" in K.words(text), text
+
+
+def test_recall_of_inserted_signs(spark):
+    docs, labels = corpus(spark)
+    model = K.fit(docs, labels)
+    plain = "alpha river stone houses clouds green papers seven " * 3
+    assert K.probability([plain], model)[0] < 0.5
+    for n in (1, 2, 3):
+        texts = [plain + (filler * n).join("grubnash") for filler in ".-_* "]
+        assert (K.probability(texts, model) >= 0.5).all(), n
