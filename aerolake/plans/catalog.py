@@ -196,6 +196,34 @@ def q_orphan_audit(spark, sf_dir):
     ])
 
 
+def q_key_audit_dimensions(spark, sf_dir):
+    """The declared keys that ``key_audit`` does not hold."""
+    lk = _lake(spark, sf_dir)
+    return audit.key_audit([
+        ("dim_pollution_locations", lk.dim_locations, ["location_id"]),
+        ("dim_pollution_parameters", lk.dim_parameters, ["parameter_id"]),
+        ("dim_time", dims.time_of_day(spark), ["time_int"]),
+        ("dim_weather_locations", lk.dim_weather_locations, ["location_id"]),
+    ])
+
+
+def q_orphan_audit_dimensions(spark, sf_dir):
+    """The declared references that ``orphan_audit`` does not hold."""
+    lk = _lake(spark, sf_dir)
+    return audit.orphan_audit([
+        ("dim_pollution_sensors.location_id -> dim_pollution_locations", lk.dim_sensors,
+         ["location_id"], lk.dim_locations, ["location_id"]),
+        ("dim_pollution_sensors.parameter_id -> dim_pollution_parameters", lk.dim_sensors,
+         ["parameter_id"], lk.dim_parameters, ["parameter_id"]),
+        ("fct_pollution.location_id -> dim_pollution_locations", lk.fct_pollution,
+         ["location_id"], lk.dim_locations, ["location_id"]),
+        ("fct_weather.date_int -> dim_calendar", lk.fct_weather, ["date_int"],
+         lk.dim_calendar, ["date_int"]),
+        ("fct_weather.time_int -> dim_time", lk.fct_weather, ["time_int"],
+         dims.time_of_day(spark), ["time_int"]),
+    ])
+
+
 def q_corr_by_parameter(spark, sf_dir):
     lk = _lake(spark, sf_dir)
     out = insight.corr_by_parameter(lk.hourly_by_city, lk.weather_hourly)
@@ -241,6 +269,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "backfill_worklist": q_backfill_worklist,
     "key_audit": q_key_audit,
     "orphan_audit": q_orphan_audit,
+    "key_audit_dimensions": q_key_audit_dimensions,
+    "orphan_audit_dimensions": q_orphan_audit_dimensions,
     "corr_by_parameter": q_corr_by_parameter,
     "by_wind_bucket": q_by_wind_bucket,
     "best_hour": q_best_hour,

@@ -412,6 +412,26 @@ WHERE NOT EXISTS (SELECT 1 FROM finished f WHERE f.location_id = w.location_id
     ]),
 }
 
+SQL["key_audit_dimensions"] = _with(POLLUTION, TIME, WEATHER) + " UNION ALL ".join([
+    _key_audit_part("dim_pollution_locations", "dim_locations", ["location_id"]),
+    _key_audit_part("dim_pollution_parameters", "dim_parameters", ["parameter_id"]),
+    _key_audit_part("dim_time", "dim_time", ["time_int"]),
+    _key_audit_part("dim_weather_locations", "dim_weather_locations", ["location_id"]),
+])
+
+SQL["orphan_audit_dimensions"] = _with(POLLUTION, CALENDAR, TIME, WEATHER) + " UNION ALL ".join([
+    _orphan_part("dim_pollution_sensors.location_id -> dim_pollution_locations", "dim_sensors",
+                 "location_id", "dim_locations", "location_id"),
+    _orphan_part("dim_pollution_sensors.parameter_id -> dim_pollution_parameters", "dim_sensors",
+                 "parameter_id", "dim_parameters", "parameter_id"),
+    _orphan_part("fct_pollution.location_id -> dim_pollution_locations", "fct_pollution",
+                 "location_id", "dim_locations", "location_id"),
+    _orphan_part("fct_weather.date_int -> dim_calendar", "fct_weather", "date_int",
+                 "dim_calendar", "date_int"),
+    _orphan_part("fct_weather.time_int -> dim_time", "fct_weather", "time_int",
+                 "dim_time", "time_int"),
+])
+
 _GOLD_BOTH = _with(POLLUTION, HOURLY, HOURLY_BY_CITY, WEATHER, WEATHER_HOURLY)
 
 SQL["corr_by_parameter"] = _GOLD_BOTH + """,

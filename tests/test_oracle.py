@@ -39,3 +39,14 @@ def test_entry_smoke(spark):
     df = entry(spark)
     assert df.count() > 0
     assert "avg_value" in df.columns
+
+
+def test_every_declared_key_and_reference_is_audited(spark):
+    keys = {r.table_name for q in ("key_audit", "key_audit_dimensions")
+            for r in queries()[q](spark, SF_SMALL).collect()}
+    assert keys >= {"fct_pollution", "dim_pollution_locations", "dim_pollution_sensors",
+                    "dim_pollution_parameters", "dim_calendar", "dim_time", "dim_weather_locations"}
+    links = [r.relation for q in ("orphan_audit", "orphan_audit_dimensions")
+             for r in queries()[q](spark, SF_SMALL).collect()]
+    assert sum(x.startswith(("fct_", "dim_")) for x in links) == 9 == len(
+        {x for x in links if x.startswith(("fct_", "dim_"))})
