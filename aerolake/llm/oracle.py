@@ -36,3 +36,77 @@ n AS (SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a)
 SELECT c.vec_id, coalesce(n.n, 0) AS n_links, c.component_id, c.vec_id = c.component_id AS kept
 FROM comp c LEFT JOIN n ON n.vec_id = c.vec_id
 """
+
+
+def _tree(prefix: str, leaves: str, levels: int = 16) -> str:
+    """CTEs of a tree with runs of three over ``leaves`` (tree, rank, node):
+    ``{prefix}_top`` (tree, top) and ``{prefix}_path`` (tree, rank, l0, r0, ...),
+    the siblings left and right of each leaf's path; up to 3 ** levels leaves."""
+    ctes = [f"{prefix}0 AS (SELECT tree, rank, node, count(*) OVER (PARTITION BY tree) AS total "
+            f"FROM {leaves})"]
+    for j in range(levels):
+        ctes.append(f"""{prefix}_s{j} AS (SELECT tree, rank, total,
+  CASE WHEN total > 1 THEN coalesce(string_agg(node, '') OVER (PARTITION BY tree, rank // 3 ORDER BY rank
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') ELSE '' END AS l,
+  CASE WHEN total > 1 THEN coalesce(string_agg(node, '') OVER (PARTITION BY tree, rank // 3 ORDER BY rank
+    ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') ELSE '' END AS r,
+  node FROM {prefix}{j})""")
+        ctes.append(f"""{prefix}{j + 1} AS (SELECT tree, rank // 3 AS rank,
+  CASE WHEN any_value(total) > 1 THEN sha256(string_agg(node, '' ORDER BY rank)) ELSE any_value(node) END AS node,
+  (any_value(total) + 2) // 3 AS total FROM {prefix}{j} GROUP BY tree, rank // 3)""")
+    cols = ", ".join(f"s{j}.l AS {prefix}l{j}, s{j}.r AS {prefix}r{j}, s{j}.total > 1 AS {prefix}u{j}"
+                     for j in range(levels))
+    joins = " ".join(f"JOIN {prefix}_s{j} s{j} ON s{j}.tree = a.tree AND s{j}.rank = a.rank // {3 ** j}"
+                     for j in range(levels))
+    ctes.append(f"{prefix}_path AS MATERIALIZED (SELECT a.tree, a.rank, {cols} FROM {prefix}0 a {joins})")
+    ctes.append(f"{prefix}_top AS (SELECT tree, node AS top FROM {prefix}{levels} WHERE rank = 0)")
+    return ",\n".join(ctes)
+
+
+def _field(c: str, text: str | None = None) -> str:
+    text = text or f"CAST({c} AS VARCHAR)"
+    return f"coalesce(octet_length(encode({text})) || ':' || {text}, '-')"
+
+
+def _crc32(text: str) -> str:
+    """The unsigned CRC-32 of an ASCII text: bit by bit over its bytes."""
+    bits = (f"flatten(list_transform(string_split({text}, ''), lambda ch: "
+            "list_concat([CAST(ascii(ch) AS BIGINT)], [0, 0, 0, 0, 0, 0, 0])))")
+    return (f"xor(4294967295, list_reduce({bits}, lambda c, x: "
+            "xor(xor(c, x) >> 1, 3988292384 * (xor(c, x) & 1)), CAST(4294967295 AS BIGINT)))")
+
+
+def _folds(prefixes: list[str], levels: int = 16) -> tuple[str, str]:
+    """CTEs that fold ``given`` up the paths, and the name of the last one."""
+    ctes, last = [], "paths"
+    for p in prefixes:
+        for j in range(levels):
+            ctes.append(f"fold_{p}{j} AS (SELECT * REPLACE (CASE WHEN {p}u{j} THEN "
+                        f"sha256({p}l{j} || given || {p}r{j}) ELSE given END AS given) FROM {last})")
+            last = f"fold_{p}{j}"
+    return ",\n".join(ctes), last
+
+
+_LEVELS = range(16)
+_CTES, _LAST = _folds(["t", "g"])
+SQL["op13_merkle_witnesses"] = f"""
+WITH d AS (SELECT *, coalesce('s' || source, '-') AS tree,
+  sha256({' || '.join(_field(c) for c in ("doc_id", "source", "lang", "n_chars", "text"))}) AS leaf,
+  sha256({' || '.join(_field(c) for c in ("doc_id", "source", "lang", "n_chars"))} ||
+    {_field("text", "replace(text, chr(10), '')")}) AS cut
+  FROM documents),
+e AS (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS rank,
+  CASE WHEN doc_id IS NOT NULL AND {_crc32("CAST(doc_id AS VARCHAR)")} % 2 = 0 THEN cut ELSE leaf END AS given
+  FROM d),
+tl AS (SELECT tree, rank, leaf AS node FROM e),
+{_tree("t", "tl")},
+gl AS (SELECT '' AS tree, tree AS name, row_number() OVER (ORDER BY tree) - 1 AS rank, top AS node FROM t_top),
+{_tree("g", "gl")},
+paths AS (SELECT e.doc_id, e.leaf, t_top.top AS subroot, g_top.top AS root, e.given, t_path.*, g_path.*
+  FROM e JOIN t_path ON t_path.tree = e.tree AND t_path.rank = e.rank JOIN t_top ON t_top.tree = e.tree
+  JOIN gl ON gl.name = e.tree JOIN g_path ON g_path.rank = gl.rank JOIN g_top ON true),
+{_CTES}
+SELECT doc_id, leaf, subroot, root,
+  sha256({' || '.join(f'{p}l{j} || {p}r{j}' for p in "tg" for j in _LEVELS)}) AS proof_sha256,
+  given AS folded_root, given = root AS verified FROM {_LAST}
+"""

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from aerolake.llm import (grid_join, minhash, mixing, pieces, planes, secret_scan, string_kernel,
+from aerolake.llm import (grid_join, merkle, minhash, mixing, pieces, planes, secret_scan, string_kernel,
                           syncmers, url_rules, warc)
 
 QUERIES = {
@@ -16,4 +16,5 @@ QUERIES = {
     "op8_url_rules": url_rules.op8,
     "op9_warc_dictionary": warc.op9,
     "op10_grid_order_join": grid_join.op10,
+    "op13_merkle_witnesses": merkle.op13,
 }
