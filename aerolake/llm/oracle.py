@@ -37,6 +37,27 @@ SELECT c.vec_id, coalesce(n.n, 0) AS n_links, c.component_id, c.vec_id = c.compo
 FROM comp c LEFT JOIN n ON n.vec_id = c.vec_id
 """
 
+_TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+_TERMS = (f"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "
+          f"'abcdefghijklmnopqrstuvwxyz'), '{_TERM}')")
+SQL["op12_best_position"] = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_TERMS} AS ts FROM documents),
+h AS (SELECT r, doc_id, ts, CAST(len(ts) AS BIGINT) AS n FROM d WHERE len(ts) > 0),
+g AS (SELECT CAST(count(*) AS BIGINT) AS big_n, CAST(sum(n) AS BIGINT) AS big_l FROM h),
+p AS (SELECT r, t, CAST(count(*) AS BIGINT) AS tf FROM (SELECT r, unnest(ts) AS t FROM h) GROUP BY r, t),
+w AS (SELECT t, CAST(floor(1000 * ln(CAST(2 * any_value(big_n) + 2 AS DOUBLE) /
+  CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS w FROM p, g GROUP BY t),
+q AS (SELECT item_id, text, t, CAST(count(*) AS BIGINT) AS times
+  FROM (SELECT item_id, text, unnest(ts) AS t
+        FROM (SELECT DISTINCT item_id, text, {_TERMS} AS ts FROM benchmark)) GROUP BY item_id, text, t),
+s AS (SELECT q.item_id, q.text, h.r, any_value(h.doc_id) AS doc_id, CAST(sum(q.times * w.w *
+    ((1000000000 * p.tf) // (1000 * p.tf + 8 * (25 + (75 * h.n * g.big_n) // g.big_l)))) AS BIGINT) AS score
+  FROM q JOIN w ON w.t = q.t JOIN p ON p.t = q.t JOIN h ON h.r = p.r, g GROUP BY q.item_id, q.text, h.r)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id, text
+    ORDER BY score DESC, doc_id NULLS LAST) AS INTEGER) AS rank, doc_id, score
+FROM s WHERE score > 0 QUALIFY rank <= 10
+"""
+
 
 def _tree(prefix: str, leaves: str, levels: int = 16) -> str:
     """CTEs of a tree with runs of three over ``leaves`` (tree, rank, node):

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from aerolake.llm import (grid_join, merkle, minhash, mixing, pieces, planes, secret_scan, string_kernel,
-                          syncmers, url_rules, warc)
+from aerolake.llm import (best_position, grid_join, merkle, minhash, mixing,
+                          pieces, planes, secret_scan, string_kernel, syncmers, url_rules, warc)
 
 QUERIES = {
     "op1_token_planes": planes.op1,
@@ -16,5 +16,6 @@ QUERIES = {
     "op8_url_rules": url_rules.op8,
     "op9_warc_dictionary": warc.op9,
     "op10_grid_order_join": grid_join.op10,
+    "op12_best_position": best_position.op12,
     "op13_merkle_witnesses": merkle.op13,
 }
