@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from aerolake.llm import (best_position, grid_join, merkle, minhash, mixing,
+from aerolake.llm import (best_position, factor_quality, grid_join, merkle, minhash, mixing,
                           pieces, planes, secret_scan, string_kernel, syncmers, url_rules, warc)
 
 QUERIES = {
@@ -16,6 +16,7 @@ QUERIES = {
     "op8_url_rules": url_rules.op8,
     "op9_warc_dictionary": warc.op9,
     "op10_grid_order_join": grid_join.op10,
+    "op11_factor_machine": factor_quality.op11,
     "op12_best_position": best_position.op12,
     "op13_merkle_witnesses": merkle.op13,
 }
