@@ -16,7 +16,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml import Pipeline
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import IDF, HashingTF, Normalizer
 from pyspark.ml.functions import vector_to_array
@@ -66,6 +66,11 @@ def add_posteriors(docs: DataFrame, labels: DataFrame, domains: list[int],
         LogisticRegression(featuresCol="_features", labelCol="_label", probabilityCol="_chance",
                            rawPredictionCol="_raw", predictionCol="_best", maxIter=40,
                            regParam=1e-3, family="multinomial")]).fit(rows)
+    # Read back from its files the model comes without its training summary, which
+    # holds the session and, once that has observed a write, cannot be sent to tasks.
+    saved = f"{run_folder(docs.sparkSession, 'posteriors')}/model"
+    model.write().overwrite().save(saved)
+    model = PipelineModel.load(saved)
     held = docs.withColumn("_words", _words(F.col(text_column)))
     chance = vector_to_array("_chance")
     # The model knows labels up to the largest one seen.
