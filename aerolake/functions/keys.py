@@ -54,11 +54,6 @@ def weather_location_key(latitude: Column, longitude: Column) -> Column:
     return hashed_key(latitude, longitude)
 
 
-def weather_location_text(latitude: Column, longitude: Column) -> Column:
-    """The text ``weather_location_key`` hashes (NULL without coordinates)."""
-    return key_text(latitude, longitude)
-
-
 def date_int(ts: Column) -> Column:
     """yyyymmdd as INT."""
     return (F.year(ts) * 10000 + F.month(ts) * 100 + F.dayofmonth(ts)).cast("int")

@@ -16,34 +16,19 @@ from pyspark.sql import functions as F
 # The five rule sets (rule name -> predicate), as the source
 # pipeline declares them.
 # ---------------------------------------------------------------------------
-LOCATION_RULES = {
-    "location_id is not null": "location_id IS NOT NULL",
-    "name is not null": "name IS NOT NULL",
-    "city is not null": "city IS NOT NULL",
-}
-PARAMETER_RULES = {
-    "parameter_id is not null": "parameter_id IS NOT NULL",
-    "name is not null": "name IS NOT NULL",
-}
-SENSOR_RULES = {
-    "sensor_id is not null": "sensor_id IS NOT NULL",
-    "location_id is not null": "location_id IS NOT NULL",
-    "parameter_id is not null": "parameter_id IS NOT NULL",
-}
+def _not_null(*columns: str) -> dict[str, str]:
+    return {f"{c} is not null": f"{c} IS NOT NULL" for c in columns}
+
+
+LOCATION_RULES = _not_null("location_id", "name", "city")
+PARAMETER_RULES = _not_null("parameter_id", "name")
+SENSOR_RULES = _not_null("sensor_id", "location_id", "parameter_id")
 MEASUREMENT_RULES = {
     "period interval is 1 hour": "interval = '01:00:00'",
-    "datetime_from is not null": "datetime_from IS NOT NULL",
-    "value is not null": "value IS NOT NULL",
-    "location_id is not null": "location_id IS NOT NULL",
-    "sensor_id is not null": "sensor_id IS NOT NULL",
+    **_not_null("datetime_from", "value", "location_id", "sensor_id"),
     "value is sensible": "value > 0 AND value < 800",
 }
-WEATHER_RULES = {
-    "location_id is not null": "location_id is not null",
-    "datetime is not null": "datetime is not null",
-    "temperature_2m is not null": "temperature_2m IS NOT NULL",
-    "surface_pressure is not null": "surface_pressure IS NOT NULL",
-}
+WEATHER_RULES = _not_null("location_id", "datetime", "temperature_2m", "surface_pressure")
 
 RULE_SETS = {
     "locations": LOCATION_RULES,
@@ -131,6 +116,10 @@ def observe_failing(df: DataFrame, rules: dict[str, str], name: str) -> DataFram
     (``observedMetrics[name]``), the open-source stand-in for pipeline
     expectation metrics.
     """
-    cols = [F.count(F.lit(1)).alias("total_rows")]
-    cols += [F.count_if(~passes(p)).alias(n) for n, p in rules.items()]
-    return df.observe(name, *cols)
+    return df.observe(name, *failure_counts(rules))
+
+
+def failure_counts(rules: dict[str, str]) -> list[Column]:
+    """Aggregates: all rows as ``total_rows``, and the failing rows of each rule."""
+    return [F.count(F.lit(1)).alias("total_rows"),
+            *[F.count_if(~passes(p)).alias(n) for n, p in rules.items()]]

@@ -39,23 +39,47 @@ def key_audit(tables: list[tuple[str, DataFrame, list[str]]]) -> DataFrame:
     return reduce(DataFrame.unionByName, [key_audit_one(*t) for t in tables])
 
 
-def orphan_audit_one(relation: str, child: DataFrame, child_cols: list[str],
-                     parent: DataFrame, parent_cols: list[str]) -> DataFrame:
-    """Child rows whose (non-NULL) reference has no parent row.
+def _references(tables: list[tuple[DataFrame, list[tuple[str, str]]]]) -> DataFrame:
+    """(relation, key, n): how many rows hold each non-NULL key of each relation.
 
-    Child keys are counted first (partial aggregation), then anti-joined
-    against the parent's keys, so the join sees each key once.
+    A table is read once for all its relations: every row gives one pair per
+    relation, counted in the same task (partial aggregation) before the shuffle.
     """
-    keys = (child.select(*child_cols).filter(~_any_null(child_cols))
-            .groupBy(*child_cols).agg(F.count(F.lit(1)).alias("n")))
-    par = parent.select(*[F.col(p).alias(c) for p, c in zip(parent_cols, child_cols)])
-    orphans = keys.join(par, child_cols, "left_anti")
-    return orphans.agg(
-        F.lit(relation).alias("relation"),
-        F.count(F.lit(1)).alias("orphan_keys"),
-        F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("orphan_rows"),
-    )
+    parts = []
+    for table, columns in tables:
+        pairs = F.array(*[F.struct(F.lit(relation).alias("relation"),
+                                   F.col(column).cast("string").alias("key"))
+                          for relation, column in columns])
+        parts.append(table.select(F.explode(pairs).alias("p")).select("p.*")
+                     .filter("key is not null").groupBy("relation", "key")
+                     .agg(F.count(F.lit(1)).alias("n")))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _by_table(columns: list[tuple[DataFrame, str, str]]) -> list:
+    """(table, relation, column) grouped by table, as ``_references`` takes it."""
+    out: dict[int, tuple[DataFrame, list]] = {}
+    for table, relation, column in columns:
+        out.setdefault(id(table), (table, []))[1].append((relation, column))
+    return list(out.values())
 
 
-def orphan_audit(relations: list[tuple]) -> DataFrame:
-    return reduce(DataFrame.unionByName, [orphan_audit_one(*r) for r in relations])
+def orphan_audit(relations: list[tuple[str, DataFrame, str, DataFrame, str]]) -> DataFrame:
+    """Per relation ``(name, child, child column, parent, parent column)`` the keys
+    and rows of the child whose (non-NULL) reference has no parent row.
+
+    Every child and every parent is read once, however many relations it has
+    (tables count as one when they are the same DataFrame object); all relations
+    share one anti-join of their counted keys.
+    """
+    child = _references(_by_table([(c, name, col) for name, c, col, _, _ in relations]))
+    parent = _references(_by_table([(p, name, col) for name, _, _, p, col in relations]))
+    orphans = child.join(parent.select("relation", "key"), ["relation", "key"], "left_anti")
+    # One global row first, so a relation without orphans is reported too.
+    mine = lambda i: F.col("relation") == F.lit(relations[i][0])
+    sums = orphans.agg(*[c for i in range(len(relations)) for c in (
+        F.count_if(mine(i)).alias(f"k{i}"), F.sum(F.when(mine(i), F.col("n"))).alias(f"n{i}"))])
+    rows = [F.struct(F.lit(r[0]).alias("relation"), F.col(f"k{i}").alias("orphan_keys"),
+                     F.coalesce(F.col(f"n{i}"), F.lit(0)).cast("long").alias("orphan_rows"))
+            for i, r in enumerate(relations)]
+    return sums.select(F.explode(F.array(*rows)).alias("r")).select("r.*")

@@ -40,9 +40,13 @@ def calendar(spark: SparkSession, start: str, end: str) -> DataFrame:
 
 def rolling_calendar(spark: SparkSession, years: int = 5, end: str | None = None) -> DataFrame:
     """``years`` back from ``end`` (default today), the source's default range."""
-    e = F.lit(end).cast("date") if end else F.current_date()
-    s = F.add_months(e, -12 * years)
-    return calendar_between(spark.range(1), s, e)
+    return rolling_between(spark.range(1), F.lit(end).cast("date") if end else F.current_date(),
+                           years)
+
+
+def rolling_between(bounds: DataFrame, end: Column, years: int = 5) -> DataFrame:
+    """``years`` back from the ``end`` of each bounds row."""
+    return calendar_between(bounds, F.add_months(end.cast("date"), -12 * years), end)
 
 
 def time_of_day(spark: SparkSession) -> DataFrame:
@@ -83,24 +87,35 @@ def sensors_dim(rows: DataFrame) -> DataFrame:
     return latest.select("sensor_id", "name", "location_id", "parameter_id")
 
 
-def weather_locations_source(raw: DataFrame) -> DataFrame:
-    """Candidate weather-location rows from raw documents: the hashed key
-    from the raw double coordinates (never re-hashed from the FLOAT copy);
-    documents without coordinates (failed downloads) are skipped."""
-    return (raw.filter(F.col("latitude").isNotNull() & F.col("longitude").isNotNull())
-            .select(weather_location_key(F.col("latitude"), F.col("longitude")).alias("location_id"),
-                    F.col("latitude").cast("float").alias("latitude"),
-                    F.col("longitude").cast("float").alias("longitude"),
-                    "city", "timezone", F.col("elevation").cast("float").alias("elevation"),
-                    "bronze_load_ts", "source_file_name"))
+def point(latitude: Column, longitude: Column) -> Column:
+    """Raw (double) coordinates as one value; NULL if either is."""
+    return F.when(latitude.isNotNull() & longitude.isNotNull(),
+                  F.struct(latitude.alias("latitude"), longitude.alias("longitude")))
+
+
+def point_key(where: str) -> Column:
+    """The hashed location id of a ``point`` column."""
+    return weather_location_key(F.col(f"{where}.latitude"), F.col(f"{where}.longitude"))
+
+
+def weather_locations_by_point(raw: DataFrame) -> DataFrame:
+    """Latest document per weather location with its ``point``.  Documents
+    without coordinates (failed downloads) are skipped; ids are hashed from the
+    raw coordinates (never from their FLOAT copy) of the rows that are kept."""
+    src = raw.select(point(F.col("latitude"), F.col("longitude")).alias("point"), "city", "timezone",
+                     F.col("elevation").cast("float").alias("elevation"), "bronze_load_ts",
+                     "source_file_name").filter("point is not null")
+    latest = latest_per_key(src, ["point"],
+                            _latest_load("source_file_name", "city", "timezone", "elevation"))
+    return latest.select("point", point_key("point").alias("location_id"),
+                         F.col("point.latitude").cast("float").alias("latitude"),
+                         F.col("point.longitude").cast("float").alias("longitude"),
+                         "city", "timezone", "elevation")
 
 
 def weather_locations_dim(raw: DataFrame) -> DataFrame:
     """Latest document per weather location."""
-    src = weather_locations_source(raw)
-    latest = latest_per_key(src, ["location_id"],
-                            _latest_load("source_file_name", "city", "timezone", "elevation"))
-    return latest.select("location_id", "latitude", "longitude", "city", "timezone", "elevation")
+    return weather_locations_by_point(raw).drop("point")
 
 
 def new_rows(source: DataFrame, target: DataFrame, keys: list[str]) -> DataFrame:

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.keys import date_int, month_int, pollution_key, time_int, weather_key
 from ..sources.schemas import WEATHER_VARIABLES
 from ..sources.tables import try_read
+from ..sources.warehouse import Warehouse
 from .dedup import first_per_key
 
 PARTITION_COLUMN = "date_month"
@@ -88,6 +89,39 @@ def insert_new(spark: SparkSession, batch: DataFrame, target_path: str, columns:
         deduped.unpersist()
 
 
+# The natural keys of the facts, by which their tables are bucketed; a reading starts
+# on a minute, so its id is a hash of them.
+POLLUTION_KEY = ["sensor_id", "location_id", "date_int", "time_int"]
+WEATHER_KEY = ["location_id", "date_int", "time_int"]
+
+
+def unseen(warehouse: Warehouse, table: str, batch: DataFrame, key: list[str],
+           months: list[int]) -> DataFrame:
+    """The rows of a batch whose natural key is not in a catalog table.
+
+    The table is bucketed by ``key``, so only the batch is shuffled (into the
+    table's buckets); of the table just these months and the key columns are read.
+    """
+    known = warehouse.table(table).filter(F.col(PARTITION_COLUMN).isin(months))
+    return batch.join(known.select(*key), key, "left_anti")
+
+
+def insert_unseen(warehouse: Warehouse, table: str, batch: DataFrame, key: list[str],
+                  late: dict[str, Column]) -> int:
+    """Insert-only upsert of a batch with one row per natural key into a catalog
+    table; gives the rows added.  Running a batch again adds nothing.  ``late``
+    columns (the hashed id) are computed for the rows that are added."""
+    rows = with_partition(batch).persist()
+    try:
+        months = [r[0] for r in rows.select(PARTITION_COLUMN).distinct().collect()]
+        if not months:
+            return 0
+        fresh = unseen(warehouse, table, rows, key, months)
+        return warehouse.append(table, fresh.withColumns(late))
+    finally:
+        rows.unpersist()
+
+
 def existing_keys(spark: SparkSession, path: str, key: str, months: list[int], schema):
     """Keys of the fact table at ``path`` in these months only (one value per
     month, so the list is short); None when there is no table yet."""

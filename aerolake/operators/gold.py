@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions.keys import first_of_month_int
 from ..functions.wind import wind_bucket
+from ..sources.schemas import WEATHER_VARIABLES
 
 LOCATION_ATTRS = ["location_name", "country", "city", "latitude", "longitude"]
 
@@ -89,15 +90,18 @@ def monthly(daily_view: DataFrame, calendar: DataFrame) -> DataFrame:
                  F.max("max_value").alias("max_value")))
 
 
-WEATHER_MEASURES = ["apparent_temperature", "precipitation", "relative_humidity_2m",
-                    "temperature_2m", "wind_direction_100m", "wind_direction_10m",
-                    "wind_gusts_10m", "wind_speed_100m", "wind_speed_10m", "surface_pressure"]
+WEATHER_MEASURES = [n for n, _, _ in WEATHER_VARIABLES]
 
 
-def weather_hourly(fct_weather: DataFrame, weather_locations: DataFrame) -> DataFrame:
-    """Weather facts with city / coordinates and the wind-direction bucket."""
-    loc = weather_locations.select("location_id", "city", "latitude", "longitude")
-    return (fct_weather.join(loc, "location_id")
+def weather_hourly(fct_weather: DataFrame, weather_locations: DataFrame,
+                   on: str = "location_id") -> DataFrame:
+    """Weather facts with city / coordinates and the wind-direction bucket.
+
+    Facts and locations meet on column ``on``: the hashed id, or the coordinates
+    that it hashes; the id then comes from the location, hashed once for each.
+    """
+    loc = weather_locations.select(*{on: 0, "location_id": 0}, "city", "latitude", "longitude")
+    return (fct_weather.drop(*({"location_id"} - {on})).join(loc, on)
             .select("date_int", "time_int", "location_id", "city", "latitude", "longitude",
                     *WEATHER_MEASURES)
             .withColumn("wind_direction_bucket", wind_bucket(F.col("wind_direction_10m"))))

@@ -4,6 +4,8 @@ joins over tables."""
 
 from __future__ import annotations
 
+from datetime import date, datetime, timedelta, timezone
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -20,14 +22,16 @@ DEFAULT_PARAMETERS = ["pm10", "pm25", "co", "so2"]
 SENSOR_BLOCK = 1000
 
 
-def high_water_by_location(fct_weather: DataFrame, weather_locations: DataFrame) -> DataFrame:
+def high_water_by_location(fct_weather: DataFrame, weather_locations: DataFrame,
+                           on: str = "location_id") -> DataFrame:
     """Latest ingested date per weather location (city, latitude, longitude).
 
-    Facts are reduced to one row per location before the join.
+    Facts are reduced to one row per location before the join, which is on column
+    ``on``: the hashed id or the coordinates that it hashes.
     """
-    latest = fct_weather.groupBy("location_id").agg(F.max("date_int").alias("max_date_int"))
-    loc = weather_locations.select("location_id", "city", "latitude", "longitude")
-    return (latest.join(loc, "location_id")
+    latest = fct_weather.groupBy(on).agg(F.max("date_int").alias("max_date_int"))
+    loc = weather_locations.select(on, "city", "latitude", "longitude")
+    return (latest.join(loc, on)
             .groupBy("city", "latitude", "longitude")
             .agg(date_from_int(F.max("max_date_int")).alias("last_date")))
 
@@ -86,18 +90,19 @@ def period_start_of(day: Column, date_from: Column) -> Column:
     return F.when(F.date_sub(qs, 1) > date_from, qs).otherwise(date_from)
 
 
-def yesterday() -> str:
-    """Default end of a request range: the last complete UTC day."""
-    import datetime as _dt
-
-    return (_dt.datetime.now(_dt.timezone.utc).date() - _dt.timedelta(days=1)).isoformat()
+def yesterday(today: str | None = None) -> str:
+    """Default end of a request range: the last complete day before ``today``
+    (ISO date; default: the current UTC day)."""
+    day = date.fromisoformat(today) if today else datetime.now(timezone.utc).date()
+    return (day - timedelta(days=1)).isoformat()
 
 
 def backfill_worklist(locations: DataFrame, sensors: DataFrame, parameters: DataFrame,
                       fct_pollution: DataFrame, date_from: str, date_to: str | None = None,
                       parameter_names: list[str] = DEFAULT_PARAMETERS,
-                      city: str | None = None) -> DataFrame:
-    """Chunks (location, sensor, period) still to fetch in [date_from, date_to].
+                      city: str | None = None, today: str | None = None) -> DataFrame:
+    """Chunks (location, sensor, period) still to fetch in [date_from, date_to];
+    without ``date_to`` up to the day before ``today``.
 
     Work = every selected sensor x every quarter-bounded period, generated
     per sensor row from an array expression (no cross join).  Finished =
@@ -106,7 +111,7 @@ def backfill_worklist(locations: DataFrame, sensors: DataFrame, parameters: Data
     reduced to distinct (location, sensor, period start) -- partial
     aggregation -- and removed with an anti-join.
     """
-    date_to = date_to or yesterday()
+    date_to = date_to or yesterday(today)
     f = F.lit(date_from).cast("date")
     t = F.lit(date_to).cast("date")
     pairs = location_sensors(locations, sensors, parameters, parameter_names, city)

@@ -11,21 +11,30 @@ give the planner column statistics.
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.keys import month_int
+from ..functions.keys import month_int, time_int
 from ..operators import dims, gold
+from ..operators.facts import (POLLUTION_KEY, insert_new, pollution_fact_rows, touched_months,
+                               with_partition)
 from ..operators.planning import SENSOR_BLOCK
 from ..session import scratch_path
+from ..sources.schemas import FCT_POLLUTION, FCT_POLLUTION_TABLE
 from ..sources.tables import Tables
+from ..sources.warehouse import Warehouse
 from .model import Lake
 from .planning_sql import temp_views
 
 SILVER = "02_silver"
 GOLD = "03_gold"
+DIMENSIONS = ["dim_pollution_locations", "dim_pollution_parameters", "dim_pollution_sensors",
+              "dim_weather_locations", "dim_calendar", "dim_time"]
+# Facts and the columns that joins and filters use: their statistics are kept.
+FACTS = {"fct_pollution": ["date_int", "time_int", "location_id", "sensor_id"],
+         "fct_weather": ["date_int", "time_int", "location_id"]}
+VIEWS = ["agg_pollution_daily", "agg_pollution_monthly", "agg_pollution_hourly",
+         "agg_pollution_hourly_by_city", "agg_weather_hourly"]
 
 
 def write_table(df: DataFrame, path: str, sort_by: list[str] | None = None,
@@ -44,33 +53,17 @@ def write_table(df: DataFrame, path: str, sort_by: list[str] | None = None,
     w.parquet(path)
 
 
-def register(spark: SparkSession, db: str, name: str, path: str, partitioned: bool = False,
-             analyze: bool = False) -> str:
-    """Expose a written table in the session catalog (no server needed)."""
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {db}")
-    full = f"{db}.{name}"
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {full} USING parquet LOCATION '{path}'")
-    if partitioned:
-        spark.sql(f"ALTER TABLE {full} RECOVER PARTITIONS")
-    if analyze:
-        spark.sql(f"ANALYZE TABLE {full} COMPUTE STATISTICS FOR ALL COLUMNS")
-    return full
-
-
-class LakeTables:
-    """Paths and catalog names of one materialised lake."""
-
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark = spark
-        self.root = root
-        self.db = "aerolake_" + uuid.uuid4().hex[:10]
+class LakeTables(Warehouse):
+    """Paths and catalog tables of one materialised lake."""
 
-    def path(self, layer: str, name: str) -> str:
-        return f"{self.root}/{layer}/{name}"
-
-    def read(self, layer: str, name: str) -> DataFrame:
-        df = self.spark.read.parquet(self.path(layer, name))
-        return df.drop("date_month") if "date_month" in df.columns else df
+    def read(self, name: str, months: list[int] | None = None) -> DataFrame:
+        """A written table, by name from the catalog, so that the planner knows its
+        statistics; with ``months`` only those partitions."""
+        df = self.table(name)
+        if "date_month" not in df.columns:
+            return df
+        return (df if months is None else df.filter(F.col("date_month").isin(months))).drop(
+            "date_month")
 
 
 def build_silver(lake: Lake, out: LakeTables) -> None:
@@ -88,53 +81,57 @@ def build_silver(lake: Lake, out: LakeTables) -> None:
         write_table(fct.withColumn("date_month", month_int(F.col("date_int"))), s(name),
                     sort_by=["date_month", "date_int", "location_id", "id"],
                     partition_by=["date_month"])
-    for name in ("dim_calendar", "dim_time"):
-        register(spark, out.db, name, s(name), analyze=True)
+    for name in DIMENSIONS:
+        out.expose(SILVER, name)
+        out.analyze(name)
+    for name, keys in FACTS.items():
+        out.expose(SILVER, name, partitioned=True)
+        out.analyze(name, keys)
+
+
+# Writers of one day of a gold table.
+SPREAD = 8
 
 
-def write_months(df: DataFrame, path: str, sort_by: list[str]) -> None:
-    """Replace only the month partitions present in ``df`` (dynamic
-    partition overwrite); other months stay as they are."""
+def write_months(out: LakeTables, name: str, df: DataFrame, sort_by: list[str]) -> None:
+    """Replace only the month partitions present in ``df`` (dynamic partition
+    overwrite); other months stay as they are.  Rows are dealt by day and a hash of
+    the other sort keys, so a day has several writers and nothing is sampled."""
     df = df.withColumn("date_month", month_int(F.col("date_int")))
-    (df.repartitionByRange("date_month", *sort_by).sortWithinPartitions("date_month", *sort_by)
+    spread = F.pmod(F.xxhash64(*sort_by[1:]), F.lit(SPREAD))
+    (df.repartition("date_month", sort_by[0], spread).sortWithinPartitions("date_month", *sort_by)
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("date_month").parquet(path))
+     .partitionBy("date_month").parquet(out.path(GOLD, name)))
+    out.expose(GOLD, name, partitioned=True)
 
 
-def build_gold(out: LakeTables, months: list[int] | None = None) -> None:
-    """Compute the gold views from the silver tables.
+def build_gold(out: LakeTables, months: list[int] | None = None,
+               facts: list[str] = ("fct_pollution", "fct_weather")) -> None:
+    """Compute the gold views of ``facts`` from the silver tables.
 
     With ``months`` only those months are recomputed -- facts and the daily
     table are read with a partition filter, so the work follows the change
     (a late or replayed month), not the whole history -- and only their
     partitions are replaced.
     """
-    def silver(name):
-        df = out.spark.read.parquet(out.path(SILVER, name))
-        if months is not None and "date_month" in df.columns:
-            df = df.filter(F.col("date_month").isin(months))
-        return df.drop("date_month") if "date_month" in df.columns else df
-
-    def gold_in(name):
-        df = out.spark.read.parquet(out.path(GOLD, name))
-        if months is not None:
-            df = df.filter(F.col("date_month").isin(months))
-        return df.drop("date_month")
-
-    g = lambda n: out.path(GOLD, n)
-    fct, sen, par, loc, cal = (silver("fct_pollution"), silver("dim_pollution_sensors"),
-                               silver("dim_pollution_parameters"), silver("dim_pollution_locations"),
-                               silver("dim_calendar"))
-    write_months(gold.daily(fct, sen, par, loc, cal), g("agg_pollution_daily"),
-                 ["date_int", "location_id"])
-    write_months(gold.monthly(gold_in("agg_pollution_daily"), cal), g("agg_pollution_monthly"),
-                 ["date_int", "location_id"])
-    write_months(gold.hourly(fct, sen, par, loc), g("agg_pollution_hourly"),
-                 ["date_int", "time_int", "location_id"])
-    write_months(gold.hourly_by_city(gold_in("agg_pollution_hourly")),
-                 g("agg_pollution_hourly_by_city"), ["date_int", "time_int", "city"])
-    write_months(gold.weather_hourly(silver("fct_weather"), silver("dim_weather_locations")),
-                 g("agg_weather_hourly"), ["date_int", "time_int", "location_id"])
+    read = lambda n: out.read(n, months)
+    if "fct_pollution" in facts:
+        fct, sen, par, loc, cal = (read("fct_pollution"), read("dim_pollution_sensors"),
+                                   read("dim_pollution_parameters"),
+                                   read("dim_pollution_locations"), read("dim_calendar"))
+        write_months(out, "agg_pollution_daily", gold.daily(fct, sen, par, loc, cal),
+                     ["date_int", "location_id"])
+        write_months(out, "agg_pollution_monthly", gold.monthly(read("agg_pollution_daily"), cal),
+                     ["date_int", "location_id"])
+        write_months(out, "agg_pollution_hourly", gold.hourly(fct, sen, par, loc),
+                     ["date_int", "time_int", "location_id"])
+        write_months(out, "agg_pollution_hourly_by_city",
+                     gold.hourly_by_city(read("agg_pollution_hourly")),
+                     ["date_int", "time_int", "city"])
+    if "fct_weather" in facts:
+        write_months(out, "agg_weather_hourly",
+                     gold.weather_hourly(read("fct_weather"), read("dim_weather_locations")),
+                     ["date_int", "time_int", "location_id"])
 
 
 def build_lake(spark: SparkSession, sf_dir: str, root: str | None = None) -> LakeTables:
@@ -148,9 +145,6 @@ def q_gold_incremental(spark, sf_dir):
     """Build the lake from the first landing round, insert the second round
     into the fact table (first write wins, months logged), refresh only the
     touched months of gold, and serve the daily view."""
-    from ..operators.facts import insert_new, pollution_fact_rows, touched_months
-    from ..sources.schemas import FCT_POLLUTION
-
     lo_hi = Tables(spark, sf_dir).events.agg(F.min("event_id"), F.max("event_id")).first()
     mid = (int(lo_hi[0]) + int(lo_hi[1])) // 2
     out = LakeTables(spark, scratch_path(spark, "lake-inc"))
@@ -161,8 +155,9 @@ def q_gold_incremental(spark, sf_dir):
     changes = out.path(SILVER, "changes_fct_pollution")
     insert_new(spark, rows, out.path(SILVER, "fct_pollution"), FCT_POLLUTION.fieldNames(),
                ["event_id"], changes_path=changes, run_id="round2")
-    build_gold(out, touched_months(spark, changes, "round2"))
-    return out.read(GOLD, "agg_pollution_daily").withColumn(
+    out.expose(SILVER, "fct_pollution", partitioned=True)
+    build_gold(out, touched_months(spark, changes, "round2"), ["fct_pollution"])
+    return out.read("agg_pollution_daily").withColumn(
         "avg_value", F.round(F.col("avg_value"), 6))
 
 
@@ -170,10 +165,63 @@ def q_gold_tables(spark, sf_dir):
     """Build every silver and gold table, then serve the monthly view from
     its written table."""
     out = build_lake(spark, sf_dir)
-    return out.read(GOLD, "agg_pollution_monthly").withColumn(
+    return out.read("agg_pollution_monthly").withColumn(
         "avg_value", F.round(F.col("avg_value"), 6))
 
 
+def q_lake_tables(spark, sf_dir):
+    """Every written table read back by name: its rows, and of its first column (a
+    key or a date) the distinct values."""
+    out = build_lake(spark, sf_dir)
+    found = None
+    for name in [*DIMENSIONS, *FACTS, *VIEWS]:
+        table = out.read(name)
+        part = table.agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("n_rows"),
+                         F.count_distinct(F.col(table.columns[0])).alias("n_first"))
+        found = part if found is None else found.unionByName(part)
+    return found
+
+
+def q_dim_calendar_rolling(spark, sf_dir):
+    """The five-year calendar up to the last event day as a table: created, then
+    replaced by the same rows, and read back in the order of its files."""
+    out = LakeTables(spark, scratch_path(spark, "calendar"))
+    last = Tables(spark, sf_dir).events.agg(F.max("ts").alias("hi"))
+    days = dims.rolling_between(last, F.to_date("hi"))
+    for _ in range(2):
+        out.replace(SILVER, "dim_calendar", days, ["date_int"])
+    return out.in_file_order("dim_calendar")
+
+
+def q_dim_time_table(spark, sf_dir):
+    """The time dimension as a replaced table, read back in order, with the number of
+    events in each hour."""
+    out = LakeTables(spark, scratch_path(spark, "time"))
+    for _ in range(2):
+        out.replace(SILVER, "dim_time", dims.time_of_day(spark), ["time_int"])
+    hours = (Tables(spark, sf_dir).events.groupBy(time_int(F.date_trunc("hour", "ts"))
+                                                  .alias("time_int"))
+             .agg(F.count(F.lit(1)).alias("n_events")))
+    return out.in_file_order("dim_time").join(hours, "time_int", "left")
+
+
+def q_create_if_absent(spark, sf_dir):
+    """The fact table with its fixed schema, made and filled; a second call (a new
+    warehouse on the same root) leaves its rows."""
+    root = scratch_path(spark, "create")
+    fct = Lake(spark, sf_dir).fct_pollution.withColumn("sensor_id", F.col("sensor_id").cast("int"))
+    made = []
+    for _ in range(2):
+        house = Warehouse(spark, root)
+        made.append(house.create_if_absent(SILVER, "fct_pollution", FCT_POLLUTION_TABLE,
+                                           partition_by=["date_month"], bucket_by=POLLUTION_KEY,
+                                           comment="Fact table for pollution measurements"))
+        if made[-1]:
+            house.append("fct_pollution", with_partition(fct))
+    return house.table("fct_pollution").drop("date_month").withColumn(
+        "made", F.lit(",".join(str(m).lower() for m in made)))
+
+
 SENSORS_BY_CITY_SQL = """
 SELECT l.location_id AS id, floor(s.sensor_id / :block) AS sensor_block,
        array_join(sort_array(collect_list(s.sensor_id)), ',') AS sensor_id_arr,
@@ -197,3 +245,14 @@ def q_sql_sensors_by_city(spark, sf_dir):
     args = dict(names, city=PLAN_CITY, block=SENSOR_BLOCK,
                 **{f"p{i + 1}": p for i, p in enumerate(PLAN_PARAMETERS)})
     return spark.sql(SENSORS_BY_CITY_SQL, args=args)
+
+
+BUILD_QUERIES = {
+    "sql_sensors_by_city": q_sql_sensors_by_city,
+    "gold_tables": q_gold_tables,
+    "gold_incremental": q_gold_incremental,
+    "lake_tables": q_lake_tables,
+    "dim_calendar_rolling": q_dim_calendar_rolling,
+    "dim_time_table": q_dim_time_table,
+    "create_if_absent": q_create_if_absent,
+}

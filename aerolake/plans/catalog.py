@@ -130,7 +130,7 @@ def q_weather_hourly(spark, sf_dir):
 
 def q_high_water_by_location(spark, sf_dir):
     lk = _lake(spark, sf_dir)
-    return planning.high_water_by_location(lk.fct_weather, lk.dim_weather_locations)
+    return planning.high_water_by_location(lk.weather_by_point(), lk.weather_locations, on="point")
 
 
 def _arr_text(df: DataFrame) -> DataFrame:
@@ -181,18 +181,19 @@ def q_key_audit(spark, sf_dir):
 def q_orphan_audit(spark, sf_dir):
     lk = _lake(spark, sf_dir)
     t = lk.t
+    orders, customer = t.orders, t.customer
     return audit.orphan_audit([
-        ("events.user_id -> customer", t.events, ["user_id"], t.customer, ["c_custkey"]),
-        ("lineitem.l_orderkey -> orders", t.lineitem, ["l_orderkey"], t.orders, ["o_orderkey"]),
-        ("orders.o_custkey -> customer", t.orders, ["o_custkey"], t.customer, ["c_custkey"]),
-        ("fct_pollution.sensor_id -> dim_pollution_sensors", lk.fct_pollution, ["sensor_id"],
-         lk.dim_sensors, ["sensor_id"]),
-        ("fct_pollution.date_int -> dim_calendar", lk.fct_pollution, ["date_int"],
-         lk.dim_calendar, ["date_int"]),
-        ("fct_pollution.time_int -> dim_time", lk.fct_pollution, ["time_int"],
-         dims.time_of_day(spark), ["time_int"]),
-        ("fct_weather.location_id -> dim_weather_locations", lk.fct_weather, ["location_id"],
-         lk.dim_weather_locations, ["location_id"]),
+        ("events.user_id -> customer", t.events, "user_id", customer, "c_custkey"),
+        ("lineitem.l_orderkey -> orders", t.lineitem, "l_orderkey", orders, "o_orderkey"),
+        ("orders.o_custkey -> customer", orders, "o_custkey", customer, "c_custkey"),
+        ("fct_pollution.sensor_id -> dim_pollution_sensors", lk.fct_pollution, "sensor_id",
+         lk.dim_sensors, "sensor_id"),
+        ("fct_pollution.date_int -> dim_calendar", lk.fct_pollution, "date_int",
+         lk.dim_calendar, "date_int"),
+        ("fct_pollution.time_int -> dim_time", lk.fct_pollution, "time_int",
+         dims.time_of_day(spark), "time_int"),
+        ("fct_weather.location_id -> dim_weather_locations", lk.fct_weather, "location_id",
+         lk.dim_weather_locations, "location_id"),
     ])
 
 
@@ -212,15 +213,15 @@ def q_orphan_audit_dimensions(spark, sf_dir):
     lk = _lake(spark, sf_dir)
     return audit.orphan_audit([
         ("dim_pollution_sensors.location_id -> dim_pollution_locations", lk.dim_sensors,
-         ["location_id"], lk.dim_locations, ["location_id"]),
+         "location_id", lk.dim_locations, "location_id"),
         ("dim_pollution_sensors.parameter_id -> dim_pollution_parameters", lk.dim_sensors,
-         ["parameter_id"], lk.dim_parameters, ["parameter_id"]),
+         "parameter_id", lk.dim_parameters, "parameter_id"),
         ("fct_pollution.location_id -> dim_pollution_locations", lk.fct_pollution,
-         ["location_id"], lk.dim_locations, ["location_id"]),
-        ("fct_weather.date_int -> dim_calendar", lk.fct_weather, ["date_int"],
-         lk.dim_calendar, ["date_int"]),
-        ("fct_weather.time_int -> dim_time", lk.fct_weather, ["time_int"],
-         dims.time_of_day(spark), ["time_int"]),
+         "location_id", lk.dim_locations, "location_id"),
+        ("fct_weather.date_int -> dim_calendar", lk.fct_weather, "date_int",
+         lk.dim_calendar, "date_int"),
+        ("fct_weather.time_int -> dim_time", lk.fct_weather, "time_int",
+         dims.time_of_day(spark), "time_int"),
     ])
 
 
@@ -276,10 +277,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "best_hour": q_best_hour,
 }
 
-from .build import q_gold_incremental, q_gold_tables, q_sql_sensors_by_city  # noqa: E402
+from .build import BUILD_QUERIES  # noqa: E402
+from .downloads import DOWNLOAD_QUERIES  # noqa: E402
+from .raw import RAW_QUERIES  # noqa: E402
 from .streams import STREAM_QUERIES  # noqa: E402
 
-QUERIES["sql_sensors_by_city"] = q_sql_sensors_by_city
-QUERIES["gold_tables"] = q_gold_tables
-QUERIES["gold_incremental"] = q_gold_incremental
+QUERIES.update(BUILD_QUERIES)
 QUERIES.update(STREAM_QUERIES)
+QUERIES.update(RAW_QUERIES)
+QUERIES.update(DOWNLOAD_QUERIES)

@@ -3,7 +3,8 @@
 Roles (TPC-H-like tables standing in for the sensor feeds):
 
 * pollution location = ``nation`` (city = its ``region``)
-* pollution parameter = a ``customer`` market segment
+* pollution parameter = a ``customer`` market segment; its id is the least key
+  of its customers, so no numbering of the segments is needed
 * pollution sensor = ``customer`` (placed at its nation, measuring its segment)
 * pollution measurement = ``events`` row (sensor = ``user_id``, hour = ``ts``
   cut to the hour, value = ``value``; arrival order = ``event_id``)
@@ -22,11 +23,10 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.keys import hash_text, weather_location_key, weather_location_text
+from ..functions.keys import date_int, time_int, weather_location_key
 from ..functions.rules import MEASUREMENT_RULES, WEATHER_RULES, drop_failing
 from ..operators import dims, facts, gold
 from ..operators.dedup import first_per_key
-from ..operators.sizing import dense_ids, join_small
 from ..sources.tables import Tables
 
 # Fixed load time of rows read from driver tables (they arrive at once).
@@ -66,15 +66,13 @@ class Lake:
                         n.n_regionkey.cast("float").alias("longitude"),
                         F.lit(LOAD_TS).cast("timestamp").alias("bronze_load_ts")))
 
-    @cached_property
-    def segment_ids(self) -> tuple[DataFrame, bool]:
-        # Parameters are the distinct segments, numbered in sort order; the
-        # set is counted first and ranked in one task only when proven small.
-        return dense_ids(self.t.customer, "c_mktsegment", "parameter_id")
+    def segment_ids(self) -> DataFrame:
+        """(c_mktsegment, parameter_id): a segment's id is its least customer."""
+        return (self.t.customer.filter("c_mktsegment is not null").groupBy("c_mktsegment")
+                .agg(F.min("c_custkey").cast("int").alias("parameter_id")))
 
     def parameter_rows(self) -> DataFrame:
-        ids, _ = self.segment_ids
-        return ids.select(
+        return self.segment_ids().select(
             "parameter_id",
             F.col("c_mktsegment").alias("display_name"),
             F.lower("c_mktsegment").alias("name"),
@@ -83,10 +81,8 @@ class Lake:
 
     def sensor_rows(self) -> DataFrame:
         c = self.t.customer
-        # Broadcast only if the parameter set was proven small when numbered
-        # (the dimension has at most one row per segment).
         p = self.dim_parameters.select(F.col("display_name").alias("c_mktsegment"), "parameter_id")
-        return (join_small(c, p, "c_mktsegment", "left", known_small=self.segment_ids[1])
+        return (c.join(p, "c_mktsegment", "left")
                 .select(F.col("c_custkey").alias("sensor_id"), F.col("c_name").alias("name"),
                         F.col("c_nationkey").cast("int").alias("location_id"), "parameter_id",
                         F.lit(LOAD_TS).cast("timestamp").alias("bronze_load_ts")))
@@ -154,17 +150,22 @@ class Lake:
                                  s.s_suppkey.cast("string"), F.lit(".json.gz"))
                         .alias("source_file_name")))
 
+    @cached_property
+    def weather_locations(self) -> DataFrame:
+        """The weather locations with their ``point``."""
+        return dims.weather_locations_by_point(self.weather_documents())
+
     @cached_property
     def dim_weather_locations(self) -> DataFrame:
-        return dims.weather_locations_dim(self.weather_documents())
+        return self.weather_locations.drop("point")
 
     @staticmethod
     def _weather_columns(hashed: bool = True) -> list:
         """Weather reading columns; with ``hashed`` False the location id is
-        still the text its key hashes (NULL exactly when the key is NULL)."""
+        still the point its key hashes (NULL exactly when the key is NULL)."""
         v = F.col("value")
         nul = lambda t: F.lit(None).cast(t)
-        location = weather_location_key if hashed else weather_location_text
+        location = weather_location_key if hashed else dims.point
         return [location(F.col("c_nationkey").cast("double"),
                          F.col("n_regionkey").cast("double")).alias("location_id"),
                 hour_of(F.col("ts")).alias("datetime"),
@@ -190,15 +191,25 @@ class Lake:
                                            F.struct(*self._weather_columns()).alias("weather"))
 
     @cached_property
-    def fct_weather(self) -> DataFrame:
-        # Rules and dedup run on the location key's text (a short string, and
-        # NULL exactly when the key is), then only surviving rows are hashed:
-        # a compact shuffle key, and no sha-256 of repeated readings.
+    def weather_readings(self) -> DataFrame:
+        """The first reading of each point and hour, nothing hashed: rules, dedup
+        and joins run on the point (two doubles, NULL exactly when the key is)."""
         feed = self._readings(True).select(*self._weather_columns(hashed=False))
         clean = drop_failing(feed, WEATHER_RULES).withColumn(
             "datetime", F.date_trunc("second", "datetime").cast("timestamp_ntz"))
-        first = first_per_key(clean, ["location_id", "datetime"], ["event_id"])
-        return facts.weather_fact_rows(first.withColumn("location_id", hash_text(F.col("location_id"))))
+        return first_per_key(clean, ["location_id", "datetime"], ["event_id"])
+
+    def weather_by_point(self) -> DataFrame:
+        """Weather facts with their ``point`` in place of both ids."""
+        ts = F.col("datetime")
+        return self.weather_readings.select(F.col("location_id").alias("point"),
+                                            date_int(ts).alias("date_int"),
+                                            time_int(ts).alias("time_int"), *gold.WEATHER_MEASURES)
+
+    @cached_property
+    def fct_weather(self) -> DataFrame:
+        return facts.weather_fact_rows(
+            self.weather_readings.withColumn("location_id", dims.point_key("location_id")))
 
     def weather_array_documents(self) -> DataFrame:
         """One weather document per embedding: hour i holds element i."""
@@ -262,4 +273,4 @@ class Lake:
 
     @cached_property
     def weather_hourly(self) -> DataFrame:
-        return gold.weather_hourly(self.fct_weather, self.dim_weather_locations)
+        return gold.weather_hourly(self.weather_by_point(), self.weather_locations, on="point")

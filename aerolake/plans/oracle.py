@@ -17,9 +17,9 @@ dim_locations AS (
 
 PARAMETERS = """
 dim_parameters AS (
-  SELECT CAST(dense_rank() OVER (ORDER BY c_mktsegment) AS INTEGER) AS parameter_id,
+  SELECT CAST(min(c_custkey) AS INTEGER) AS parameter_id,
          c_mktsegment AS display_name, lower(c_mktsegment) AS name, CAST(NULL AS VARCHAR) AS units
-  FROM (SELECT DISTINCT c_mktsegment FROM customer WHERE c_mktsegment IS NOT NULL)
+  FROM customer WHERE c_mktsegment IS NOT NULL GROUP BY c_mktsegment
 )"""
 
 SENSORS = """
@@ -504,3 +504,7 @@ SELECT l.id, l.name, l.sensor_block, h.last_date, l.sensor_id_arr FROM (
 LEFT JOIN (SELECT location_id, strptime(CAST(max(date_int) AS VARCHAR), '%Y%m%d')::DATE AS last_date
            FROM fct_pollution GROUP BY location_id) h ON l.id = h.location_id"""
 SQL["gold_incremental"] = SQL["agg_daily"]
+
+from .oracle_raw import RAW_SQL  # noqa: E402
+
+SQL.update(RAW_SQL)

@@ -9,11 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.periods import chunk_name, page_file_name
+from ..functions.rules import PARAMETER_RULES, drop_failing
 from ..operators import dims, shape
-from ..operators.sizing import join_small
 from ..session import scratch_path
+from ..sources import schemas
 from ..sources.landing import SPARK_PART_GLOB, land_json
 from ..streaming import ingest, upsert
+from ..streaming.keyed import keyed_stream, read_keyed
 from .model import Lake
 
 # Width of the event-id range of one landing page: a page holds the rows of
@@ -83,15 +85,15 @@ def location_documents(lake: Lake) -> DataFrame:
                                    F.struct(F.col("parameter_id").cast("long").alias("id"), "name",
                                             F.col("display_name").alias("displayName"),
                                             "units").alias("parameter"))
-    c = (join_small(lake.t.customer, p, "c_mktsegment", "left", known_small=lake.segment_ids[1])
-         .select(F.col("c_nationkey").alias("n_nationkey"), "c_custkey", "c_name", "parameter"))
-    loc = n.join(r, n.n_regionkey == r.r_regionkey).join(c, "n_nationkey", "left")
-    sensor = F.when(F.col("c_custkey").isNotNull(),
-                    F.struct(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"),
-                             F.col("parameter").alias("parameter")))
+    sensor = F.struct(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"),
+                      F.col("parameter").alias("parameter"))
     block = F.floor(F.col("c_custkey") / SENSORS_PER_DOC)
-    docs = (loc.groupBy("n_nationkey", "n_name", "n_regionkey", "r_name", block.alias("block"))
-            .agg(F.collect_list(sensor).alias("sensors")))
+    # Sensors are grouped by their location's key alone, then meet the locations.
+    blocks = (lake.t.customer.join(p, "c_mktsegment", "left")
+              .groupBy(F.col("c_nationkey").alias("n_nationkey"), block.alias("block"))
+              .agg(F.collect_list(sensor).alias("sensors")))
+    docs = (n.join(r, n.n_regionkey == r.r_regionkey).join(blocks, "n_nationkey", "left")
+            .withColumn("sensors", F.coalesce("sensors", F.array())))
     location = F.struct(
         F.col("n_nationkey").cast("int").alias("id"), F.col("n_name").alias("name"),
         F.col("r_name").alias("locality"), F.struct(F.col("n_name").alias("code")).alias("country"),
@@ -198,17 +200,16 @@ def q_ingest_sensors(spark, sf_dir):
 
 
 def q_ingest_parameters(spark, sf_dir):
-    """Parameters as a stream: distinct by key with streaming state."""
+    """Parameters as a stream: one row per key with streaming state, chosen by its
+    values and not by arrival."""
     run, raw = _ingest_locations(spark, sf_dir)
-    from ..functions.rules import PARAMETER_RULES, drop_failing
-
     stream = spark.readStream.schema(raw.schema).parquet(run.table("01_bronze", "openaq_locations"))
     params = drop_failing(shape.parameter_rows(shape.sensor_rows(shape.locations_flat(stream))),
-                          PARAMETER_RULES)
+                          PARAMETER_RULES).drop("bronze_load_ts")
     out = run.table("02_silver", "dim_pollution_parameters")
-    ingest.run_available(params.drop("bronze_load_ts").dropDuplicates(["parameter_id"]),
-                         run.checkpoint("parameters"), out)
-    return spark.read.parquet(out)
+    order = ["name", "display_name", "units"]
+    keyed_stream(params, ["parameter_id"], order, run.checkpoint("parameters"), out)
+    return read_keyed(spark, out, schemas.DIM_PARAMETERS, ["parameter_id"], order)
 
 
 def q_ingest_weather(spark, sf_dir):

@@ -18,6 +18,9 @@ BASE_CONF = {
     "spark.sql.adaptive.localShuffleReader.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.optimizer.nestedSchemaPruning.enabled": "true",
+    # Tables with column statistics (ANALYZE) are planned by them.
+    "spark.sql.cbo.enabled": "true",
+    "spark.sql.cbo.joinReorder.enabled": "true",
     # Target ~128 MB per post-shuffle partition; skewed partitions above
     # 5x the median and 256 MB are split by AQE.
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",

@@ -10,11 +10,17 @@ files dropped by an external downloader work unchanged.
 
 from __future__ import annotations
 
+import gzip
+import json
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 NAME_FIELD = "landing_file"
+# A document that is no JSON (a download that was cut off) keeps its text here.
+CORRUPT_FIELD = "_corrupt_record"
 
 # Landing file-name patterns of the three feeds.
 LOCATIONS_GLOB = "[a-zA-Z]*-locations*.json.gz"
@@ -35,9 +41,43 @@ def land_json(docs: DataFrame, path: str, name_col: str | None = None) -> None:
     docs.write.mode("append").option("compression", "gzip").json(path)
 
 
+def land_files(docs: DataFrame, path: str, name_col: str, cut_col: str | None = None) -> None:
+    """Write each document as a gzip JSON file of its own, named by ``name_col``
+    plus ``.gz``, indented, as the downloader leaves it.
+
+    Where ``cut_col`` is true the file holds the first half of the text only: a
+    download that broke off.  Files are written by the executors, into the shared
+    folder ``path``, under a hidden name and then renamed, so a reader never sees
+    half a file and a second attempt replaces the first.
+    """
+    names = [c for c in docs.columns if c not in (name_col, cut_col)]
+    rows = docs.select(F.col(name_col).cast("string"), F.to_json(F.struct(*names)),
+                       F.col(cut_col).cast("boolean") if cut_col else F.lit(False))
+
+    def write(batches):
+        from pyarrow import fs
+
+        where, base = fs.FileSystem.from_uri(path)
+        where.create_dir(base, recursive=True)
+        for batch in batches:
+            for name, text, cut in zip(*(c.to_pylist() for c in batch.columns)):
+                text = json.dumps(json.loads(text), indent=4, ensure_ascii=False)
+                hidden = f"{base}/_{uuid.uuid4().hex}"
+                with where.open_output_stream(hidden, compression=None) as out:
+                    out.write(gzip.compress((text[:len(text) // 2] if cut else text).encode(),
+                                            compresslevel=9, mtime=0))
+                target = f"{base}/{name}.gz"
+                if where.get_file_info(target).type != fs.FileType.NotFound:
+                    where.delete_file(target)
+                where.move(hidden, target)
+            yield batch.slice(0, 0)
+
+    rows.mapInArrow(write, rows.schema).write.format("noop").mode("overwrite").save()
+
+
 def json_stream(spark: SparkSession, path: str, schema: StructType, glob: str,
                 max_files: int | None = None, multiline: bool = False,
-                max_bytes: int | None = None) -> DataFrame:
+                max_bytes: int | None = None, corrupt: bool = False) -> DataFrame:
     """Incremental stream of new JSON files under ``path``.
 
     Seen files are tracked in the query checkpoint, so a rerun reads only
@@ -46,17 +86,25 @@ def json_stream(spark: SparkSession, path: str, schema: StructType, glob: str,
     file) or by ``max_files``; the two are exclusive.  Gzip files are not
     splittable, so parallelism is per file.  ``multiline`` reads one whole
     document per file (downloader files); Spark-landed files hold one
-    document per line.
+    document per line.  With ``corrupt`` a document that cannot be parsed
+    keeps its text in ``CORRUPT_FIELD``, all its other fields NULL.
     """
-    if NAME_FIELD not in schema.fieldNames():
-        schema = StructType(schema.fields + [StructField(NAME_FIELD, StringType())])
+    extra = [NAME_FIELD, *([CORRUPT_FIELD] if corrupt else [])]
+    schema = StructType(schema.fields + [StructField(n, StringType()) for n in extra
+                                         if n not in schema.fieldNames()])
     r = (spark.readStream.format("json").schema(schema)
          .option("multiLine", str(multiline).lower())
+         .option("columnNameOfCorruptRecord", CORRUPT_FIELD)
          .option("pathGlobFilter", glob))
     r = rate_limit(r, max_files, max_bytes)
     df = r.load(path)
-    physical = F.col("_metadata.file_name")
-    return df.withColumn("_landing_name", F.coalesce(F.col(NAME_FIELD), physical)).drop(NAME_FIELD)
+    return df.withColumn("_landing_name", F.coalesce(F.col(NAME_FIELD), file_name())).drop(NAME_FIELD)
+
+
+def file_name():
+    """The name of a row's file; the reader gives it in its URL form (a space as
+    ``%20``), in which a plus sign stands for itself."""
+    return F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B")))
 
 
 def rate_limit(reader, max_files: int | None, max_bytes: int | None):
@@ -76,9 +124,9 @@ def sample_schema(spark: SparkSession, path: str, glob: str, multiline: bool = T
                   sampling_ratio: float = 1.0) -> StructType:
     """Infer the schema of landed files once (batch read of a sample).
 
-    Used to write or review the fixed schemas of ``schemas.py``; streams
-    always run with a fixed schema, so a new field in a file is ignored
-    rather than changing the table.
+    Used to write or review the fixed schemas of ``schemas.py``; streams of
+    ``json_stream`` run with a fixed schema, so a new field in a file is ignored
+    rather than changing the table.  ``evolving.py`` infers and widens instead.
     """
     return (spark.read.option("multiLine", str(multiline).lower()).option("pathGlobFilter", glob)
             .option("samplingRatio", sampling_ratio).json(path).schema)

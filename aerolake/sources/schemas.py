@@ -74,5 +74,14 @@ DIM_WEATHER_LOCATIONS = T.StructType([_f("location_id", S), _f("latitude", F_),
                                       _f("city", S), _f("timezone", S), _f("elevation", F_)])
 FCT_POLLUTION = T.StructType([_f("id", S), _f("date_int", I), _f("time_int", I), _f("value", F_),
                               _f("location_id", I), _f("sensor_id", I)])
+# Declared tables: NOT NULL columns and the layout column.
+FCT_POLLUTION_TABLE = T.StructType([_f(f.name, f.dataType, False) for f in FCT_POLLUTION]
+                                   + [_f("date_month", I, False)])
 FCT_WEATHER = T.StructType([_f("id", S), _f("location_id", S), _f("date_int", I), _f("time_int", I)]
                            + [_f(n, cast) for n, _, cast in WEATHER_VARIABLES])
+FCT_WEATHER_TABLE = T.StructType(
+    [_f(f.name, f.dataType, f.name not in ("id", "location_id", "date_int", "time_int"))
+     for f in FCT_WEATHER] + [_f("date_month", I, False)])
+DIM_WEATHER_LOCATIONS_TABLE = T.StructType(
+    [_f(f.name, f.dataType, f.name not in ("location_id", "latitude", "longitude", "city"))
+     for f in DIM_WEATHER_LOCATIONS])

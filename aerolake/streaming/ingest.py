@@ -13,7 +13,7 @@ from pyspark.sql.streaming import StreamingQueryListener
 from ..functions.rules import MEASUREMENT_RULES, WEATHER_RULES, drop_failing, observe_failing
 from ..operators import shape
 from ..sources import schemas
-from ..sources.landing import json_stream, rate_limit, source_name_col
+from ..sources.landing import CORRUPT_FIELD, json_stream, rate_limit, source_name_col
 
 # Bytes of new files per micro-batch.  The source pipeline read one file
 # per batch, and a landed page holds only 1,000 rows, so a file count would
@@ -84,30 +84,49 @@ class _Reports(StreamingQueryListener):
             return self._progress.get(run_id, [])
 
 
+def observe_files(df: DataFrame, name: str) -> DataFrame:
+    """Count the documents of each micro-batch, and those that were cut off."""
+    return df.observe(name, F.count(F.lit(1)).alias("total_rows"),
+                      F.count_if(F.col(CORRUPT_FIELD).isNotNull()).alias("document is complete")
+                      ).drop(CORRUPT_FIELD)
+
+
 def _stamp(df: DataFrame) -> DataFrame:
     return df.withColumn("source_file_name", source_name_col()).withColumn(
         "bronze_load_ts", F.current_timestamp())
 
 
+def _documents(spark: SparkSession, landing: str, schema, glob: str, max_files, multiline: bool,
+               max_bytes, files: str | None) -> DataFrame:
+    """Landed documents; with ``files`` complete and cut-off ones are counted
+    under that name, the latter give no rows."""
+    raw = json_stream(spark, landing, schema, glob, max_files, multiline, max_bytes,
+                      corrupt=files is not None)
+    return raw if files is None else observe_files(raw, files)
+
+
 def bronze_locations(spark: SparkSession, landing: str, glob: str, max_files=None,
-                     multiline=False, max_bytes=DEFAULT_MAX_BYTES) -> DataFrame:
-    raw = json_stream(spark, landing, schemas.LOCATIONS_FILE, glob, max_files, multiline, max_bytes)
+                     multiline=False, max_bytes=DEFAULT_MAX_BYTES, files=None) -> DataFrame:
+    raw = _documents(spark, landing, schemas.LOCATIONS_FILE, glob, max_files, multiline, max_bytes,
+                     files)
     return _stamp(raw).select(F.explode("results").alias("results"), "source_file_name",
                               "bronze_load_ts")
 
 
 def bronze_measurements(spark: SparkSession, landing: str, glob: str, max_files=None,
-                        multiline=False, max_bytes=DEFAULT_MAX_BYTES) -> DataFrame:
+                        multiline=False, max_bytes=DEFAULT_MAX_BYTES, files=None) -> DataFrame:
     """One row per record; ``position`` is its place in the document, which
     with the page number of the file name gives the order of arrival."""
-    raw = json_stream(spark, landing, schemas.MEASUREMENTS_FILE, glob, max_files, multiline, max_bytes)
+    raw = _documents(spark, landing, schemas.MEASUREMENTS_FILE, glob, max_files, multiline, max_bytes,
+                     files)
     return _stamp(raw).select(F.posexplode("results").alias("position", "results"),
                               "source_file_name", "bronze_load_ts")
 
 
 def bronze_weather(spark: SparkSession, landing: str, glob: str, max_files=None,
-                   multiline=False, max_bytes=DEFAULT_MAX_BYTES) -> DataFrame:
-    raw = json_stream(spark, landing, schemas.WEATHER_FILE, glob, max_files, multiline, max_bytes)
+                   multiline=False, max_bytes=DEFAULT_MAX_BYTES, files=None) -> DataFrame:
+    raw = _documents(spark, landing, schemas.WEATHER_FILE, glob, max_files, multiline, max_bytes,
+                     files)
     return _stamp(raw).drop("_landing_name")
 
 

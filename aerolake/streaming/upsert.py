@@ -42,16 +42,21 @@ def upsert_stream(spark: SparkSession, clean: DataFrame, target: str, checkpoint
     return inserted
 
 
-def _first(batch: DataFrame, key: list[str], ts: str, payload: list[str]) -> DataFrame:
-    """The first arrival of each natural key of a clean micro-batch."""
+def first_arrivals(batch: DataFrame, key: list[str], payload: list[str]) -> DataFrame:
+    """The first arrival of each key of a clean micro-batch."""
     name = F.col("source_file_name")
     rows = batch.select(
-        *[F.date_trunc("second", ts).alias(ts) if c == ts else F.col(c) for c in key + payload],
-        "bronze_load_ts", F.regexp_replace(name, r"_page\d+\.", ".").alias("_chunk"),
+        *key, *payload, "bronze_load_ts",
+        F.regexp_replace(name, r"_page\d+\.", ".").alias("_chunk"),
         page_number(name).alias("_page"), "position")
     return first_per_key(rows, key, ARRIVAL)
 
 
+def _first(batch: DataFrame, key: list[str], ts: str, payload: list[str]) -> DataFrame:
+    """The same with the key's time ``ts`` cut to the second."""
+    return first_arrivals(batch.withColumn(ts, F.date_trunc("second", ts)), key, payload)
+
+
 def first_pollution_rows(batch: DataFrame) -> DataFrame:
     """One fact row per natural key of a clean micro-batch (first arrival)."""
     return pollution_fact_rows(_first(batch, POLLUTION_NATURAL_KEY, "datetime_from", ["value"]))

@@ -1,6 +1,6 @@
 import os
 
-from aerolake.plans.build import GOLD, SILVER, build_lake
+from aerolake.plans.build import SILVER, build_lake
 from aerolake.session import local_path
 
 from .conftest import SF_SMALL
@@ -16,8 +16,8 @@ def test_build_lake_layout_and_statistics(spark, tmpdir_path):
     col = spark.sql(f"DESCRIBE TABLE EXTENDED {out.db}.dim_calendar date_int").collect()
     assert any(r.info_name == "distinct_count" for r in col)
     # layers are written tables: gold reads back with the expected rows
-    assert out.read(GOLD, "agg_pollution_monthly").count() > 0
-    cal = [r.date_int for r in out.read(SILVER, "dim_calendar").collect()]
+    assert out.read("agg_pollution_monthly").count() > 0
+    cal = [r.date_int for r in out.read("dim_calendar").collect()]
     assert cal == sorted(cal)
     # the insert-only merge of weather locations adds nothing on a rerun
     from aerolake.operators.dims import merge_insert_only

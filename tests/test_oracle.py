@@ -4,12 +4,14 @@ import pytest
 
 from __spark_entry__ import oracle_sql, queries
 from aerolake.plans.catalog import QUERIES
+from aerolake.plans.downloads import DOWNLOAD_QUERIES
 from tools.compare import compare_one, open_duckdb
 
 from .conftest import SF_SMALL
 
 STREAMING = {"land_json", "ingest_measurements", "upsert_facts", "ingest_rerun",
-             "ingest_locations", "ingest_sensors", "ingest_parameters", "ingest_weather"}
+             "ingest_locations", "ingest_sensors", "ingest_parameters", "ingest_weather",
+             *DOWNLOAD_QUERIES}
 
 
 @pytest.fixture(scope="module")
@@ -27,7 +29,9 @@ def test_batch_query_matches_oracle(spark, con, name):
     assert not msgs, msgs
 
 
-@pytest.mark.parametrize("name", ["upsert_facts", "ingest_weather", "ingest_parameters"])
+@pytest.mark.parametrize("name", ["upsert_facts", "ingest_weather", "ingest_parameters",
+                                  "download_files", "lake_rule_metrics", "lake_weather_locations",
+                                  "lake_locations", "ingest_inferred"])
 def test_stream_query_matches_oracle(spark, con, name):
     msgs, n, _ = compare_one(spark, con, SF_SMALL, name, queries()[name], oracle_sql()[name])
     assert not msgs, msgs

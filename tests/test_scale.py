@@ -61,34 +61,6 @@ def test_sensor_lists_are_bounded_but_complete(spark):
     assert sorted(s for r in rows for s in r.sensor_id_arr) == list(range(2500))
 
 
-def test_dense_ids_same_in_one_task_and_distributed(spark):
-    from aerolake.operators.sizing import dense_ids
-
-    df = spark.range(3000).select((F.col("id") % 53).cast("string").alias("k"))
-    one, proven = dense_ids(df, "k", "kid")
-    many, spread_proven = dense_ids(df, "k", "kid", max_rows=4)
-    assert proven and not spread_proven
-    small = [tuple(r) for r in one.orderBy("kid").collect()]
-    spread = [tuple(r) for r in many.orderBy("kid").collect()]
-    assert small == spread
-    assert [i for i, _ in small] == list(range(1, 54))
-    assert [k for _, k in small] == sorted(k for _, k in small)
-
-
-def test_broadcast_only_after_size_check(spark):
-    from aerolake.operators.sizing import at_most, join_small
-
-    big = spark.range(5000).select((F.col("id") % 100).alias("k"))
-    small = spark.range(100).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
-    assert at_most(small, 100) and not at_most(small, 99)
-    hinted = join_small(big, small, "k", max_rows=100)
-    assert "ResolvedHint" in hinted._jdf.queryExecution().analyzed().toString() or \
-        "broadcast" in hinted._jdf.queryExecution().logical().toString().lower()
-    unhinted = join_small(big, small, "k", max_rows=10)
-    assert "broadcast" not in unhinted._jdf.queryExecution().logical().toString().lower()
-    assert hinted.count() == unhinted.count() == 5000
-
-
 def test_scale_conf_sizes_partitions():
     from aerolake.session import scale_conf
 
@@ -114,7 +86,9 @@ def test_no_registered_query_plans_pair_joins_or_python(spark):
 
     from .test_oracle import STREAMING
 
-    builds = {"gold_tables", "gold_incremental"}      # their steps are checked above
+    from aerolake.plans.build import BUILD_QUERIES
+
+    builds = set(BUILD_QUERIES) - {"sql_sensors_by_city"}      # their steps are checked above
     for name, fn in QUERIES.items():
         if name in STREAMING or name in builds:
             continue
@@ -146,3 +120,79 @@ def test_cluster_session_needs_a_shared_checkpoint_folder():
 
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         checkpoint_root(Session())
+
+
+def executed(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_nothing_is_hashed_below_the_dedup(spark):
+    """Weather joins and groups on coordinates; only the location dimension is hashed."""
+    from aerolake.plans.catalog import QUERIES
+
+    for name in ("corr_by_parameter", "by_wind_bucket", "high_water_by_location"):
+        assert "sha2" not in executed(QUERIES[name](spark, SF_SMALL)), name
+    plan = executed(QUERIES["weather_hourly"](spark, SF_SMALL))
+    facts = [x for x in plan.split("\n") if "sha2" in x]
+    assert facts and all("latitude" in x and "datetime" not in x for x in facts)
+    plan = executed(Lake(spark, SF_SMALL).fct_weather)
+    assert plan.index("sha2") < plan.index("HashAggregate")      # above it in the tree
+
+
+def test_all_references_of_a_fact_in_one_scan(spark):
+    from aerolake.plans.catalog import QUERIES
+
+    plan = executed(QUERIES["orphan_audit_raw"](spark, SF_SMALL))
+    assert plan.count("events.parquet") <= 2
+    assert executed(QUERIES["orphan_audit"](spark, SF_SMALL)).count("lineitem.parquet") == 1
+
+
+def test_statistics_change_the_plan(spark, tmpdir_path):
+    """A filtered dimension is broadcast only where its columns were analysed."""
+    from aerolake.operators import dims
+    from aerolake.sources.warehouse import Warehouse
+
+    house = Warehouse(spark, f"{tmpdir_path}/stats")
+    house.replace("02_silver", "dim_calendar", dims.calendar(spark, "2000-01-01", "2024-12-31"))
+    facts = spark.range(1000).select((F.col("id") + 20240101).cast("int").alias("date_int"))
+    facts.write.parquet(f"{tmpdir_path}/facts")
+
+    def join():
+        days = house.table("dim_calendar").filter("date_int >= 20241201")
+        return executed(spark.read.parquet(f"{tmpdir_path}/facts").join(
+            days.select("date_int", "calendar_date"), "date_int"))
+
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "3000")
+    try:
+        before = join()
+        house.analyze("dim_calendar")
+        after = join()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "SortMergeJoin" in before and "BroadcastHashJoin" in after
+
+
+def test_bucketed_target_is_not_shuffled(spark, tmpdir_path):
+    from aerolake.operators.facts import POLLUTION_KEY, unseen
+    from aerolake.sources import schemas
+    from aerolake.sources.warehouse import Warehouse
+
+    house = Warehouse(spark, f"{tmpdir_path}/buckets")
+    house.create_if_absent("02_silver", "fct_pollution", schemas.FCT_POLLUTION_TABLE,
+                           ["date_month"], POLLUTION_KEY, buckets=8)
+    rows = spark.range(500).selectExpr(
+        "string(id) id", "int(20240100 + id % 28) date_int", "int(100 * (id % 24)) time_int",
+        "float(id) value", "int(id % 7) location_id", "int(id) sensor_id", "202401 date_month")
+    assert house.append("fct_pollution", rows.filter("sensor_id < 300")) == 300
+    fresh = unseen(house, "fct_pollution", rows, POLLUTION_KEY, [202401])
+    assert fresh.count() == 200
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = executed(unseen(house, "fct_pollution", rows, POLLUTION_KEY, [202401]))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    target = plan[plan.index("Bucketed: true") - 600:]
+    assert plan.count("Exchange") == 1 and "Exchange" not in target
+    assert "PartitionFilters: [isnotnull(date_month" in plan or "date_month" in target
