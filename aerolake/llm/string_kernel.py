@@ -18,6 +18,7 @@ number of words, fitted on labelled texts that the machine has not seen.
 
 from __future__ import annotations
 
+import heapq
 from typing import NamedTuple
 
 import numpy as np
@@ -31,7 +32,8 @@ DECAY = 0.6
 LONGEST = 32  # of a word; longer ones are cut in windows that overlap by half
 WHOLE = LONGEST + 2  # reach of the kernel that is learnt and scored: word and marks
 SHORT = 2  # words up to this length are also joined with their neighbours
-MEMO = 200_000  # words whose margins a worker keeps
+MEMO = 200_000  # words whose margins a task keeps
+SLICE = 1 << 22  # characters of the texts that are scored together
 EDGE = "!\"#$%&'()*+,./:;<=>?@[\\]^_`{|}~-¿¡«»"
 
 
@@ -43,38 +45,43 @@ class Model(NamedTuple):
     curve: np.ndarray
 
 
+class Table(NamedTuple):
+    """A model's weights by place: ``letters`` are the sorted code points that its
+    subsequences hold, ``pairs`` numbers two of them (0: none), and ``weights`` has a
+    row for each pair and a column for each letter.  Place 0 is any other letter."""
+    letters: np.ndarray
+    pairs: np.ndarray
+    weights: np.ndarray
+
+
+def _core(token: str) -> str:
+    return token.strip(EDGE)
+
+
+def _bare(core: str) -> str:
+    return core if core.isalnum() else "".join(filter(str.isalnum, core))
+
+
 def words(text: str) -> list[str]:
     """The distinct words of a text in lower case, as the kernel reads them."""
-    found, run, before = dict(), [], ""
-
-    def add(word):
-        if len(word) <= LONGEST:
-            found[word] = None
-        else:
-            for at in range(0, len(word) - LONGEST // 2, LONGEST // 2):
-                found[word[at:at + LONGEST]] = None
-
-    def close(after):
-        if run:
-            short = "".join(run)
-            for word in (short, before + short, short + after, before + short + after):
-                add(word)
-        run.clear()
-
-    for token in text.lower().split():
-        token = token.strip(EDGE)
-        if not token:
-            continue
-        add(token)
-        bare = "".join(filter(str.isalnum, token))
-        if bare and bare != token:
-            add(bare)
-        if len(token) <= SHORT:
-            run.append(token)
-            continue
-        close(bare)
-        before = bare
-    close("")
+    cores = [c for c in map(_core, text.lower().split()) if c]
+    found = dict.fromkeys(cores)
+    found.update(dict.fromkeys(b for b in map(_bare, list(found)) if b))
+    short = [i for i, c in enumerate(cores) if len(c) <= SHORT]
+    at = 0
+    while at < len(short):  # runs of short words, with the words beside them
+        first = last = short[at]
+        at += 1
+        while at < len(short) and short[at] == last + 1:
+            last, at = short[at], at + 1
+        run = "".join(cores[first:last + 1])
+        before = _bare(cores[first - 1]) if first else ""
+        after = _bare(cores[last + 1]) if last + 1 < len(cores) else ""
+        found.update(dict.fromkeys((run, before + run, run + after, before + run + after)))
+    for word in [w for w in found if len(w) > LONGEST]:
+        del found[word]
+        for start in range(0, len(word) - LONGEST // 2, LONGEST // 2):
+            found[word[start:start + LONGEST]] = None
     return list(found)
 
 
@@ -141,16 +148,80 @@ def machine(x: np.ndarray, positive: np.ndarray, negative: np.ndarray,
     return w
 
 
-def word_margins(units: list[str], model: Model) -> np.ndarray:
+def table(model: Model) -> Table:
+    """The model's weights by place."""
+    mask = np.uint64((1 << 21) - 1)
+    parts = [(model.keys >> np.uint64(42)), (model.keys >> np.uint64(21)) & mask,
+             model.keys & mask]
+    # A key holds the first, the middle and the last character in this order.
+    letters = np.unique(np.concatenate(parts))
+    first, middle, last = (np.searchsorted(letters, p) + 1 for p in parts)
+    size = len(letters) + 1
+    held, row = np.unique(first * size + middle, return_inverse=True)
+    pairs = np.zeros(size * size, np.int64)
+    pairs[held] = np.arange(1, len(held) + 1)
+    weights = np.zeros((len(held) + 1, size))
+    weights[row + 1, last] = model.weights
+    return Table(letters, pairs, weights)
+
+
+def _norms(points: np.ndarray) -> np.ndarray:
+    """The kernel of each of some words of equal length with itself.
+
+    The usual recursion adds up, for every two places, the matches before them with
+    their decay: a product with one triangular matrix from either side.  As a word
+    meets itself all these matrices are symmetric."""
+    count, n = points.shape
+    turned = np.ascontiguousarray(points.T)
+    same = (turned[:, None] == turned[None]).astype(np.float32)  # place, place, word
+    steps = np.arange(n)
+    before = np.where(steps[:, None] > steps, DECAY ** (steps[:, None] - steps - 1.0), 0).astype(
+        np.float32)
+    sums = same
+    for _ in range(2):
+        half = (before @ sums.reshape(n, -1)).reshape(n, n, count)
+        half = np.ascontiguousarray(half.swapaxes(0, 1)).reshape(n, -1)
+        sums = (before @ half).reshape(n, n, count) * same
+    return sums.sum(axis=(0, 1), dtype=np.float64)
+
+
+def word_margins(units: list[str], model: Model, by_place: Table | None = None) -> np.ndarray:
+    """The machine's value of each word: its subsequences' weights, decayed by their
+    gaps, over the word's length in the kernel; words of equal length go together."""
+    out = np.full(len(units), float(model.bias))
     if not len(model.keys) or not units:
-        return np.full(len(units), model.bias)
-    own, key, value = subsequences(units, WHOLE)
-    at = np.minimum(np.searchsorted(model.keys, key), len(model.keys) - 1)
-    hit = model.keys[at] == key
-    return model.bias + np.bincount(own[hit], value[hit] * model.weights[at[hit]], len(units))
+        return out
+    by_place = by_place or table(model)
+    letters, pairs, weights = by_place
+    size = len(letters) + 1
+    flat, rows_of = weights.astype(np.float32).ravel(), pairs * size
+    groups: dict[int, list[int]] = {}
+    for i, unit in enumerate(units):
+        groups.setdefault(len(unit), []).append(i)
+    for length, places in groups.items():
+        n = length + 2
+        rows = max(16, 200_000 // (n * n))  # arrays of a part stay in the cache
+        fade = DECAY ** np.arange(n, dtype=float)
+        for at in range(0, len(places), rows):
+            part = places[at:at + rows]
+            text = "".join(f"\x02{units[i]}\x03" for i in part)
+            points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4").reshape(-1, n)
+            found = np.minimum(np.searchsorted(letters, points), len(letters) - 1)
+            place = np.where(letters[found] == points, found + 1, 0)
+            total = np.zeros(len(part))
+            for j in range(1, n - 1):
+                # Pairs that end at j, decayed up to it; then on to every later place.
+                row = rows_of.take(place[:, :j] * size + place[:, j:j + 1])
+                near = np.ascontiguousarray(fade[j - 1::-1], np.float32)
+                for k in range(j + 1, n):
+                    total += (flat.take(row + place[:, k:k + 1]) @ near) * fade[k - j - 1]
+            norm = np.sqrt(_norms(points))  # 0 for words that hold no subsequence
+            out[part] += np.divide(total, norm, out=np.zeros(len(part)), where=norm > 0)
+    return out
 
 
-def text_features(texts: list[str], model: Model, memo: dict[str, float] | None = None) -> np.ndarray:
+def text_features(texts: list[str], model: Model, memo: dict[str, float] | None = None,
+                  by_place: Table | None = None) -> np.ndarray:
     """Worst and second worst word, log of the number of words, 1, per text.
     ``memo`` holds margins of words seen before, and takes those of new ones."""
     memo = {} if memo is None else memo
@@ -159,16 +230,10 @@ def text_features(texts: list[str], model: Model, memo: dict[str, float] | None
     if len(memo) > MEMO:
         memo.clear()
     every = [w for w in dict.fromkeys(w for ws in lists for w in ws) if w not in memo]
-    every.sort(key=len, reverse=True)
-    at = 0
-    while at < len(every):  # parts of about two million subsequences at most
-        part = every[at:at + max(1, min(16_384, 12_000_000 // (len(every[at]) + 2) ** 3))]
-        memo.update(zip(part, word_margins(part, model).tolist()))
-        at += len(part)
+    memo.update(zip(every, word_margins(every, model, by_place).tolist()))
     for i, ws in enumerate(lists):
         if ws:
-            own = np.array([memo[w] for w in ws])
-            worst = np.sort(np.partition(own, len(own) - 2)[-2:])[::-1] if len(own) > 1 else own
+            worst = heapq.nlargest(2, map(memo.__getitem__, ws))
             out[i, :len(worst)] = np.clip(worst, -2, 2)
             out[i, 2] = np.log1p(len(ws))
     return out
@@ -186,8 +251,10 @@ def logistic(x: np.ndarray, y: np.ndarray, decay: float = 1.0, rounds: int = 50)
     return w
 
 
-def probability(texts: list[str], model: Model, memo: dict[str, float] | None = None) -> np.ndarray:
-    return 1 / (1 + np.exp(-np.clip(text_features(texts, model, memo) @ model.curve, -30, 30)))
+def probability(texts: list[str], model: Model, memo: dict[str, float] | None = None,
+                by_place: Table | None = None) -> np.ndarray:
+    margin = text_features(texts, model, memo, by_place) @ model.curve
+    return 1 / (1 + np.exp(-np.clip(margin, -30, 30)))
 
 
 def held_out(id_column: Column) -> Column:
@@ -209,20 +276,21 @@ def fit(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_colu
              .groupBy(F.col(id_column).cast("long").alias("id"))
              .agg(F.max(F.col(label_column).cast("int")).alias("toxic"))
              .filter(~held_out(F.col("id"))))
-    picked = (docs.select(F.col(id_column).cast("long").alias("id"),
-                          F.coalesce(F.col(text_column), F.lit("")).alias("text"))
-              .join(marks, "id").withColumn("h", F.xxhash64("id", "text")))
-    # The least hashes by id first, so that texts are carried for few rows only.
-    sizes = picked.select("id", "h", "toxic", F.length("text").alias("n")).orderBy(
-        "h", "id").limit(sample_rows).collect()
-    taken, total = [], 0
+    rows = docs.select(F.col(id_column).cast("long").alias("id"),
+                       F.coalesce(F.col(text_column), F.lit("")).alias("text")).withColumns(
+        {"h": F.xxhash64("id", "text"), "n": F.length("text")})
+    # The least hashes first, without their texts; then the texts of the few rows taken.
+    sizes = rows.select("id", "h", "n").join(marks, "id").orderBy("h", "id").limit(
+        sample_rows).collect()
+    taken, total = {}, 0
     for row in sizes:
         if total + row.n <= sample_chars:
-            taken.append((row.id, row.h))
+            taken[row.id, row.h] = row.toxic
             total += row.n
     spark = docs.sparkSession
-    chosen = F.broadcast(spark.createDataFrame(taken, "id long, h long"))  # sample_rows at most
-    sample = picked.join(chosen, ["id", "h"])
+    chosen = F.broadcast(spark.createDataFrame(  # sample_rows at most
+        [(*k, v) for k, v in taken.items()], "id long, h long, toxic int"))
+    sample = rows.drop("n").join(chosen, ["id", "h"])
 
     def listed(batches):
         for batch in batches:
@@ -270,11 +338,11 @@ def fit(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_colu
     model = Model(keys, np.bincount(place, amount * alpha[own], len(keys)), float(w[-1]), none.curve)
 
     def featured(batches):
-        memo = {}
+        memo, by_place = {}, table(model)
         for batch in batches:
             texts, toxic = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             for at in range(0, len(texts), 256):
-                rows = text_features(texts[at:at + 256], model, memo)
+                rows = text_features(texts[at:at + 256], model, memo, by_place)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(rows[:, 0]), pa.array(rows[:, 1]), pa.array(rows[:, 2]),
                      pa.array(toxic[at:at + 256], pa.int32())], names=["a", "b", "n", "toxic"])
@@ -291,7 +359,8 @@ def score(docs: DataFrame, model: Model, text_column: str = "text",
           output: str = "score") -> DataFrame:
     """``docs`` with ``output``, 0 to 1; NULL texts count as empty.  Every row
     is scored by its whole text alone; a column named ``output`` is replaced."""
-    memo = {}  # each worker fills its own
+    memo = {}  # each task fills its own
+    by_place = table(model)
 
     @F.pandas_udf("double")
     def rate(texts):
@@ -301,10 +370,10 @@ def score(docs: DataFrame, model: Model, text_column: str = "text",
         out, at = [], 0
         while at < len(values):  # a few texts at a time
             stop, size = at, 0
-            while stop < len(values) and (stop == at or size < 1 << 20):
+            while stop < len(values) and (stop == at or size < SLICE):
                 size += len(values[stop])
                 stop += 1
-            out.append(probability(values[at:stop], model, memo))
+            out.append(probability(values[at:stop], model, memo, by_place))
             at = stop
         return pd.Series(np.concatenate(out) if out else np.zeros(0))
 

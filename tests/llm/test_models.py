@@ -136,3 +136,23 @@ def test_recall_of_inserted_signs(spark):
     for n in (1, 2, 3):
         texts = [plain + (filler * n).join("grubnash") for filler in ".-_* "]
         assert (K.probability(texts, model) >= 0.5).all(), n
+
+
+def test_margins_by_place_equal_the_subsequences():
+    """The sums over all words of one length against one subsequence at a time."""
+    rnd = random.Random(8)
+    marks = ["grubnash", "idiot", "é梦x", "ab", "alpha", "zzz"]
+    own, key, value = K.subsequences(marks, K.WHOLE)
+    keys, place = np.unique(key, return_inverse=True)
+    weights = np.bincount(place, value * np.array([1, -2, .5, 3, .1, -1])[own], len(keys))
+    model = K.Model(keys, weights, 0.25, np.zeros(4))
+    units = [*marks, "a", "", "q" * K.LONGEST, "g.r.u.b.n.a.s.h", "𝒳梦é",
+             *("".join(rnd.choice("abgruinshé梦.") for _ in range(rnd.randrange(1, 33)))
+               for _ in range(60))]
+    got = K.word_margins(units, model)
+    for unit, margin in zip(units, got):
+        if not unit:
+            continue
+        _, k, v = K.subsequences([unit], K.WHOLE)
+        at = np.minimum(np.searchsorted(keys, k), len(keys) - 1)
+        assert np.isclose(margin, 0.25 + (v * weights[at] * (keys[at] == k)).sum()), unit
