@@ -13,11 +13,14 @@ documents that agree in at least ``matches`` coordinates are candidates:
   set sizes has ruled out what cannot be similar.
 
 Links are confirmed on full sets.  Documents with equal sets form one class,
-and only a class's smallest id takes part.  Posting lists are never expanded
-into all pairs: in each of two turns every class is compared with one hub of
-its lists and links found are contracted; then what still belongs to
-different components is compared, all of it, where the members outside a
-list's largest component meet the whole list.
+and only a class's smallest id takes part.  In each of two turns every class is
+compared with one hub of its lists and links found are contracted.  What then still
+belongs to different components is compared, all of it: the members outside a list's
+largest component meet the whole list.  A list of more than ``DIRECT`` members, such
+as the documents of one frequent passage, is not expanded but split by a second pair:
+two documents of a list must share ``matches - 1`` other pairs that members of
+different components hold, so those with fewer leave (twice, as the counts fall), and
+the others are posted again, under the rarest of these pairs within the list.
 """
 
 from __future__ import annotations
@@ -32,6 +35,7 @@ from aerolake.llm.planes import text_slices
 from aerolake.llm.shingles import mix, shingle_set, slice_words
 from aerolake.llm.store import materialise, run_folder
 
+DIRECT = 8  # members of a list that are compared without a second pair
 SIGNED = "id long, n_shingles long, key_a long, key_b long, signature array<int>"
 
 
@@ -121,10 +125,7 @@ def near_duplicates(docs: DataFrame, folder: str, id_column: str = "doc_id",
         .select(F.xxhash64("id", *key).alias("slot"), "id", "n_shingles", "signature"),
         f"{folder}/stands")
 
-    # Postings: (coordinate, value) as one long.
-    posted = stands.select("slot", F.posexplode("signature").alias("at", "value")).select(
-        "slot", F.shiftleft(F.col("at").cast("long"), 32)
-        .bitwiseOR(F.col("value").cast("long").bitwiseAND(0xFFFFFFFF)).alias("key"))
+    posted = postings(stands, "slot", name="key")
     shared = posted.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
     ranked = (posted.join(shared, "key").groupBy("slot")
               .agg(F.sort_array(F.collect_list(F.struct("n", "key"))).alias("keys"))
@@ -164,18 +165,13 @@ def near_duplicates(docs: DataFrame, folder: str, id_column: str = "doc_id",
         labels = components(found, f"{folder}/hub-{turn}")
 
     # What is left: members of one list in different components.
-    in_list = _labelled(prefix, labels, "slot", "comp")
-    parts = in_list.groupBy("key", "comp").agg(F.count("*").alias("n"))
-    split = (parts.groupBy("key").agg(F.count("*").alias("parts"), F.max("n").alias("most"))
-             .filter("parts > 1"))
-    largest = (parts.join(split, "key").filter("n = most").groupBy("key")
-               .agg(F.min("comp").alias("largest")))
-    left = materialise(in_list.join(largest, "key"), f"{folder}/left")
-    minor = left.filter("comp <> largest").select(
-        "key", F.col("slot").alias("x"), F.col("comp").alias("comp_x"))
-    pairs = (left.select("key", F.col("slot").alias("y"), F.col("comp").alias("comp_y"))
-             .join(minor, "key").filter("comp_x <> comp_y")
-             .select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).distinct())
+    left = materialise(unsettled(_labelled(prefix, labels, "slot", "comp"), ["key"]),
+                       f"{folder}/left")
+    pairs = across(left.filter(F.col("size") <= DIRECT), ["key"])
+    wide = left.filter(F.col("size") > DIRECT).select("key", "slot", "comp")
+    parts = unsettled(split_lists(wide, stands.select("slot", "signature"), matches,
+                                  f"{folder}/split"), ["key", "other"])
+    pairs = pairs.unionAll(across(parts, ["key", "other"])).distinct()
     found = found.unionAll(links(pairs, "rest"))
 
     # Links between slots become links between ids; members and shared ids join in.
@@ -191,6 +187,53 @@ def near_duplicates(docs: DataFrame, folder: str, id_column: str = "doc_id",
         "id", "n_shingles", F.lit(None).cast("long").alias("component")))
 
 
+def postings(rows: DataFrame, *columns: str, name: str) -> DataFrame:
+    """``columns`` and each pair of a coordinate and its value, as one long."""
+    return rows.select(*columns, F.posexplode("signature").alias("_at", "_value")).select(
+        *columns, F.shiftleft(F.col("_at").cast("long"), 32)
+        .bitwiseOR(F.col("_value").cast("long").bitwiseAND(0xFFFFFFFF)).alias(name))
+
+
+def unsettled(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """The rows (keys, slot, comp) of lists with members of different components,
+    with the list's ``largest`` component and its ``size``."""
+    parts = rows.groupBy(*keys, "comp").agg(F.count("*").alias("n"))
+    lists = parts.groupBy(*keys).agg(
+        F.count("*").alias("parts"), F.sum("n").alias("size"),
+        F.min_by("comp", F.struct(-F.col("n"), "comp")).alias("largest")).filter("parts > 1")
+    return rows.join(lists.drop("parts"), keys)
+
+
+def across(left: DataFrame, keys: list[str]) -> DataFrame:
+    """Pairs (a, b) of slots in different components of a list."""
+    minor = left.filter("comp <> largest").select(
+        *keys, F.col("slot").alias("x"), F.col("comp").alias("comp_x"))
+    return (left.select(*keys, F.col("slot").alias("y"), F.col("comp").alias("comp_y"))
+            .join(minor, keys).filter("comp_x <> comp_y")
+            .select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")))
+
+
+def split_lists(rows: DataFrame, signed: DataFrame, matches: int, folder: str) -> DataFrame:
+    """The lists (key, slot, comp) by a second pair ``other``: any two members of
+    different components that agree in ``matches`` coordinates meet in one part."""
+    posted = postings(rows.join(signed, "slot"), "key", "slot", "comp", name="other").filter(
+        "other <> key")
+    for turn in range(2):
+        # Only a pair that different components hold can be a match of theirs.
+        held = (posted.groupBy("key", "other")
+                .agg(F.count("*").alias("n"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
+                .filter("lo <> hi"))
+        ranked = materialise(
+            posted.join(held.select("key", "other", "n"), ["key", "other"])
+            .groupBy("key", "slot", "comp")
+            .agg(F.sort_array(F.collect_list(F.struct("n", "other"))).alias("others"))
+            .filter(F.size("others") >= matches - 1), f"{folder}/{turn}")
+        posted = ranked.select("key", "slot", "comp", F.explode("others.other").alias("other"))
+    return ranked.select("key", "slot", "comp", F.explode(
+        F.expr(f"slice(others, 1, size(others) - {matches - 2})")).alias("o")).select(
+            "key", "slot", "comp", "o.other")
+
+
 def slot_texts(words: DataFrame, wanted: DataFrame) -> DataFrame:
     """(id: slot, text): the texts of the wanted slots' documents."""
     return (words.join(wanted.select("id", "slot"), "id")

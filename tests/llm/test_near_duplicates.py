@@ -59,3 +59,42 @@ def test_odd_rows_and_empty_table(folder, odd_docs, empty_docs):
     ids = [r.doc_id for r in odd_docs.collect()]
     assert len(rows) == len({i for i in ids if i is not None}) + ids.count(None)
     assert minhash.near_duplicates(empty_docs, f"{folder}/none").count() == 0
+
+
+def test_documents_of_one_passage_are_not_paired(spark, folder, monkeypatch):
+    """Many different texts share a passage; a few of them have near copies whose
+    links only the split lists can find."""
+    seen = []
+    plain = minhash.across
+    monkeypatch.setattr(minhash, "across", lambda left, keys: seen.append(plain(left, keys)) or seen[-1])
+    rnd = random.Random(3)
+    passage = [f"p{i}" for i in range(40)]
+    own = [[f"w{rnd.randrange(10**6)}" for _ in range(60)] for _ in range(300)]
+    texts = [" ".join(passage + o) for o in own]
+    texts += [" ".join(passage + o[:-1] + ["z"]) for o in own[:40]]
+    texts += [" ".join(passage + ["y"] + o) for o in own[20:30]]
+    rows = list(enumerate(texts))
+    rnd.shuffle(rows)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.id: (r.n_shingles, r.component) for r in minhash.near_duplicates(docs, folder).collect()}
+    assert got == brute(rows)
+    assert sum(p.count() for p in seen) < 20 * len(rows)
+
+
+def test_split_lists_lose_no_pair(spark, folder):
+    """Against all pairs: whoever agrees often enough meets in a part."""
+    rnd = random.Random(5)
+    base = [[rnd.randrange(3) for _ in range(12)] for _ in range(4)]
+    sig = {s: [v if rnd.random() < 0.7 else rnd.randrange(9) for v in rnd.choice(base)]
+           for s in range(60)}
+    for v in sig.values():
+        v[0] = 1
+    key = 1      # coordinate 0, value 1
+    rows = spark.createDataFrame([(key, s, s) for s in sig], "key long, slot long, comp long")
+    signed = spark.createDataFrame(list(sig.items()), "slot long, signature array<int>")
+    parts = minhash.split_lists(rows, signed, 8, folder)
+    pairs = {(r.b, r.a) for r in minhash.across(
+        minhash.unsettled(parts, ["key", "other"]), ["key", "other"]).collect()}
+    want = {(a, b) for a in sig for b in sig if a < b
+            and sum(x == y for x, y in zip(sig[a], sig[b])) >= 8}
+    assert want <= pairs
