@@ -16,11 +16,12 @@ Links are confirmed on full sets.  Documents with equal sets form one class,
 and only a class's smallest id takes part.  In each of two turns every class is
 compared with one hub of its lists and links found are contracted.  What then still
 belongs to different components is compared, all of it: the members outside a list's
-largest component meet the whole list.  A list of more than ``DIRECT`` members, such
-as the documents of one frequent passage, is not expanded but split by a second pair:
-two documents of a list must share ``matches - 1`` other pairs that members of
-different components hold, so those with fewer leave (twice, as the counts fall), and
-the others are posted again, under the rarest of these pairs within the list.
+largest component meet the whole list.  Before, every document leaves that has fewer
+than ``matches`` pairs which different components hold, as do those of one frequent
+passage.  A list that still has more than ``DIRECT`` members is not expanded but split
+by a second pair: two documents of a list must share ``matches - 1`` other pairs that
+members of different components hold within it, so those with fewer leave, and the
+others are posted again, under the rarest of these pairs in the list.
 """
 
 from __future__ import annotations
@@ -165,7 +166,11 @@ def near_duplicates(docs: DataFrame, folder: str, id_column: str = "doc_id",
         labels = components(found, f"{folder}/hub-{turn}")
 
     # What is left: members of one list in different components.
-    left = materialise(unsettled(_labelled(prefix, labels, "slot", "comp"), ["key"]),
+    lists = materialise(unsettled(_labelled(prefix, labels, "slot", "comp"), ["key"])
+                        .select("key", "slot", "comp"), f"{folder}/lists")
+    alive = partners(lists.select("slot", "comp").distinct(), stands.select("slot", "signature"),
+                     matches, f"{folder}/alive")
+    left = materialise(unsettled(lists.join(alive, "slot", "left_semi"), ["key"]),
                        f"{folder}/left")
     pairs = across(left.filter(F.col("size") <= DIRECT), ["key"])
     wide = left.filter(F.col("size") > DIRECT).select("key", "slot", "comp")
@@ -213,6 +218,21 @@ def across(left: DataFrame, keys: list[str]) -> DataFrame:
             .select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")))
 
 
+def partners(members: DataFrame, signed: DataFrame, matches: int, folder: str) -> DataFrame:
+    """The slots of ``members`` (slot, comp) that may agree in ``matches`` coordinates
+    with a member of another component: so many of their values are held by more than
+    one component.  Counted twice, as those that leave take their values along."""
+    posted = postings(members.join(signed, "slot"), "slot", "comp", name="other")
+    for turn in range(2):
+        held = (posted.groupBy("other").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
+                .filter("lo <> hi").select("other"))
+        alive = materialise(posted.join(held, "other").groupBy("slot")
+                            .agg(F.count("*").alias("n")).filter(F.col("n") >= matches)
+                            .select("slot"), f"{folder}/{turn}")
+        posted = posted.join(alive, "slot", "left_semi")
+    return alive
+
+
 def split_lists(rows: DataFrame, signed: DataFrame, matches: int, folder: str) -> DataFrame:
     """The lists (key, slot, comp) by a second pair ``other``: any two members of
     different components that agree in ``matches`` coordinates meet in one part."""
