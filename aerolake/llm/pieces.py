@@ -2,15 +2,21 @@
 
 A text is segmented into the pieces of a SentencePiece model with the greatest
 sum of scores (unigram segmentation; at equal sums the longer last piece
-wins), with byte pieces for characters that no piece holds.  No piece goes on
+wins), with byte pieces for characters that no piece holds.  Scores are added
+in fixed point, so sums are exact and the same in any order.  No piece goes on
 past a character before a word mark, nor holds a character outside the
 alphabet, so such places cut the text into segments that can be looked up.
 
 Texts longer than ``chunk`` are cut in chunks.  The state at a boundary is how
 far the piece that crosses it reaches into the next chunk.  Each chunk gives a
-matrix of the best sums from state to state; the matrices combine in the
-max-plus algebra, which gives the state at every boundary, and then each chunk
-is backtraced on its own between its two states.
+matrix of the best sums from state to state.  The product of matrices in the
+max-plus algebra is associative: blocks of ``BLOCK`` chunks are multiplied on
+their own, a scan over the blocks gives the best sums in front of each block,
+and from these those in front of each chunk.  With them every chunk tells, for
+each state at its end, the state at its begin that a single pass over the whole
+text would trace back to, equal sums included.  Following these from the end
+gives the state at every boundary, and then each chunk is backtraced on its own
+between its two states.  The ids are those of one pass, whatever the chunks.
 """
 
 from __future__ import annotations
@@ -32,16 +38,17 @@ from aerolake.llm.store import materialise, run_folder
 MARK = "▁"
 NONE = -(1 << 60)
 UNKNOWN_PENALTY = 10  # fixed value: below the least score
+POINT = 1 << 20  # steps of a score's unit, where scores are not all whole numbers
+BLOCK = 256  # chunks whose matrices are multiplied together
 KEPT = 1_000_000
 ENCODED = "id long, text_sha256 string, ids binary"
 
 
 class Pieces:
-    """The pieces of a model file, with scores."""
+    """The pieces of a model, with scores in fixed point."""
 
-    def __init__(self, path: str):
-        model = sentencepiece.SentencePieceProcessor(model_file=path)
-        self.scores, self.ids, self.bytes, self.shown = {}, {}, {}, []
+    def __init__(self, model: sentencepiece.SentencePieceProcessor):
+        scores, self.ids, self.bytes, self.shown = {}, {}, {}, []
         for i in range(model.get_piece_size()):
             piece = model.id_to_piece(i)
             shown = piece.replace(MARK, " ").encode()
@@ -51,10 +58,14 @@ class Pieces:
             elif model.is_control(i) or model.is_unknown(i):
                 shown = b""
             else:
-                self.scores[piece], self.ids[piece] = model.get_score(i), i
+                scores[piece], self.ids[piece] = model.get_score(i), i
             self.shown.append(shown)
-        self.unknown = min(self.scores.values()) - UNKNOWN_PENALTY
-        self.starts = {p[:n] for p in self.scores for n in range(1, len(p) + 1)}
+        point = 1 if all(float(x).is_integer() for x in scores.values()) else POINT
+        self.scores = {p: round(x * point) for p, x in scores.items()}
+        self.unknown = min(self.scores.values()) - UNKNOWN_PENALTY * point
+        # Every begin of a piece, with its score where it is a piece itself.
+        self.starts = {p[:n]: None for p in self.scores for n in range(1, len(p) + 1)}
+        self.starts.update(self.scores)
         self.longest = max(map(len, self.scores))
         self.states = self.longest
         alphabet = {c for p in self.scores for c in p}
@@ -66,41 +77,40 @@ class Pieces:
         self.foreign = re.compile(f"[^{MARK}{inner}]", re.S)
         self.known: dict[str, bytes] = {}
 
-    def from_here(self, text: str, at: int):
-        """(end, score, piece) of the pieces that start at ``at``; the
-        character alone, as bytes, if it is no piece."""
-        alone = False
+    def from_here(self, text: str, at: int) -> list[tuple[int, int]]:
+        """(end, score) of the pieces that start at ``at``; the character
+        alone, as bytes, if it is no piece."""
+        starts, found = self.starts, []
+        if self.scores.get(text[at]) is None:
+            found.append((at + 1, self.unknown))
         for end in range(at + 1, min(at + self.longest, len(text)) + 1):
-            piece = text[at:end]
-            if piece not in self.starts:
+            score = starts.get(text[at:end], self)
+            if score is self:  # no piece begins so
                 break
-            score = self.scores.get(piece)
             if score is not None:
-                alone |= end == at + 1
-                yield end, score, piece
-        if not alone:
-            yield at + 1, self.unknown, None
-
-    def number(self, piece: str | None, char: str) -> list[int]:
-        return [self.bytes[b] for b in char.encode()] if piece is None else [self.ids[piece]]
+                found.append((end, score))
+        return found
 
     def path(self, text: str, limit: int | None = None) -> bytes:
         """Ids of the best segmentation of ``text`` whose pieces start before
         ``limit``, as little-endian unsigned 32-bit integers."""
         n = len(text)
-        limit = n if limit is None else limit
-        best, back = [NONE] * (n + 1), [None] * (n + 1)
+        best, back = [NONE] * (n + 1), [0] * (n + 1)
         best[0] = 0
-        for at in range(limit):
-            if best[at] == NONE:
-                continue
-            for end, score, piece in self.from_here(text, at):
-                if best[at] + score > best[end]:
-                    best[end], back[end] = best[at] + score, (at, piece)
-        out, at = [], n
+        for at in range(n if limit is None else limit):
+            here = best[at]
+            if here != NONE:
+                for end, score in self.from_here(text, at):
+                    if here + score > best[end]:
+                        best[end], back[end] = here + score, at
+        out, at, ids = [], n, self.ids
         while at:
-            start, piece = back[at]
-            out.extend(reversed(self.number(piece, text[start:at])))
+            start = back[at]
+            known = ids.get(text[start:at])
+            if known is None:
+                out.extend([self.bytes[b] for b in reversed(text[start:at].encode())])
+            else:
+                out.append(known)
             at = start
         return struct.pack(f"<{len(out)}I", *reversed(out))
 
@@ -130,14 +140,14 @@ class Pieces:
             else:
                 out += self._score_of[values[at]]
                 at += 1
-        return int(out)
+        return out
 
     @functools.cached_property
     def _byte_ids(self) -> set[int]:
         return set(self.bytes.values())
 
     @functools.cached_property
-    def _score_of(self) -> dict[int, float]:
+    def _score_of(self) -> dict[int, int]:
         return {i: self.scores[p] for p, i in self.ids.items()}
 
     def cuts(self, text: str) -> tuple[int | None, int | None]:
@@ -161,8 +171,8 @@ class Pieces:
             here = best[at]
             if here.max() <= NONE // 2:
                 continue
-            for end, score, _ in self.from_here(text, at):
-                np.maximum(best[end], here + int(score), out=best[end])
+            for end, score in self.from_here(text, at):
+                np.maximum(best[end], here + score, out=best[end])
         return best[limit:limit + self.states]
 
     def matrix(self, body: str, ahead: str) -> np.ndarray:
@@ -173,11 +183,27 @@ class Pieces:
         np.fill_diagonal(lanes, 0)
         first, last = self.cuts(body) if n > s else (None, None)
         if first is None:
-            return np.maximum(self.reach(body + ahead, n, lanes).T, NONE)
+            return level(self.reach(body + ahead, n, lanes).T)
         head = self.reach(body[:first], first, lanes)[0]
         middle = self.total(self.encode(body[first:last]))
         tail = self.reach((body + ahead)[last:], n - last, np.zeros((1, 1), np.int64))[:, 0]
-        return np.maximum(head[:, None] + middle + tail[None, :], NONE)
+        return level(head[:, None] + middle + tail[None, :])
+
+    def origins(self, body: str, ahead: str, front: np.ndarray) -> np.ndarray:
+        """For each state at the chunk's end the state at its begin that one pass
+        over the whole text comes from; ``front`` has the best sums there."""
+        n, s = len(body), self.states
+        text, first = body + ahead, self.cuts(body)[0] if n > s else None
+        limit = n if first is None else first  # all ways go through a cut
+        best, origin = front.tolist() + [NONE] * limit, list(range(s)) + [0] * limit
+        for at in range(limit):
+            here = best[at]
+            if here != NONE:
+                for end, score in self.from_here(text, at):
+                    if here + score > best[end]:
+                        best[end], origin[end] = here + score, origin[at]
+        return np.array(origin[limit:limit + s] if first is None else origin[first:first + 1] * s,
+                        np.int32)
 
     def between(self, body: str, ahead: str, enter: int, leave: int) -> bytes:
         """Ids of a chunk from state ``enter`` to state ``leave``."""
@@ -196,7 +222,7 @@ class Pieces:
 @functools.cache
 def pieces(path: str) -> Pieces:
     """One for each Python worker."""
-    return Pieces(path)
+    return Pieces(sentencepiece.SentencePieceProcessor(model_file=path))
 
 
 def marked(text: str) -> str:
@@ -204,18 +230,35 @@ def marked(text: str) -> str:
     return MARK + text.replace(" ", MARK) if text else ""
 
 
-def states(matrices: list[np.ndarray]) -> list[int]:
-    """The state at every boundary of the best way through all chunks."""
-    size = matrices[0].shape[0]
-    front = np.full(size, NONE, np.int64)
-    front[0] = 0
-    fronts = [front]
-    for m in matrices:
-        front = np.maximum((front[:, None] + m).max(axis=0), NONE)
-        fronts.append(front)
+def level(sums: np.ndarray) -> np.ndarray:
+    """``sums`` less their greatest, which changes no choice and keeps them
+    small in a text of any length; what cannot be reached stays ``NONE``."""
+    return np.where(sums <= NONE // 2, NONE, sums - sums.max())
+
+
+def compose(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """The max-plus product of two matrices, or of a row and a matrix."""
+    return level((left[..., :, None] + right).max(axis=-2))
+
+
+def first_front(size: int) -> np.ndarray:
+    """The sums in front of a text: it begins in state 0."""
+    return np.where(np.arange(size) == 0, 0, NONE)
+
+
+def fronts(front: np.ndarray, matrices: list[np.ndarray]) -> list[np.ndarray]:
+    """The best sums in front of each matrix, the first ones being ``front``."""
+    out = [front]
+    for m in matrices[:-1]:
+        out.append(compose(out[-1], m))
+    return out
+
+
+def states(origins: list[np.ndarray]) -> list[int]:
+    """The state at every boundary, followed from the end of the text."""
     out = [0]
-    for front, m in zip(reversed(fronts[:-1]), reversed(matrices)):
-        out.append(int(np.argmax(front + m[:, out[-1]])))
+    for before in reversed(origins):
+        out.append(int(before[out[-1]]))
     return out[::-1]
 
 
@@ -226,7 +269,9 @@ def encode(docs: DataFrame, folder: str, model: str, id_column: str = "doc_id",
     ignored.
 
     Texts of up to ``chunk`` characters are encoded where they are read, longer
-    ones by the scan; a text's matrices take 2 KB for each chunk.
+    ones by the scan, with the same ids.  A task of the scan holds the matrices
+    of ``BLOCK`` chunks or of one text's blocks (2 KB each), and 64 bytes for
+    each chunk of a text.  ``chunk`` is at least the longest piece.
     """
     rows = docs.select(F.col(id_column).cast("long").alias("id"),
                        F.coalesce(F.col(text_column), F.lit("")).alias("text"))
@@ -242,7 +287,7 @@ def encode(docs: DataFrame, folder: str, model: str, id_column: str = "doc_id",
                 names=["id", "text_sha256", "ids"])
 
     def cut(batches):
-        states = pieces(model).states
+        size = pieces(model).states
         for batch in batches:
             for name, key, text in zip(*(batch.column(i) for i in range(3))):
                 value = marked(text.as_py())
@@ -251,7 +296,7 @@ def encode(docs: DataFrame, folder: str, model: str, id_column: str = "doc_id",
                     yield pa.RecordBatch.from_pylist([{
                         "id": name.as_py(), "key": key.as_py(), "text_sha256": digest, "seq": seq,
                         "body": value[at:at + chunk],
-                        "ahead": value[at + chunk:at + chunk + states]}], pa.schema([
+                        "ahead": value[at + chunk:at + chunk + size]}], pa.schema([
                             ("id", pa.int64()), ("key", pa.int64()), ("text_sha256", pa.string()),
                             ("seq", pa.int64()), ("body", pa.string()), ("ahead", pa.string())]))
 
@@ -262,12 +307,44 @@ def encode(docs: DataFrame, folder: str, model: str, id_column: str = "doc_id",
                     "key": key, "seq": seq, "matrix": pieces(model).matrix(body, ahead).tobytes()}],
                     pa.schema([("key", pa.int64()), ("seq", pa.int64()), ("matrix", pa.binary())]))
 
+    def square(raw):
+        size = pieces(model).states
+        return np.frombuffer(raw, np.int64).reshape(size, size)
+
+    def multiply(batches):
+        for batch in batches:
+            for key, block, listed in zip(*(c.to_pylist() for c in batch.columns)):
+                yield pa.RecordBatch.from_pylist([{
+                    "key": key, "block": block, "matrix": functools.reduce(
+                        compose, (square(x["matrix"]) for x in listed)).tobytes()}],
+                    pa.schema([("key", pa.int64()), ("block", pa.int64()),
+                               ("matrix", pa.binary())]))
+
+    def scan(batches, name):
+        """The sums in front of each listed matrix, from those in front of the first."""
+        for batch in batches:
+            for key, front, listed in zip(*(c.to_pylist() for c in batch.columns)):
+                begin = (first_front(pieces(model).states) if front is None
+                         else np.frombuffer(front, np.int64))
+                found = fronts(begin, [square(x["matrix"]) for x in listed])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([key] * len(listed), pa.int64()),
+                     pa.array([x[name] for x in listed], pa.int64()),
+                     pa.array([f.tobytes() for f in found], pa.binary())],
+                    names=["key", name, "front"])
+
+    def turn(batches):
+        for batch in batches:
+            for key, seq, body, ahead, front in zip(*(c.to_pylist() for c in batch.columns)):
+                found = pieces(model).origins(body, ahead, np.frombuffer(front, np.int64))
+                yield pa.RecordBatch.from_pylist([{
+                    "key": key, "seq": seq, "origins": found.tobytes()}], pa.schema([
+                        ("key", pa.int64()), ("seq", pa.int64()), ("origins", pa.binary())]))
+
     def settle(batches):
         for batch in batches:
             for key, listed in zip(*(c.to_pylist() for c in batch.columns)):
-                size = pieces(model).states
-                way = states([np.frombuffer(x["matrix"], np.int64).reshape(size, size)
-                              for x in listed])
+                way = states([np.frombuffer(x["origins"], np.int32) for x in listed])
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([key] * len(listed), pa.int64()),
                      pa.array([x["seq"] for x in listed], pa.int64()),
@@ -297,10 +374,25 @@ def encode(docs: DataFrame, folder: str, model: str, id_column: str = "doc_id",
         rows.filter(giant).select("id", F.monotonically_increasing_id().alias("key"), "text")
         .mapInArrow(cut, "id long, key long, text_sha256 string, seq long, body string, "
                          "ahead string").repartition(spread, "key", "seq"), f"{folder}/chunks")
-    ways = materialise(
+    matrices = materialise(
         chunks.select("key", "seq", "body", "ahead")
-        .mapInArrow(transfer, "key long, seq long, matrix binary")
-        .groupBy("key").agg(F.sort_array(F.collect_list(F.struct("seq", "matrix"))).alias("listed"))
+        .mapInArrow(transfer, "key long, seq long, matrix binary"), f"{folder}/matrices")
+
+    def in_order(name, value):
+        return F.sort_array(F.collect_list(F.struct(name, value))).alias("listed")
+
+    blocks = matrices.groupBy("key", F.floor(F.col("seq") / BLOCK).alias("block")).agg(
+        in_order("seq", "matrix"))
+    before = (blocks.mapInArrow(multiply, "key long, block long, matrix binary")
+              .groupBy("key").agg(in_order("block", "matrix"))
+              .select("key", F.lit(None).cast("binary").alias("front"), "listed")
+              .mapInArrow(lambda b: scan(b, "block"), "key long, block long, front binary"))
+    front = (blocks.join(before, ["key", "block"]).select("key", "front", "listed")
+             .mapInArrow(lambda b: scan(b, "seq"), "key long, seq long, front binary"))
+    ways = materialise(
+        chunks.join(front, ["key", "seq"]).select("key", "seq", "body", "ahead", "front")
+        .mapInArrow(turn, "key long, seq long, origins binary")
+        .groupBy("key").agg(in_order("seq", "origins"))
         .mapInArrow(settle, "key long, seq long, enter int, leave int"), f"{folder}/states")
     long = (chunks.join(ways, ["key", "seq"])
             .select("id", "key", "text_sha256", "seq", "body", "ahead", "enter", "leave")
