@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import functools
 import hashlib
+import itertools
 import re
 import struct
 
@@ -63,9 +64,8 @@ class Pieces:
         point = 1 if all(float(x).is_integer() for x in scores.values()) else POINT
         self.scores = {p: round(x * point) for p, x in scores.items()}
         self.unknown = min(self.scores.values()) - UNKNOWN_PENALTY * point
-        # Every begin of a piece, with its score where it is a piece itself.
-        self.starts = {p[:n]: None for p in self.scores for n in range(1, len(p) + 1)}
-        self.starts.update(self.scores)
+        # Pieces by their characters: (what may follow, score if it is a piece).
+        self.tree = self._tree(sorted(self.scores), 0)
         self.longest = max(map(len, self.scores))
         self.states = self.longest
         alphabet = {c for p in self.scores for c in p}
@@ -77,16 +77,27 @@ class Pieces:
         self.foreign = re.compile(f"[^{MARK}{inner}]", re.S)
         self.known: dict[str, bytes] = {}
 
+    def _tree(self, sorted_pieces: list[str], depth: int) -> dict[str, tuple]:
+        groups = itertools.groupby(sorted_pieces, key=lambda p: p[depth])
+        out = {}
+        for char, group in groups:
+            group = list(group)
+            whole = len(group[0]) == depth + 1
+            out[char] = (self._tree(group[whole:], depth + 1),
+                         self.scores[group[0]] if whole else None)
+        return out
+
     def from_here(self, text: str, at: int) -> list[tuple[int, int]]:
         """(end, score) of the pieces that start at ``at``; the character
         alone, as bytes, if it is no piece."""
-        starts, found = self.starts, []
-        if self.scores.get(text[at]) is None:
+        found, below = [], self.tree
+        if text[at] not in self.scores:
             found.append((at + 1, self.unknown))
-        for end in range(at + 1, min(at + self.longest, len(text)) + 1):
-            score = starts.get(text[at:end], self)
-            if score is self:  # no piece begins so
+        for end, char in enumerate(text[at:at + self.longest], at + 1):
+            node = below.get(char)
+            if node is None:
                 break
+            below, score = node
             if score is not None:
                 found.append((end, score))
         return found
@@ -94,15 +105,24 @@ class Pieces:
     def path(self, text: str, limit: int | None = None) -> bytes:
         """Ids of the best segmentation of ``text`` whose pieces start before
         ``limit``, as little-endian unsigned 32-bit integers."""
-        n = len(text)
+        n, tree, longest, scores = len(text), self.tree, self.longest, self.scores
         best, back = [NONE] * (n + 1), [0] * (n + 1)
         best[0] = 0
         for at in range(n if limit is None else limit):
-            here = best[at]
-            if here != NONE:
-                for end, score in self.from_here(text, at):
-                    if here + score > best[end]:
-                        best[end], back[end] = here + score, at
+            here, below = best[at], tree
+            if here == NONE:
+                continue
+            if text[at] not in scores and here + self.unknown > best[at + 1]:
+                best[at + 1], back[at + 1] = here + self.unknown, at
+            end = at
+            for char in text[at:at + longest]:  # as from_here does
+                node = below.get(char)
+                if node is None:
+                    break
+                below, score = node
+                end += 1
+                if score is not None and here + score > best[end]:
+                    best[end], back[end] = here + score, at
         out, at, ids = [], n, self.ids
         while at:
             start = back[at]
