@@ -150,6 +150,13 @@ UNITS = re.compile(f"[{WHITE}]+(?![^{WHITE}])| ?[^{WHITE}]+|[{WHITE}]")
 
 
 ODD = re.compile(f"[{WHITE.translate({32: None, 10: None})}]|^\n?$")
+# A unit of Latin letters, digits and ASCII signs without an apostrophe (which
+# may begin a contraction): the pattern cuts it into runs of one kind.
+PLAIN = re.compile("\n?[!-&(-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+")
+RUNS = re.compile("[A-Za-z\u00c0-\u024f]+|[0-9]+|[!-/:-@[-`{-~]+")
+# Byte-level models write the bytes that do not print as characters from 256 on.
+HIDDEN = [*range(0x21), *range(0x7F, 0xA1), 0xAD]
+SHOWN = {b: 256 + i for i, b in enumerate(HIDDEN)}
 
 
 class ByteLevelEncoder:
@@ -158,14 +165,16 @@ class ByteLevelEncoder:
     Words recur, so the library encodes a unit once and its ids are kept in
     two generations of at most ``keep`` units each: a full young one becomes
     the old one, and units found in the old one move up.  That bounds memory
-    and changes no result.  Texts with a special token's string go through
-    the library whole, those with unusual white space by ``UNITS``.
+    and changes no result.  A plain unit's runs go to the library's model one
+    by one, any other unit goes through the whole library.  So do texts with a
+    special token's string; those with unusual white space go by ``UNITS``.
     """
 
-    def __init__(self, path: str, keep: int = 500_000):
+    def __init__(self, path: str, keep: int = 600_000):
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
+        self.model = self.library.model
         self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
         self.line, = self._ids(["\n"])
         self.keep, self.young, self.old = keep, {}, {}
@@ -174,55 +183,57 @@ class ByteLevelEncoder:
         found = self.library.encode_batch_fast(texts, add_special_tokens=False)
         return [struct.pack(f"<{len(x)}I", *x) for x in (e.ids for e in found)]
 
-    def _words(self, words: list[str]):
-        """The ids of words, each with the white space before it: many words
-        to a call, a line each, as line ends always are one token."""
-        for at in range(0, len(words), 2000):
-            part = words[at:at + 2000]
-            text = "\n" + "\n".join([w[1:] if w[0] == "\n" else f" {w}" for w in part])
-            ids = np.frombuffer(self._ids([text])[0], "<u4")
-            cuts = 4 * np.flatnonzero(ids == np.frombuffer(self.line, "<u4")[0])
-            raw, cuts = ids.tobytes(), [*cuts.tolist(), 4 * len(ids)]
-            for w, a, b in zip(part, cuts[:-1], cuts[1:], strict=True):
-                yield raw[a if w[0] == "\n" else a + 4:b]
-
-    def _add(self, units: set[str]) -> None:
-        """Makes ``units``, which the young generation lacks, known."""
-        if len(self.young) + len(units) > self.keep:
+    def _run(self, run: str) -> bytes:
+        """The ids of one run that the pattern does not cut."""
+        if not run.isascii() or run[0] == " ":
+            run = run.encode().decode("latin-1").translate(SHOWN)
+        found = [t.id for t in self.model.tokenize(run)]
+        return struct.pack(f"<{len(found)}I", *found)
+
+    def _unit(self, unit: str) -> bytes:
+        """The ids of a unit that the young generation lacks, kept there."""
+        ids = self.old.get(unit)
+        if ids is None:
+            if PLAIN.fullmatch(unit):
+                line = unit[0] == "\n"
+                runs = RUNS.findall(unit)
+                ids = self.line if line else b""
+                if not line and len(runs) > 1:
+                    first = self.young.get(runs[0])
+                    ids = self._run(f" {runs[0]}") if first is None else first
+                    runs = runs[1:]
+                elif not line:
+                    runs = [f" {unit}"]
+                ids += b"".join(map(self._run, runs))
+            else:
+                ids, = self._ids([unit if unit[0] == "\n" else f" {unit}"])
+        if len(self.young) >= self.keep:
             self.old, self.young = self.young, {}
-        kept = {u: self.old[u] for u in units if u in self.old}
-        self.young.update(kept)
-        new = [u for u in units if u not in kept]
-        self.young.update(zip(new, self._words(new), strict=True))
-
-    def _oddly(self, text: str) -> bytes:
-        return b"".join(self._ids(UNITS.findall(text)))
+        self.young[unit] = ids
+        return ids
+
+    def _text(self, text: str) -> bytes:
+        """A unit is a word that means itself with one space before it, or
+        itself with the line end that it starts with."""
+        units = ("\n" + text).replace("\n", " \n").split(" ")[1:]
+        known = list(map(self.young.get, units))
+        if None in known:
+            for at, ids in enumerate(known):
+                if ids is None:
+                    unit = units[at]
+                    ids = self.young.get(unit)
+                    if ids is None:
+                        if ODD.search(unit):
+                            return b"".join(self._ids(UNITS.findall(text)))
+                        ids = self._unit(unit)
+                    known[at] = ids
+        return b"".join(known)[4:]
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        """The ids of each text.  A unit is a word that means itself with
-        one space before it, or itself with the line end that it starts with."""
-        split, new, get = [], set(), self.young.get
-        for text in texts:
-            if not text or any(s in text for s in self.special):
-                split.append((text, None))
-                continue
-            units = ("\n" + text).replace("\n", " \n").split(" ")[1:]
-            missing = {u for u, v in zip(units, map(get, units)) if v is None}
-            if missing and any(map(ODD.search, missing)):
-                split.append((text, []))
-                continue
-            new |= missing
-            split.append((text, units))
-        if new:
-            held = self.young
-            self._add(new)
-            if self.young is not held:  # begun anew: look again
-                again = {u for _, units in split for u in units or ()}
-                self._add(again.difference(self.young))
-        known = self.young.__getitem__
-        return [b"" if not text else self._ids([text])[0] if units is None
-                else b"".join(map(known, units))[4:] if units else self._oddly(text)
-                for text, units in split]
+        """The ids of each text."""
+        return [b"" if not text else self._ids([text])[0]
+                if any(s in text for s in self.special) else self._text(text)
+                for text in texts]
 
 
 @functools.cache
