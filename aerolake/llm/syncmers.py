@@ -3,14 +3,20 @@
 A k-mer of code points is a closed syncmer if the least of its inner s-mers,
 by hash, is the first or the last one.  Whether it is chosen depends on its
 own characters alone, so an edit moves only the anchors that it touches, and
-of any ``k - s`` neighbouring k-mers at least one is chosen.  Anchors with
-their places serve positional matching; the fingerprint is a MinHash over the
-set of anchors, written as hexadecimal, and two fingerprints are as like as
-the share of their coordinates that agree.
+of any ``k - s`` neighbouring k-mers at least one is chosen.  The fingerprint
+is a MinHash over the set of anchors, each coordinate with the place of its
+anchor's first occurrence as a part of the text, written as hexadecimal.
+
+Two fingerprints are matched by position: of the coordinates whose anchors
+agree, those count that lie in one order in both texts, the longest chain of
+places that grow together.  An insertion, a cut or an edit shifts places but
+keeps their order, so it costs only the anchors it touches; a passage that
+was moved counts only if it is the longer part.
 """
 
 from __future__ import annotations
 
+import bisect
 import hashlib
 
 import numpy as np
@@ -25,8 +31,8 @@ from aerolake.llm.store import materialise, run_folder
 
 K, S, COORDS = 8, 3, 64
 PIECE = 1 << 18
-FINGERPRINTS = ("n_chars long, edited_sha256 string, fingerprint string, "
-                "edited_fingerprint string, near_edited double, near_next double")
+FINGERPRINTS = ("n_chars long, edited_sha256 string, fingerprint binary, "
+                "edited_fingerprint binary, near_edited double, near_next double")
 
 
 def code_points(text: str) -> np.ndarray:
@@ -72,24 +78,57 @@ def anchors(points: np.ndarray, k: int = K, s: int = S) -> tuple[np.ndarray, np.
     return places, hashes
 
 
-def sketch(hashes: np.ndarray, coords: int = COORDS) -> np.ndarray:
-    """16 bits of the least hash of the set under each coordinate."""
+def _inverse(odd: np.ndarray) -> np.ndarray:
+    """The inverse of odd numbers modulo 2^64."""
+    found = odd.copy()
+    for _ in range(6):
+        found *= np.uint64(2) - odd * found
+    return found
+
+
+SALTS = mix(np.arange(1, COORDS + 1, dtype=np.uint64)) | np.uint64(1)
+BACK = _inverse(SALTS)
+SKETCH = np.dtype([("hash", ">u2"), ("place", ">u2")])
+
+
+def sketch(places: np.ndarray, hashes: np.ndarray, n_chars: int) -> np.ndarray:
+    """Under each coordinate 16 bits of the least hash of the set, and where
+    its anchor first stands, in steps of 1/65536 of the text."""
     if not len(hashes):
-        return np.zeros(0, np.uint16)
-    hashes = np.unique(hashes)
-    salts = mix(np.arange(1, coords + 1, dtype=np.uint64)) | np.uint64(1)
-    least = np.full(coords, np.iinfo(np.uint64).max, np.uint64)
+        return np.zeros(0, SKETCH)
+    hashes, first = np.unique(hashes, return_index=True)
+    least = np.full(COORDS, np.iinfo(np.uint64).max, np.uint64)
     for at in range(0, len(hashes), 1024):
-        least = np.minimum(least, (hashes[at:at + 1024, None] * salts).min(axis=0))
-    return (mix(least) & np.uint64(0xFFFF)).astype(">u2")
+        least = np.minimum(least, (hashes[at:at + 1024, None] * SALTS).min(axis=0))
+    # A product with an odd number can be undone: it names its anchor.
+    place = places[first[np.searchsorted(hashes, least * BACK)]].astype(np.int64)
+    out = np.zeros(COORDS, SKETCH)
+    out["hash"] = mix(least) & np.uint64(0xFFFF)
+    out["place"] = place * 65536 // n_chars
+    return out
+
+
+def fingerprint(points: np.ndarray) -> np.ndarray:
+    """The sketch of a text's code points."""
+    return sketch(*anchors(points), len(points))
+
+
+def chain(a: np.ndarray, b: np.ndarray) -> int:
+    """Length of the longest chain of places (a, b) that never fall in both."""
+    tails: list[int] = []
+    for value in b[np.lexsort((b, a))].tolist():
+        at = bisect.bisect_right(tails, value)
+        tails[at:at + 1] = [value]
+    return len(tails)
 
 
 def likeness(a: np.ndarray, b: np.ndarray) -> float:
-    """Share of coordinates that agree; two empty sets are alike, an empty and
-    another one are not."""
+    """Share of coordinates that agree in anchors of one order; two empty sets
+    are alike, an empty and another one are not."""
     if len(a) != len(b):
         return 0.0
-    return float(np.mean(a == b)) if len(a) else 1.0
+    same = a["hash"] == b["hash"]
+    return chain(a["place"][same], b["place"][same]) / len(a) if len(a) else 1.0
 
 
 def edited(points: np.ndarray, following: np.ndarray) -> np.ndarray:
@@ -100,10 +139,10 @@ def edited(points: np.ndarray, following: np.ndarray) -> np.ndarray:
 
 def _compared(points, mine, following, theirs) -> tuple:
     text = edited(points, following)
-    other = sketch(anchors(text)[1])
+    other = fingerprint(text)
     return (len(points), hashlib.sha256(text.astype("<u4").tobytes().decode("utf-32-le")
                                         .encode()).hexdigest(),
-            mine.tobytes().hex(), other.tobytes().hex(),
+            mine.tobytes(), other.tobytes(),
             likeness(mine, other), likeness(mine, theirs))
 
 
@@ -123,7 +162,7 @@ def fingerprints(docs: DataFrame, folder: str, id_column: str = "doc_id",
     schema = pa.schema([
         ("id", pa.int64()), ("part", pa.int32()), ("first_text", pa.string()),
         ("last_text", pa.string()), ("n_chars", pa.int64()), ("edited_sha256", pa.string()),
-        ("fingerprint", pa.string()), ("edited_fingerprint", pa.string()),
+        ("fingerprint", pa.binary()), ("edited_fingerprint", pa.binary()),
         ("near_edited", pa.float64()), ("near_next", pa.float64())])
 
     def neighbours(batches):
@@ -132,7 +171,7 @@ def fingerprints(docs: DataFrame, folder: str, id_column: str = "doc_id",
         for ids, texts in text_slices(batches):
             for name, text in zip(ids, texts):
                 points = code_points(text or "")
-                mine = sketch(anchors(points)[1])
+                mine = fingerprint(points)
                 if last is None:
                     first = text or ""
                 else:
@@ -154,8 +193,7 @@ def fingerprints(docs: DataFrame, folder: str, id_column: str = "doc_id",
             rows = []
             for name, text, following in zip(*(c.to_pylist() for c in batch.columns)):
                 a, b = code_points(text), code_points(following)
-                rows.append((name, *_compared(a, sketch(anchors(a)[1]), b,
-                                              sketch(anchors(b)[1]))))
+                rows.append((name, *_compared(a, fingerprint(a), b, fingerprint(b))))
             own = [schema.field("id"), *(schema.field(n) for n in names)]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, f.type) for c, f in zip(zip(*rows), own)], schema=pa.schema(own)) \
@@ -180,7 +218,8 @@ def fingerprints(docs: DataFrame, folder: str, id_column: str = "doc_id",
              .join(heads.select(F.col("part").alias("next"), "first_text"), "next")
              .select("id", "last_text", "first_text"))
     return inner.unionByName(pairs.mapInArrow(across, "id long, " + FINGERPRINTS)).select(
-        F.col("id").alias(id_column), *names)
+        F.col("id").alias(id_column), *(
+            F.lower(F.hex(n)).alias(n) if n.endswith("fingerprint") else n for n in names))
 
 
 def anchor_table(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
