@@ -42,6 +42,33 @@ def test_mined_rules_match_brute_force(spark, folder):
         assert r.verdict == ("block" if r.blocked else "allow")
 
 
+def test_wide_pages_give_the_same_rules(spark, folder):
+    """FP-growth and growth by token find the same rules; equal pages beyond COPIES count."""
+    urls = [(f"https://{'ab'[i % 2]}.site{i % 5}.org/{'xyz'[i % 3]}/{'uv'[i % 4 // 2]}?q={i % 7}",
+             i % 2 == 0 and i % 3 == 0 and i % 7 < 2 or i % 5 == 1 and i % 7 == 3) for i in range(3_000)]
+    urls += [("https://hot.org/in/all", i % 2 == 0) for i in range(2_500)]
+    labelled = spark.createDataFrame(urls, "url string, blocked boolean")
+    mined, grown = ([(sorted(r.tokens), r.post, r.confidence, r.n) for r in U.mine_rules(
+        labelled, f"{folder}/{widest}", widest=widest).collect()] for widest in (99, 0))
+    assert sorted(mined) == sorted(grown) and max(len(t) for t, *_ in mined) > 2
+
+
+def test_odd_rows_of_the_query(spark, tmp_path):
+    """No pages, and pages with clashing columns, NULLs, repeats and a very long URL."""
+    labels = spark.createDataFrame([(1, 0, 0), (2, 1, 0), (None, 0, 1)],
+                                   "doc_id long, quality int, toxic int")
+    odd = [(1, "http://example.com/en/a", "h"), (1, "http://example.com/en/a", "h"),
+           (2, None, None), (None, "", "x"), (3, "http://l.org/" + "s/" * 20_000, "h")]
+    for name, data in (("none", []), ("odd", odd)):
+        where = f"{tmp_path}/{name}"
+        labels.write.parquet(f"{where}/labels.parquet")
+        spark.createDataFrame(data, "page_id long, url string, host string").write.parquet(
+            f"{where}/pages.parquet")
+        got = U.op8(spark, where).collect()
+        assert len(got) == len(data)
+        assert all(r.verdict == ("block" if r.page_id == 1 else "allow") for r in got)
+
+
 def test_no_labels_no_rules(spark, folder):
     none = spark.createDataFrame([], "url string, blocked boolean")
     rules = U.mine_rules(none, folder)
