@@ -157,6 +157,7 @@ RUNS = re.compile("[A-Za-z\u00c0-\u024f]+|[0-9]+|[!-/:-@[-`{-~]+")
 # Byte-level models write the bytes that do not print as characters from 256 on.
 HIDDEN = [*range(0x21), *range(0x7F, 0xA1), 0xAD]
 SHOWN = {b: 256 + i for i, b in enumerate(HIDDEN)}
+SPACE = chr(SHOWN[0x20])
 
 
 class ByteLevelEncoder:
@@ -175,36 +176,46 @@ class ByteLevelEncoder:
 
         self.library = Tokenizer.from_file(path)
         self.model = self.library.model
+        top = max(self.library.get_vocab().values()) + 1
+        self.packed = [i.to_bytes(4, "little") for i in range(top)]
         self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
         self.line, = self._ids(["\n"])
-        self.keep, self.young, self.old = keep, {}, {}
+        self.keep, self.young, self.old, self.runs = keep, {}, {}, {}
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         found = self.library.encode_batch_fast(texts, add_special_tokens=False)
         return [struct.pack(f"<{len(x)}I", *x) for x in (e.ids for e in found)]
 
-    def _run(self, run: str) -> bytes:
+    def _run(self, run: str, before: str = "") -> bytes:
         """The ids of one run that the pattern does not cut."""
-        if not run.isascii() or run[0] == " ":
+        if not run.isascii():
             run = run.encode().decode("latin-1").translate(SHOWN)
-        found = [t.id for t in self.model.tokenize(run)]
-        return struct.pack(f"<{len(found)}I", *found)
+        return b"".join([self.packed[t.id] for t in self.model.tokenize(before + run)])
+
+    def _later(self, runs: list[str]) -> bytes:
+        """The ids of runs with no space before them, which few units hold."""
+        known = list(map(self.runs.get, runs))
+        for at, ids in enumerate(known):
+            if ids is None:
+                if len(self.runs) >= self.keep // 8:
+                    self.runs = {}
+                known[at] = self.runs[runs[at]] = self._run(runs[at])
+        return b"".join(known)
 
     def _unit(self, unit: str) -> bytes:
         """The ids of a unit that the young generation lacks, kept there."""
         ids = self.old.get(unit)
         if ids is None:
-            if PLAIN.fullmatch(unit):
-                line = unit[0] == "\n"
+            if unit.isalpha() and unit.isascii():
+                ids = self._run(unit, SPACE)
+            elif PLAIN.fullmatch(unit):
                 runs = RUNS.findall(unit)
-                ids = self.line if line else b""
-                if not line and len(runs) > 1:
-                    first = self.young.get(runs[0])
-                    ids = self._run(f" {runs[0]}") if first is None else first
-                    runs = runs[1:]
-                elif not line:
-                    runs = [f" {unit}"]
-                ids += b"".join(map(self._run, runs))
+                if unit[0] == "\n":
+                    ids = self.line + self._later(runs)
+                else:
+                    ids = self.young.get(runs[0]) or self._run(runs[0], SPACE)
+                    if len(runs) > 1:
+                        ids += self._later(runs[1:])
             else:
                 ids, = self._ids([unit if unit[0] == "\n" else f" {unit}"])
         if len(self.young) >= self.keep:
