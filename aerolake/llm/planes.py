@@ -213,7 +213,8 @@ class ByteLevelEncoder:
                 if unit[0] == "\n":
                     ids = self.line + self._later(runs)
                 else:
-                    ids = self.young.get(runs[0]) or self._run(runs[0], SPACE)
+                    ids = (self.young.get(runs[0]) or self.old.get(runs[0])
+                           or self._run(runs[0], SPACE))
                     if len(runs) > 1:
                         ids += self._later(runs[1:])
             else:
@@ -234,7 +235,7 @@ class ByteLevelEncoder:
                     unit = units[at]
                     ids = self.young.get(unit)
                     if ids is None:
-                        if ODD.search(unit):
+                        if not unit.isalnum() and ODD.search(unit):
                             return b"".join(self._ids(UNITS.findall(text)))
                         ids = self._unit(unit)
                     known[at] = ids
