@@ -117,3 +117,19 @@ def test_upsert_batches_keep_first_arrival(spark, rows, n_batches):
         assert key not in got
         got[key] = r.value
     assert got == expected
+
+
+def test_parameters_are_numbered_in_order(spark, tmpdir_path):
+    from aerolake.plans.model import Lake
+
+    segments = ["MACHINERY", None, "ab", "abc", "BUILDING", "abca", "abcb", "a", "é", "BUILDING", ""]
+    spark.createDataFrame([(100 - i, f"c{i}", i % 3, s) for i, s in enumerate(segments)],
+                          "c_custkey long, c_name string, c_nationkey int, c_mktsegment string"
+                          ).write.parquet(f"{tmpdir_path}/customer.parquet")
+    want = {s: i for i, s in enumerate(sorted({s for s in segments if s is not None}), 1)}
+    lake = Lake(spark, tmpdir_path)
+    assert {r.display_name: r.parameter_id for r in lake.dim_parameters.collect()} == want
+    got = {r.sensor_id: r.parameter_id for r in lake.sensor_rows().collect()}
+    assert got == {100 - i: want.get(s) for i, s in enumerate(segments)}
+    assert [f.dataType.simpleString() for f in lake.dim_sensors.schema] == [
+        "bigint", "string", "int", "int"]
