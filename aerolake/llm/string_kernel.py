@@ -18,7 +18,7 @@ number of words, fitted on labelled texts that the machine has not seen.
 
 from __future__ import annotations
 
-import heapq
+import itertools
 from typing import NamedTuple
 
 import numpy as np
@@ -54,30 +54,28 @@ class Table(NamedTuple):
     weights: np.ndarray
 
 
-def _core(token: str) -> str:
-    return token.strip(EDGE)
-
-
 def _bare(core: str) -> str:
     return core if core.isalnum() else "".join(filter(str.isalnum, core))
 
 
 def words(text: str) -> list[str]:
     """The distinct words of a text in lower case, as the kernel reads them."""
-    cores = [c for c in map(_core, text.lower().split()) if c]
+    cores = [c for token in text.lower().split() if (c := token.strip(EDGE))]
     found = dict.fromkeys(cores)
-    found.update(dict.fromkeys(b for b in map(_bare, list(found)) if b))
+    for core in [c for c in found if not c.isalnum()]:
+        if bare := "".join(filter(str.isalnum, core)):
+            found[bare] = None
     short = [i for i, c in enumerate(cores) if len(c) <= SHORT]
-    at = 0
+    at, count = 0, len(cores)
     while at < len(short):  # runs of short words, with the words beside them
         first = last = short[at]
         at += 1
         while at < len(short) and short[at] == last + 1:
             last, at = short[at], at + 1
-        run = "".join(cores[first:last + 1])
+        run = cores[first] if first == last else "".join(cores[first:last + 1])
         before = _bare(cores[first - 1]) if first else ""
-        after = _bare(cores[last + 1]) if last + 1 < len(cores) else ""
-        found.update(dict.fromkeys((run, before + run, run + after, before + run + after)))
+        after = _bare(cores[last + 1]) if last + 1 < count else ""
+        found[run] = found[before + run] = found[run + after] = found[before + run + after] = None
     for word in [w for w in found if len(w) > LONGEST]:
         del found[word]
         for start in range(0, len(word) - LONGEST // 2, LONGEST // 2):
@@ -200,21 +198,22 @@ def word_margins(units: list[str], model: Model, by_place: Table | None = None)
         groups.setdefault(len(unit), []).append(i)
     for length, places in groups.items():
         n = length + 2
-        rows = max(16, 200_000 // (n * n))  # arrays of a part stay in the cache
+        rows = max(16, 400_000 // (n * n))  # arrays of a part stay in the cache
         fade = DECAY ** np.arange(n, dtype=float)
         for at in range(0, len(places), rows):
             part = places[at:at + rows]
             text = "".join(f"\x02{units[i]}\x03" for i in part)
             points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4").reshape(-1, n)
-            found = np.minimum(np.searchsorted(letters, points), len(letters) - 1)
-            place = np.where(letters[found] == points, found + 1, 0)
+            turned = np.ascontiguousarray(points.T)  # a row for each place
+            found = np.minimum(np.searchsorted(letters, turned), len(letters) - 1)
+            place = np.where(letters[found] == turned, found + 1, 0)
             total = np.zeros(len(part))
             for j in range(1, n - 1):
                 # Pairs that end at j, decayed up to it; then on to every later place.
-                row = rows_of.take(place[:, :j] * size + place[:, j:j + 1])
-                near = np.ascontiguousarray(fade[j - 1::-1], np.float32)
+                row = rows_of.take(place[:j] * size + place[j])
+                near = fade[j - 1::-1].astype(np.float32)
                 for k in range(j + 1, n):
-                    total += (flat.take(row + place[:, k:k + 1]) @ near) * fade[k - j - 1]
+                    total += (near @ flat.take(row + place[k])) * fade[k - j - 1]
             norm = np.sqrt(_norms(points))  # 0 for words that hold no subsequence
             out[part] += np.divide(total, norm, out=np.zeros(len(part)), where=norm > 0)
     return out
@@ -229,11 +228,15 @@ def text_features(texts: list[str], model: Model, memo: dict[str, float] | None
     lists = [words(t) for t in texts]
     if len(memo) > MEMO:
         memo.clear()
-    every = [w for w in dict.fromkeys(w for ws in lists for w in ws) if w not in memo]
+    every = [w for w in dict.fromkeys(itertools.chain.from_iterable(lists)) if w not in memo]
     memo.update(zip(every, word_margins(every, model, by_place).tolist()))
     for i, ws in enumerate(lists):
         if ws:
-            worst = heapq.nlargest(2, map(memo.__getitem__, ws))
+            margins = [memo[w] for w in ws]
+            worst = [max(margins)]
+            if len(margins) > 1:
+                margins.remove(worst[0])
+                worst.append(max(margins))
             out[i, :len(worst)] = np.clip(worst, -2, 2)
             out[i, 2] = np.log1p(len(ws))
     return out
