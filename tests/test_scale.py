@@ -196,3 +196,17 @@ def test_bucketed_target_is_not_shuffled(spark, tmpdir_path):
     target = plan[plan.index("Bucketed: true") - 600:]
     assert plan.count("Exchange") == 1 and "Exchange" not in target
     assert "PartitionFilters: [isnotnull(date_month" in plan or "date_month" in target
+
+
+def test_references_meet_in_one_aggregate(spark):
+    """Children and parents are not sorted and joined, and keys of any types meet."""
+    from aerolake.operators.audit import orphan_audit
+
+    child = spark.createDataFrame([(1, "a", 1), (1, None, 2), (2, "b", 3), (None, "b", None)],
+                                  "i int, s string, m int")
+    parent = spark.createDataFrame([(1, "a", "01"), (None, None, "2"), (5, "c", "3"), (1, "a", "x")],
+                                   "i long, s string, m string")
+    out = orphan_audit([("whole", child, "i", parent, "i"), ("text", child, "s", parent, "s"),
+                        ("mixed", child, "m", parent, "m")])
+    assert {tuple(r) for r in out.collect()} == {("whole", 1, 1), ("text", 1, 2), ("mixed", 1, 1)}
+    assert "Join" not in executed(out)
