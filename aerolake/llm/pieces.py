@@ -41,7 +41,7 @@ NONE = -(1 << 60)
 UNKNOWN_PENALTY = 10  # fixed value: below the least score
 POINT = 1 << 20  # steps of a score's unit, where scores are not all whole numbers
 BLOCK = 256  # chunks whose matrices are multiplied together
-KEPT = 1_000_000
+KEPT = 250_000  # segments whose ids a worker keeps
 ENCODED = "id long, text_sha256 string, ids binary"
 
 
@@ -49,18 +49,13 @@ class Pieces:
     """The pieces of a model, with scores in fixed point."""
 
     def __init__(self, model: sentencepiece.SentencePieceProcessor):
-        scores, self.ids, self.bytes, self.shown = {}, {}, {}, []
+        scores, self.ids, self.bytes, self.shown = {}, {}, {}, shown_bytes(model)
         for i in range(model.get_piece_size()):
             piece = model.id_to_piece(i)
-            shown = piece.replace(MARK, " ").encode()
             if model.is_byte(i):
                 self.bytes[int(piece[3:5], 16)] = i
-                shown = bytes([int(piece[3:5], 16)])
-            elif model.is_control(i) or model.is_unknown(i):
-                shown = b""
-            else:
+            elif not (model.is_control(i) or model.is_unknown(i)):
                 scores[piece], self.ids[piece] = model.get_score(i), i
-            self.shown.append(shown)
         point = 1 if all(float(x).is_integer() for x in scores.values()) else POINT
         self.scores = {p: round(x * point) for p, x in scores.items()}
         self.unknown = min(self.scores.values()) - UNKNOWN_PENALTY * point
@@ -235,8 +230,25 @@ class Pieces:
 
     def decode(self, ids: bytes) -> str:
         """The text of ids, without the mark put before it."""
-        raw = b"".join([self.shown[i] for i in np.frombuffer(ids, "<u4").tolist()])
-        return raw.decode("utf-8", "replace")[1:]
+        return text_of(ids, self.shown)
+
+
+def shown_bytes(model: sentencepiece.SentencePieceProcessor) -> list[bytes]:
+    """The bytes that each piece of a model stands for."""
+    out = []
+    for i in range(model.get_piece_size()):
+        piece = model.id_to_piece(i)
+        if model.is_byte(i):
+            out.append(bytes([int(piece[3:5], 16)]))
+        else:
+            silent = model.is_control(i) or model.is_unknown(i)
+            out.append(b"" if silent else piece.replace(MARK, " ").encode())
+    return out
+
+
+def text_of(ids: bytes, shown: list[bytes]) -> str:
+    raw = b"".join([shown[i] for i in np.frombuffer(ids, "<u4").tolist()])
+    return raw.decode("utf-8", "replace")[1:]
 
 
 @functools.cache
@@ -245,6 +257,12 @@ def pieces(path: str) -> Pieces:
     return Pieces(sentencepiece.SentencePieceProcessor(model_file=path))
 
 
+@functools.cache
+def shown(path: str) -> list[bytes]:
+    """What a worker that only decodes holds of a model: no scores and no tree."""
+    return shown_bytes(sentencepiece.SentencePieceProcessor(model_file=path))
+
+
 def marked(text: str) -> str:
     """Spaces become word marks, and one is put before; empty stays empty."""
     return MARK + text.replace(" ", MARK) if text else ""
@@ -432,7 +450,7 @@ def decode(encoded: DataFrame, model: str) -> DataFrame:
                 part = batch.slice(at, 256)
                 ids = part.column(part.schema.get_field_index("ids")).to_pylist()
                 yield pa.RecordBatch.from_arrays(
-                    [*part.columns, pa.array([pieces(model).decode(i) for i in ids], pa.string())],
+                    [*part.columns, pa.array([text_of(i, shown(model)) for i in ids], pa.string())],
                     names=[*part.schema.names, "text"])
 
     return encoded.mapInArrow(read, ENCODED + ", text string")
