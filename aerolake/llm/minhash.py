@@ -13,15 +13,15 @@ documents that agree in at least ``matches`` coordinates are candidates:
   set sizes has ruled out what cannot be similar.
 
 Links are confirmed on full sets.  Documents with equal sets form one class,
-and only a class's smallest id takes part.  In each of two turns every class is
-compared with one hub of its lists and links found are contracted.  What then still
-belongs to different components is compared, all of it: the members outside a list's
-largest component meet the whole list.  Before, every document leaves that has fewer
-than ``matches`` pairs which different components hold, as do those of one frequent
-passage.  A list that still has more than ``DIRECT`` members is not expanded but split
-by a second pair: two documents of a list must share ``matches - 1`` other pairs that
-members of different components hold within it, so those with fewer leave, and the
-others are posted again, under the rarest of these pairs in the list.
+and only a class's smallest id takes part.  In each of three turns every class is
+compared with one hub of its lists, first the one that agrees most with all others,
+and links found are contracted.  What then still belongs to different components is
+compared, all of it: the members outside a list's largest component meet the whole
+list.  Before, every document leaves that has fewer than ``matches`` pairs which
+different components hold, as do those of one frequent passage.  A list that still has
+more than ``DIRECT`` members is not expanded: its members' full sets are listed by
+shingle, those that share too little with other components leave, and the others meet
+under their rarest shingles only, in bands of sizes.  No pair of similar sets is lost.
 """
 
 from __future__ import annotations
@@ -36,7 +36,8 @@ from aerolake.llm.planes import text_slices
 from aerolake.llm.shingles import mix, shingle_set, slice_words
 from aerolake.llm.store import materialise, run_folder
 
-DIRECT = 8  # members of a list that are compared without a second pair
+DIRECT = 8  # members of a list that are compared without their full sets
+BAND = 1.05  # ratio of the sizes of full sets in a band
 SIGNED = "id long, n_shingles long, key_a long, key_b long, signature array<int>"
 
 
@@ -132,8 +133,9 @@ def near_duplicates(docs: DataFrame, folder: str, id_column: str = "doc_id",
               .agg(F.sort_array(F.collect_list(F.struct("n", "key"))).alias("keys"))
               .filter(F.size("keys") >= matches))
     prefix = materialise(
-        ranked.select("slot", F.explode(F.expr(f"slice(keys, 1, size(keys) - {matches - 1})"))
-                      .alias("k")).select("slot", "k.key"), f"{folder}/prefix")
+        ranked.select("slot", F.expr("aggregate(keys, 0L, (s, k) -> s + k.n)").alias("met"),
+                      F.explode(F.expr(f"slice(keys, 1, size(keys) - {matches - 1})")).alias("k"))
+        .select("slot", "met", "k.key"), f"{folder}/prefix")
 
     about = stands.select("slot", "id", "n_shingles", "signature")
     words = docs.select(F.col(id_column).cast("long").alias("id"), F.col(text_column)
@@ -153,12 +155,14 @@ def near_duplicates(docs: DataFrame, folder: str, id_column: str = "doc_id",
         texts = slot_texts(words, about.join(asked, "slot", "left_semi"))
         return materialise(confirmed(likely, texts, width, percent), f"{folder}/links-{name}")
 
+    # Hubs: whoever agrees most with all others, then the largest and the least hash.
     found, labels = None, None
-    for turn, hub_of in enumerate((F.min, F.max)):
-        hubs = prefix.groupBy("key").agg(hub_of("slot").alias("hub"))
-        pairs = (prefix.join(hubs, "key").filter("slot <> hub")
-                 .groupBy("slot").agg(hub_of("hub").alias("hub")))
-        pairs = pairs.select(F.col("slot").alias("a"), F.col("hub").alias("b"))
+    for turn, rank in enumerate(("met", "slot", "~slot")):
+        best = F.struct(F.expr(rank).alias("rank"), "slot")
+        hubs = prefix.groupBy("key").agg(F.max(best).alias("best"))
+        pairs = (prefix.join(hubs, "key").filter("slot <> best.slot")
+                 .groupBy("slot").agg(F.max("best").alias("best")))
+        pairs = pairs.select(F.col("slot").alias("a"), F.col("best.slot").alias("b"))
         if labels is not None:
             pairs = _apart(pairs, labels)
         new = links(pairs, f"hub-{turn}")
@@ -173,10 +177,10 @@ def near_duplicates(docs: DataFrame, folder: str, id_column: str = "doc_id",
     left = materialise(unsettled(lists.join(alive, "slot", "left_semi"), ["key"]),
                        f"{folder}/left")
     pairs = across(left.filter(F.col("size") <= DIRECT), ["key"])
-    wide = left.filter(F.col("size") > DIRECT).select("key", "slot", "comp")
-    parts = unsettled(split_lists(wide, stands.select("slot", "signature"), matches,
-                                  f"{folder}/split"), ["key", "other"])
-    pairs = pairs.unionAll(across(parts, ["key", "other"])).distinct()
+    wide = left.filter(F.col("size") > DIRECT).select("slot", "comp").distinct()
+    texts = slot_texts(words, about.join(wide, "slot", "left_semi"))
+    parts = set_lists(full_sets(texts, width).join(wide, "slot"), percent, f"{folder}/sets")
+    pairs = pairs.unionAll(similar(parts)).distinct()
     found = found.unionAll(links(pairs, "rest"))
 
     # Links between slots become links between ids; members and shared ids join in.
@@ -233,6 +237,77 @@ def partners(members: DataFrame, signed: DataFrame, matches: int, folder: str) -
     return alive
 
 
+def full_sets(texts: DataFrame, width: int) -> DataFrame:
+    """``slot``, ``own`` (a key of the set), its size ``n`` and each ``shingle`` of the
+    texts (id: slot, text)."""
+    def spread(batches):
+        for ids, rows in text_slices(batches):
+            for slot, ws in zip(ids, slice_words([(t or "").encode() for t in rows])):
+                found = shingle_set(ws, width)
+                for at in range(0, len(found), 1 << 16):
+                    part = found[at:at + (1 << 16)]
+                    yield pa.RecordBatch.from_arrays([
+                        pa.array(np.full(len(part), slot)),
+                        pa.array(np.full(len(part), found.sum().view(np.int64))),
+                        pa.array(np.full(len(part), len(found))), pa.array(part.view(np.int64))],
+                        names=["slot", "own", "n", "shingle"])
+
+    return texts.dropDuplicates(["id", "text"]).select("id", "text").mapInArrow(
+        spread, "slot long, own long, n long, shingle long")
+
+
+def set_lists(rows: DataFrame, percent: int, folder: str) -> DataFrame:
+    """Lists by shingle of the sets (slot, own, n, shingle, comp): any two similar sets of
+    different components meet in a list (shingle, low, high).
+
+    Similar sets share at least ``percent`` of each, so a set with fewer shingles that
+    different components hold leaves.  With a set's shingles in order of the number of sets
+    that hold them, rarest first, sets of n and m shingles share one of the first
+    n - o + 1 and m - o + 1, o = (n + m) * percent / (100 + percent) being the least
+    overlap.  ``top`` is the largest m for which a shingle is among these; a set is listed
+    once for each ``band`` of sizes ``other`` up to there.
+    """
+    for turn in range(2):
+        held = (rows.groupBy("shingle")
+                .agg(F.count("*").alias("f"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
+                .filter("lo <> hi").select("shingle", "f"))
+        ranked = materialise(
+            rows.join(held, "shingle").groupBy("slot", "comp", "own", "n")
+            .agg(F.sort_array(F.collect_list(F.struct("f", "shingle"))).alias("held"))
+            .filter(F.size("held") * 100 >= F.col("n") * percent), f"{folder}/{turn}")
+        rows = ranked.select("slot", "comp", "own", "n", F.explode("held.shingle").alias("shingle"))
+    # A place in the whole order: shingles of one component alone come first.
+    first = ranked.withColumn("gone", F.col("n") - F.size("held")).select(
+        "slot", "comp", "n", "gone", F.posexplode(F.expr(
+            f"slice(held, 1, int(n * {100 - percent} div 100 - gone + 1))")).alias("at", "h"))
+    posted = first.select("slot", "comp", "n", "h.shingle", F.expr(
+        f"least((n - gone - at) * {100 + percent} div {percent} - n, n * 100 div {percent})")
+        .alias("top"))
+
+    def band(size):
+        return F.floor(F.log(size) / float(np.log(BAND)) + 1e-9).cast("int")
+
+    least = F.floor((F.col("n") * percent + 99) / 100)
+    return unsettled(
+        posted.filter(F.col("top") >= least)
+        .withColumns({"band": band(F.col("n")), "other": F.explode(F.sequence(
+            band(least), band(F.col("top"))))})
+        .withColumns({"low": F.least("band", "other"), "high": F.greatest("band", "other")}),
+        ["shingle", "low", "high"])
+
+
+def similar(left: DataFrame) -> DataFrame:
+    """Pairs (a, b) of slots in different components of the ``set_lists`` whose sizes and
+    places allow them to be similar."""
+    minor = left.filter("comp <> largest").select(
+        "shingle", F.col("other").alias("band"), F.col("band").alias("other"),
+        *(F.col(c).alias(f"{c}_x") for c in ("slot", "comp", "n", "top")))
+    return (left.select("shingle", "band", "other", "slot", "comp", "n", "top")
+            .join(minor, ["shingle", "band", "other"])
+            .filter("comp <> comp_x and n <= top_x and n_x <= top")
+            .select(F.greatest("slot", "slot_x").alias("a"), F.least("slot", "slot_x").alias("b")))
+
+
 def split_lists(rows: DataFrame, signed: DataFrame, matches: int, folder: str) -> DataFrame:
     """The lists (key, slot, comp) by a second pair ``other``: any two members of
     different components that agree in ``matches`` coordinates meet in one part."""

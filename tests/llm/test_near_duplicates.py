@@ -98,3 +98,47 @@ def test_split_lists_lose_no_pair(spark, folder):
     want = {(a, b) for a in sig for b in sig if a < b
             and sum(x == y for x, y in zip(sig[a], sig[b])) >= 8}
     assert want <= pairs
+
+
+def test_a_large_group_of_near_copies_is_not_paired(spark, folder, monkeypatch):
+    """Copies of one text with more and more edits: some are similar to each other, some
+    only agree in many coordinates; no list of theirs is compared as a whole."""
+    seen = []
+
+    def counted(plain):
+        return lambda *args: seen.append(plain(*args)) or seen[-1]
+
+    for name in ("across", "similar"):
+        monkeypatch.setattr(minhash, name, counted(getattr(minhash, name, None)), raising=False)
+    rnd = random.Random(9)
+    base = [f"w{i}" for i in range(200)]
+    rows = []
+    for i in range(400):
+        words = list(base)
+        for _ in range(i % 14):
+            words[rnd.randrange(200)] = f"x{rnd.randrange(10**6)}"
+        rows.append((i, " ".join(words[:200 - i % 3])))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {r.id: (r.n_shingles, r.component) for r in minhash.near_duplicates(docs, folder).collect()}
+    want = brute(rows)
+    assert len(set(c for _, c in want.values())) > 50
+    assert sum(got[i] != want[i] for i in want) <= 1  # links at the very threshold
+    assert sum(p.count() for p in seen) < 10 * len(rows)
+
+
+def test_set_lists_lose_no_pair(spark, folder):
+    """Against all pairs: similar sets of any sizes and different components meet."""
+    rnd = random.Random(8)
+    base = [rnd.sample(range(10**6), 60) for _ in range(4)]
+    sets = {}
+    for slot in range(150):
+        own = [s if rnd.random() < 0.93 else rnd.randrange(10**6) for s in rnd.choice(base)]
+        sets[slot] = set(own[rnd.randrange(10):60 - rnd.randrange(10)])
+    sets |= {200 + i: set(range(i, i + 3 + i % 3)) for i in range(12)}
+    rows = spark.createDataFrame(
+        [(s, s, len(v), x, s % 90) for s, v in sets.items() for x in v],
+        "slot long, own long, n long, shingle long, comp long")
+    pairs = {(r.b, r.a) for r in minhash.similar(minhash.set_lists(rows, 75, folder)).collect()}
+    want = {(a, b) for a in sets for b in sets if a < b and a % 90 != b % 90
+            and 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b])}
+    assert len(want) > 100 and want <= pairs
