@@ -18,7 +18,6 @@ number of words, fitted on labelled texts that the machine has not seen.
 
 from __future__ import annotations
 
-import itertools
 from typing import NamedTuple
 
 import numpy as np
@@ -32,8 +31,8 @@ DECAY = 0.6
 LONGEST = 32  # of a word; longer ones are cut in windows that overlap by half
 WHOLE = LONGEST + 2  # reach of the kernel that is learnt and scored: word and marks
 SHORT = 2  # words up to this length are also joined with their neighbours
-MEMO = 200_000  # words whose margins a task keeps
-SLICE = 1 << 22  # characters of the texts that are scored together
+MEMO = 200_000  # words whose margins a task keeps; beyond, those that the next texts hold too
+SLICE = 1 << 21  # characters of the texts that are scored together
 EDGE = "!\"#$%&'()*+,./:;<=>?@[\\]^_`{|}~-¿¡«»"
 
 
@@ -224,18 +223,23 @@ def text_features(texts: list[str], model: Model, memo: dict[str, float] | None
     ``memo`` holds margins of words seen before, and takes those of new ones."""
     memo = {} if memo is None else memo
     out = np.tile(np.array([-2.0, -2.0, 0.0, 1.0]), (len(texts), 1))
-    lists = [words(t) for t in texts]
-    if len(memo) > MEMO:
+    # Words are held once, texts hold their numbers.
+    number: dict[str, int] = {}
+    lists = [np.array([number.setdefault(w, len(number)) for w in words(t)], np.int32)
+             for t in texts]
+    if len(memo) > MEMO:  # what comes again stays
+        again = {w: memo[w] for w in number if w in memo}
         memo.clear()
-    every = [w for w in dict.fromkeys(itertools.chain.from_iterable(lists)) if w not in memo]
+        memo.update(again)
+    every = [w for w in number if w not in memo]
     memo.update(zip(every, word_margins(every, model, by_place).tolist()))
+    margins = np.fromiter(map(memo.__getitem__, number), float, len(number))
     for i, ws in enumerate(lists):
-        if ws:
-            margins = [memo[w] for w in ws]
-            worst = [max(margins)]
-            if len(margins) > 1:
-                margins.remove(worst[0])
-                worst.append(max(margins))
+        if len(ws):
+            worst = margins[ws]
+            if len(worst) > 2:
+                worst.partition(len(worst) - 2)
+            worst = np.sort(worst[-2:])[::-1]
             out[i, :len(worst)] = np.clip(worst, -2, 2)
             out[i, 2] = np.log1p(len(ws))
     return out

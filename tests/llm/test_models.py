@@ -156,3 +156,18 @@ def test_margins_by_place_equal_the_subsequences():
         _, k, v = K.subsequences([unit], K.WHOLE)
         at = np.minimum(np.searchsorted(keys, k), len(keys) - 1)
         assert np.isclose(margin, 0.25 + (v * weights[at] * (keys[at] == k)).sum()), unit
+
+
+def test_words_that_come_again_keep_their_margins(monkeypatch):
+    """A full memory loses only words that the next texts do not hold."""
+    asked = []
+    monkeypatch.setattr(K, "MEMO", 3)
+    monkeypatch.setattr(K, "word_margins", lambda units, *rest: (
+        asked.append(list(units)) or np.arange(len(units)) / 10))
+    model, memo = K.Model(np.zeros(0, np.uint64), np.zeros(0), 0.0, np.zeros(4)), {}
+    first = K.text_features(["alpha beta gamma delta", ""], model, memo)
+    again = K.text_features(["delta other", "delta"], model, memo)
+    assert asked == [["alpha", "beta", "gamma", "delta"], ["other"]]
+    assert set(memo) == {"delta", "other"}
+    assert np.allclose(first, [[0.3, 0.2, np.log(5), 1], [-2, -2, 0, 1]])
+    assert np.allclose(again, [[0.3, 0, np.log(3), 1], [0.3, -2, np.log(2), 1]])
