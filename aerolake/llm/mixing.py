@@ -157,12 +157,10 @@ def document_rates(docs: DataFrame, labels: DataFrame, folder: str,
     members = rated.select(F.col("_tokens").alias("tokens"), F.col("_posterior").alias("p"))
     steps, _, _ = fit_steps(members, [weights[d] for d in domains], least, total)
 
-    @F.pandas_udf("double")
-    def rate(posterior):
-        import pandas as pd
-
-        p = np.array(posterior.tolist(), float).reshape(-1, len(domains))
-        return pd.Series(_rates(p, steps, least)[0])
+    @F.arrow_udf("double")
+    def rate(posterior: pa.Array) -> pa.Array:
+        p = np.array(posterior.to_pylist(), float).reshape(-1, len(domains))
+        return pa.array(_rates(p, steps, least)[0])
 
     return rated.withColumn(output, rate("_posterior"))
 

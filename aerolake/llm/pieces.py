@@ -323,6 +323,7 @@ def encode(docs: DataFrame, folder: str, model: str, id_column: str = "doc_id",
                  pa.array([hashlib.sha256(t.encode()).hexdigest() for t in texts]),
                  pa.array([own.encode(marked(t)) for t in texts], pa.binary())],
                 names=["id", "text_sha256", "ids"])
+        pieces(model).known.clear()  # an idle worker holds no segments
 
     def cut(batches):
         size = pieces(model).states

@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aerolake.llm.shingles import mix
+from aerolake.llm.store import small_batches
 
 DECAY = 0.6
 LONGEST = 32  # of a word; longer ones are cut in windows that overlap by half
@@ -278,6 +279,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_colu
     characters; at most ``vocabulary`` of their words and ``landmarks``
     landmarks.  Without both labels nothing can be learnt: every score is 0.
     """
+    small_batches(docs.sparkSession)
     marks = (labels.filter(F.col(label_column).isNotNull() & F.col(id_column).isNotNull())
              .groupBy(F.col(id_column).cast("long").alias("id"))
              .agg(F.max(F.col(label_column).cast("int")).alias("toxic"))
@@ -294,8 +296,11 @@ def fit(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_colu
             taken[row.id, row.h] = row.toxic
             total += row.n
     spark = docs.sparkSession
-    chosen = F.broadcast(spark.createDataFrame(  # sample_rows at most
-        [(*k, v) for k, v in taken.items()], "id long, h long, toxic int"))
+    # sample_rows at most; as Arrow they need no Python workers of their own.
+    chosen = F.broadcast(spark.createDataFrame(pa.table({
+        "id": pa.array([i for i, _ in taken], pa.int64()),
+        "h": pa.array([h for _, h in taken], pa.int64()),
+        "toxic": pa.array(list(taken.values()), pa.int32())})))
     sample = rows.drop("n").join(chosen, ["id", "h"])
 
     def listed(batches):
@@ -365,23 +370,21 @@ def score(docs: DataFrame, model: Model, text_column: str = "text",
           output: str = "score") -> DataFrame:
     """``docs`` with ``output``, 0 to 1; NULL texts count as empty.  Every row
     is scored by its whole text alone; a column named ``output`` is replaced."""
+    small_batches(docs.sparkSession)
     memo = {}  # each task fills its own
     by_place = table(model)
 
-    @F.pandas_udf("double")
-    def rate(texts):
-        import pandas as pd
-
-        values = [t or "" for t in texts]
+    @F.arrow_udf("double")
+    def rate(texts: pa.Array) -> pa.Array:
         out, at = [], 0
-        while at < len(values):  # a few texts at a time
-            stop, size = at, 0
-            while stop < len(values) and (stop == at or size < SLICE):
-                size += len(values[stop])
-                stop += 1
-            out.append(probability(values[at:stop], model, memo, by_place))
-            at = stop
-        return pd.Series(np.concatenate(out) if out else np.zeros(0))
+        while at < len(texts):  # only a few texts at a time are held as strings
+            part, size = [], 0
+            while at < len(texts) and (not part or size < SLICE):
+                part.append(texts[at].as_py() or "")
+                size += len(part[-1])
+                at += 1
+            out.append(probability(part, model, memo, by_place))
+        return pa.array(np.concatenate(out) if out else np.zeros(0))
 
     return docs.withColumn(output, rate(F.col(text_column)))
 

@@ -3,7 +3,9 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 from aerolake.llm import mixing as M
+from aerolake.llm import store as S
 from aerolake.llm import string_kernel as K
 
 
@@ -171,3 +173,35 @@ def test_words_that_come_again_keep_their_margins(monkeypatch):
     assert set(memo) == {"delta", "other"}
     assert np.allclose(first, [[0.3, 0.2, np.log(5), 1], [-2, -2, 0, 1]])
     assert np.allclose(again, [[0.3, 0, np.log(3), 1], [0.3, -2, np.log(2), 1]])
+
+
+def test_texts_go_to_python_in_small_batches(spark):
+    """A partition's texts are not held whole on their way to Python."""
+    key, before = S.BATCH_KEY, spark.conf.getAll.get(S.BATCH_KEY)
+    docs = spark.range(0, 16, 1, 1).selectExpr("id as doc_id", "repeat('abcdefg ', 200000) as text")
+    none = K.Model(np.zeros(0, np.uint64), np.zeros(0), -2.0, np.array([0, 0, 0, -30.0]))
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes])], names=["n"])
+
+    try:
+        spark.conf.unset(key)
+        assert K.score(docs, none).filter("score < 0.5").count() == 16
+        found = [r.n for r in docs.mapInArrow(sizes, "n long").collect()]
+        assert sum(found) > 24_000_000 and max(found) < 8_000_000
+        spark.conf.set(key, "1g")  # the session's own limit stays
+        K.score(docs, none)
+        assert spark.conf.get(key) == "1g"
+    finally:
+        spark.conf.set(key, before) if before else spark.conf.unset(key)
+
+
+def test_sampled_rows_need_no_python_workers(spark, monkeypatch):
+    """The chosen ids go to Spark as one Arrow table, not as an RDD of Python rows."""
+    docs, labels = corpus(spark)
+    given, create = [], type(spark).createDataFrame
+    monkeypatch.setattr(type(spark), "createDataFrame", lambda self, data, *rest, **named: (
+        given.append(type(data)) or create(self, data, *rest, **named)))
+    K.fit(docs, labels)
+    assert given == [pa.Table]
